@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from narrata.llm import exact_dedup, line_dedup
+from narrata.llm import exact_dedup, language, line_dedup, mixing
 
 
 def queries() -> dict:
-    return {"op6_exact_dedup": exact_dedup.op6_exact_dedup, "op8_line_dedup": line_dedup.op8_line_dedup}
+    return {
+        "op5_mixing": mixing.op5_mixing,
+        "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+        "op8_line_dedup": line_dedup.op8_line_dedup,
+        "op9_language": language.op9_language,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
