@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from narrata.llm import exact_dedup, language, line_dedup, mixing
+from narrata.llm import exact_dedup, language, licenses, line_dedup, mixing, quality
 
 
 def queries() -> dict:
     return {
+        "op1_quality": quality.op1_quality,
         "op5_mixing": mixing.op5_mixing,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+        "op7_licenses": licenses.op7_licenses,
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_language": language.op9_language,
     }
