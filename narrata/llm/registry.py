@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from narrata.llm import exact_dedup, language, licenses, line_dedup, mixing, quality
+from narrata.llm import exact_dedup, language, licenses, line_dedup, minhash, mixing, quality
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1_quality,
+        "op4_minhash": minhash.op4_minhash,
         "op5_mixing": mixing.op5_mixing,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_licenses": licenses.op7_licenses,
@@ -17,4 +18,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.SQL, "op8_line_dedup": line_dedup.SQL}
+    return {"op4_minhash": minhash.SQL, "op6_exact_dedup": exact_dedup.SQL, "op8_line_dedup": line_dedup.SQL}
