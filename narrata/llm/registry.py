@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from narrata.llm import exact_dedup, language, licenses, line_dedup, minhash, mixing, quality
+from narrata.llm import exact_dedup, language, licenses, line_dedup, minhash, mixing, neighbours, quality
 
 
 def queries() -> dict:
@@ -14,8 +14,9 @@ def queries() -> dict:
         "op7_licenses": licenses.op7_licenses,
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_language": language.op9_language,
+        "op10_embedding_dedup": neighbours.op10_embedding_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_minhash": minhash.SQL, "op6_exact_dedup": exact_dedup.SQL, "op8_line_dedup": line_dedup.SQL}
+    return {"op4_minhash": minhash.SQL, "op6_exact_dedup": exact_dedup.SQL, "op8_line_dedup": line_dedup.SQL, "op10_embedding_dedup": neighbours.SQL}
