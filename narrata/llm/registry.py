@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from narrata.llm import exact_dedup, language, licenses, line_dedup, minhash, mixing, neighbours, quality
+import corpus_pipeline
+from narrata.llm import exact_dedup, html, language, licenses, line_dedup, minhash, mixing, neighbours, packing, quality
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1_quality,
+        "op2_packing": packing.op2_packing,
+        "op3_html": html.op3_html,
         "op4_minhash": minhash.op4_minhash,
         "op5_mixing": mixing.op5_mixing,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
@@ -15,6 +18,7 @@ def queries() -> dict:
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_language": language.op9_language,
         "op10_embedding_dedup": neighbours.op10_embedding_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
