@@ -1,7 +1,7 @@
 """Entity resolution: mentions of a document and type that name the same thing, and the form that stands for them.
 
-Grouping is greedy and ordered: each mention not yet placed opens a group and takes all later ones like it; that is no
-transitive closure, so the whole ordered list of a group key is needed in one place. A document's mentions of one type are a
+Grouping is greedy and ordered: each mention not yet placed opens a group and, in one pass, takes later ones like any of its
+members so far; that is no transitive closure, so the whole ordered list of a group key is needed in one place. A document's mentions of one type are a
 bounded list; repeated comparisons within it are remembered.
 """
 
@@ -31,20 +31,24 @@ def similar(member: str, candidate: str) -> bool:
 
 
 def grouped(texts: list[str]) -> list[int]:
-    """Group numbers of mentions in their order."""
+    """Group numbers of mentions in their order: a later mention joins the open group if it is like any member so far."""
     numbers, known, last = [-1] * len(texts), {}, 0
+
+    def alike(member: str, candidate: str) -> bool:
+        pair = member, candidate
+        if pair not in known:
+            known[pair] = similar(member, candidate)
+        return known[pair]
+
     for i, seed in enumerate(texts):
-        if numbers[i] >= 0:
-            continue
-        numbers[i] = last
-        for j in range(i + 1, len(texts)):
-            if numbers[j] < 0:
-                pair = seed, texts[j]
-                if pair not in known:
-                    known[pair] = similar(*pair)
-                if known[pair]:
+        if numbers[i] < 0:
+            members = dict.fromkeys([seed])  # different texts of the group, in order
+            numbers[i] = last
+            for j in range(i + 1, len(texts)):
+                if numbers[j] < 0 and any(alike(m, texts[j]) for m in members):
                     numbers[j] = last
-        last += 1
+                    members[texts[j]] = None
+            last += 1
     return numbers
 
 
