@@ -3,7 +3,8 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+HERE = Path(__file__).resolve().parent
+sys.path[:0] = [str(HERE.parent), str(HERE)]
 
 DATA = Path("/root/testdata")
 
@@ -41,14 +42,3 @@ def duck(small):
         source = f"{path}/*.parquet" if path.is_dir() else str(path)
         con.execute(f"CREATE VIEW {path.name.split('.')[0]} AS SELECT * FROM '{source}'")
     return con
-
-
-def same_rows(df, sql, con):
-    """Rows of a Spark query and of its SQL, as multisets."""
-    import pandas as pd
-
-    got, want = df.toPandas(), con.execute(sql).fetchdf()
-    assert sorted(got.columns) == sorted(want.columns)
-    columns = sorted(got.columns)
-    a, b = (x[columns].sort_values(columns, ignore_index=True) for x in (got, want))
-    pd.testing.assert_frame_equal(a, b, check_dtype=False)

@@ -1,7 +1,7 @@
 """Every query of the library against its SQL."""
 
 import pytest
-from conftest import same_rows
+from comparing import same_rows
 
 from narrata.plans import catalog
 
