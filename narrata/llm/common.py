@@ -48,3 +48,11 @@ def held_out(doc_id: Column) -> Column:
 
 def may_learn(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(False))
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, or with underscores before it what no column is called."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

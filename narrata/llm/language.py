@@ -143,29 +143,29 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return Model(sorted(counts), counts) if counts else None
 
 
-def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with the struct ``language``: lang_pred, score."""
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text", out: str = "language") -> DataFrame:
+    """``docs`` with the struct ``out``: lang_pred, score."""
     kind = "lang_pred string, score double"
     if model is None:
-        return docs.withColumn("language", F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")))
+        return docs.withColumn(out, F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")))
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(kind)
     def best(texts: pd.Series) -> pd.DataFrame:
         own = shared.value
-        out = pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0})
+        found = pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0})
         rows = np.flatnonzero(texts.notna().to_numpy())
         if len(rows):
             bits = own.lengths([texts.iloc[i].encode("utf-8", "replace") for i in rows])
             odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000))
             first = bits.argmin(axis=1)
-            out.loc[rows, "lang_pred"] = np.array(own.languages, dtype=object)[first]
-            out.loc[rows, "score"] = 1 / odds.sum(axis=1)
-        return out
+            found.loc[rows, "lang_pred"] = np.array(own.languages, dtype=object)[first]
+            found.loc[rows, "score"] = 1 / odds.sum(axis=1)
+        return found
 
     text = F.col(text_col).cast("string")
-    return docs.withColumn("language", best(F.when(text.rlike(r"\p{L}"), text)))
+    return docs.withColumn(out, best(F.when(text.rlike(r"\p{L}"), text)))
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,8 +46,8 @@ def dropped_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return words.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
 
 
-def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with its text shortened, after all its columns the struct ``line_dedup``: n_lines, n_dropped, words."""
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, out: str = "line_dedup") -> DataFrame:
+    """``docs`` with its text shortened, after all its columns the struct ``out``: n_lines, n_dropped, words."""
     maps = dropped_bitmaps(docs, id_col, text_col, min_chars).select(F.struct("doc_id", "text_hash").alias("line_key"), F.col("words").alias("line_words"))
     names = docs.columns
     keyed = docs.select(F.struct(*names).alias("doc"), F.col(id_col).alias("k"), F.xxhash64(_text(text_col)).alias("t"))
@@ -60,9 +60,9 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.expr("filter(lines, (x, i) -> coalesce(getbit(get(dense, shiftright(i, 6)), i & 63), 0) = 0)")
     )
     cut_down = split.withColumn("kept", kept)
-    out = [F.col("doc").getField(c).alias(c) if c != text_col else F.array_join("kept", "\n").alias(c) for c in names]
+    kept_columns = [F.col("doc").getField(c).alias(c) if c != text_col else F.array_join("kept", "\n").alias(c) for c in names]
     figures = F.struct(F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.col("line_words").alias("words"))
-    return cut_down.select(*out, figures.alias("line_dedup"))
+    return cut_down.select(*kept_columns, figures.alias(out))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
