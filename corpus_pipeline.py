@@ -11,27 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrata.llm import language, line_dedup, minhash, mixing, packing
-from narrata.llm.common import checkpoint_folder
+from narrata.llm.common import checkpoint_folder, fresh
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in an undetermined language go: those without any letter."""
-    found = language.identify(docs, language.fit(docs))
-    return found.where(F.col("language.lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    told = fresh("language", docs.columns)
+    found = language.identify(docs, language.fit(docs), out=told)
+    return found.where(F.col(told)["lang_pred"] != language.UNDETERMINED).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines seen in an earlier document go; a document left without any visible character goes with them."""
-    shorter = line_dedup.drop_lines(docs)
+    told = fresh("line_dedup", docs.columns)
+    shorter = line_dedup.drop_lines(docs, out=told)
     text = F.col("text")
-    kept = shorter.where((F.col("line_dedup.n_dropped") == 0) | text.rlike(r"[^\x20\x09-\x0D]"))
+    kept = shorter.where((F.col(told)["n_dropped"] == 0) | text.rlike(r"[^\x20\x09-\x0D]"))
     return kept.select(*[F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the least id stays."""
-    gone = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    name = fresh("gone", docs.columns)
+    gone = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
