@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from narrata.plans import links, reports, streams, texts
+from narrata.plans import links, reports, services, streams, texts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (texts, links, reports, streams):
+for _module in (texts, links, reports, services, streams):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
