@@ -112,9 +112,9 @@ def balls(vectors: DataFrame, cosine: float, words: int) -> DataFrame:
 
 
 def _best(candidates: DataFrame, length: int, near: int) -> DataFrame:
-    """The lists: each node's ``length`` best, and every candidate near enough to link, saturated or not."""
+    """The lists: each node's ``length`` best, and every candidate near enough to link, saturated or not; with the rank."""
     rank = F.row_number().over(Window.partitionBy("u").orderBy("d", "w"))
-    return candidates.withColumn("rank", rank).where((F.col("rank") <= length) | (F.col("d") <= near)).drop("rank")
+    return candidates.withColumn("rank", rank).where((F.col("rank") <= length) | (F.col("d") <= near))
 
 
 def neighbour_graph(nodes: DataFrame, words: int, shuffles: int, length: int, rounds: int, near: int, seed: int) -> DataFrame:
@@ -134,11 +134,12 @@ def neighbour_graph(nodes: DataFrame, words: int, shuffles: int, length: int, ro
     side = nodes.select("id", "sketch")
     for _ in range(rounds):
         via = lists.select(F.col("u").alias("v"), F.col("w").alias("x"))
-        hops = lists.select("u", F.col("w").alias("v")).join(via, "v").where("u <> x").select(F.least("u", "x").alias("u"), F.greatest("u", "x").alias("w")).distinct()
+        # from a node's best neighbours to all in their lists: of a dense group no more rows than its links times ``length``
+        hops = lists.where(F.col("rank") <= length).select("u", F.col("w").alias("v")).join(via, "v").where("u <> x").select(F.least("u", "x").alias("u"), F.greatest("u", "x").alias("w")).distinct()
         hops = hops.join(lists.select("u", "w"), ["u", "w"], "left_anti")
         scored = hops.join(side.select(F.col("id").alias("u"), F.col("sketch").alias("us")), "u").join(side.select(F.col("id").alias("w"), F.col("sketch").alias("ws")), "w")
         fresh = scored.select("u", "w", _hamming("us", "ws").alias("d"))
-        after = cut(_best(lists.unionByName(both(fresh)).distinct(), length, near))
+        after = cut(_best(lists.drop("rank").unionByName(both(fresh)).distinct(), length, near))
         changed = after.join(lists, ["u", "w"], "left_anti").count()
         lists = after
         if changed * 200 < lists.count():
@@ -177,9 +178,9 @@ def near_vectors(
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
     largest = F.array_max(F.transform("v", F.abs))
     scaled = given.withColumn("ok", F.coalesce(usable, F.lit(False))).withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x / largest)))
-    # rows that repeat an id are told apart by what they hold
-    prepared = scaled.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
-    classes = cut(prepared.withColumn("norm", F.sqrt(_dot("v", "v"))).withColumn("sketch", _signed(words, 1)("v")).withColumn("id", F.struct("id", F.xxhash64("label", "v").alias("h"))))
+    # different vectors are numbered, as rows may repeat an id; the numbers are fixed by the cut
+    prepared = scaled.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    classes = cut(prepared.withColumn("norm", F.sqrt(_dot("v", "v"))).withColumn("sketch", _signed(words, 1)("v")).withColumn("id", F.monotonically_increasing_id()))
     grouped = cut(balls(classes, cosine, words))
 
     theta, bits = float(np.arccos(cosine)), 64 * words
@@ -192,7 +193,7 @@ def near_vectors(
     widest = nodes.agg(F.max("radius")).first()[0] or 0.0
     reach = min(1.0, (theta + 2 * widest) / np.pi)
     far = max(near, int(np.ceil(bits * reach + 7 * np.sqrt(bits * reach * (1 - reach))))) if widest else near
-    asked = [(tuple(r["id"]), r["label"], r["v"]) for r in classes.orderBy(F.xxhash64("id"), "id").limit(audit).select("id", "label", "v").collect()]
+    asked = [(r["id"], r["label"], r["v"]) for r in classes.orderBy(F.xxhash64("least"), "least", "label").limit(audit).select("id", "label", "v").collect()]
     counted = grouped.select("label", "v", "copies")
     found, links, seen = None, None, 0.0
     for attempt in range(tries):
@@ -216,16 +217,17 @@ def near_vectors(
             break
         marks = [(q, label, v) for q, (_, label, v) in enumerate(asked)]
         truth = counted.mapInPandas(_counted(marks, cosine), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-        keys = rows.sparkSession.createDataFrame([(q, *key) for q, (key, _, _) in enumerate(asked)], "q long, id long, h long")
-        mine = keys.select("q", F.struct("id", "h").alias("id")).join(totals, "id").select("q", "linked")
+        keys = rows.sparkSession.createDataFrame([(q, key) for q, (key, _, _) in enumerate(asked)], "q long, id long")
+        mine = keys.join(totals, "id").select("q", "linked")
         both = mine.join(truth, F.col("q") == truth["id"]).agg(F.sum(F.least("linked", "n")).alias("x"), F.sum("n").alias("y")).first()
         seen = both["x"] / both["y"] if both["y"] else 1.0
         if seen >= recall:
             break
     inside = grouped.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
     joined = components(cut(links.select("a", "b").unionByName(inside)))
-    named = cut(totals.join(joined.withColumnRenamed("node", "id"), "id", "left").select("id", "linked", F.coalesce("component", "id")["id"].alias("component_id")))
-    back = classes.select("id", "label", "v").join(named, "id").select(F.col("label").alias("l"), F.col("v").alias("x"), "linked", "component_id")
+    whole = cut(totals.join(joined.withColumnRenamed("node", "id"), "id", "left").join(classes.select("id", "least"), "id").select("id", "linked", F.coalesce("component", "id").alias("whole"), "least"))
+    heads = cut(whole.groupBy("whole").agg(F.min("least").alias("component_id")))
+    back = classes.select("id", "label", "v").join(whole.join(heads, "whole"), "id").select(F.col("label").alias("l"), F.col("v").alias("x"), "linked", "component_id")
     usable_rows = scaled.where("ok").join(back, (F.col("label") == F.col("l")) & (F.col("v") == F.col("x")))
     out = usable_rows.select("vec_id", (F.col("linked") - 1).cast("long").alias("n_links"), "component_id")
     rest = scaled.where("NOT ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
