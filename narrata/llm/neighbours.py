@@ -178,8 +178,9 @@ def near_vectors(
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
     largest = F.array_max(F.transform("v", F.abs))
     scaled = given.withColumn("ok", F.coalesce(usable, F.lit(False))).withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x / largest)))
-    # different vectors are numbered, as rows may repeat an id; the numbers are fixed by the cut
+    # different vectors are numbered in order, as rows may repeat an id; the numbers are fixed by the cut
     prepared = scaled.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    prepared = prepared.sortWithinPartitions("least", "label")
     classes = cut(prepared.withColumn("norm", F.sqrt(_dot("v", "v"))).withColumn("sketch", _signed(words, 1)("v")).withColumn("id", F.monotonically_increasing_id()))
     grouped = cut(balls(classes, cosine, words))
 
