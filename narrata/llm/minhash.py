@@ -103,7 +103,7 @@ def forest(ids_left: np.ndarray, ids_right: np.ndarray, linked: np.ndarray) -> l
 
 
 def _block(percent: int):
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
         left, right = group[group["chunk"] == i], group[group["chunk"] == j]
         if not len(left) or not len(right):
@@ -136,7 +136,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     wanted = cut(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).unionByName(families.select(F.col("node").alias("cls"))).distinct())
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).join(wanted, F.col("doc_id") == F.col("cls"), "left_semi")
-    sets = cut(texts.select(F.col("doc_id").alias("cls"), _sets(width)("text").alias("elements")).where(F.size("elements") > 0))
+    sets = cut(texts.select(F.col("doc_id").alias("cls"), _sets(width)("text").alias("elements")))  # a filter here would run on all texts, below the join
+    sets = sets.where(F.size("elements") > 0)
 
     first = pairs.join(sets.select(F.col("cls").alias("a"), F.col("elements").alias("x")), "a")
     sized = first.join(sets.select(F.col("cls").alias("b"), F.col("elements").alias("y")), "b")
