@@ -38,11 +38,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole number."""
-    plan = mixing.mix(docs).where("taken > 0").groupBy("doc_id", "text_hash").agg(F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias("times"))
-    plan = plan.where("times > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "times")
-    keyed = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("_d"), F.xxhash64(F.col("text").cast("string")).alias("_t"))
-    taken = keyed.join(plan, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_hash")))
+    """Each document whole, as often as its source's share asks: drawn without regard to its length."""
+    taken = mixing.copies(docs).where("times > 0")
     return taken.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("_again")).select("doc.*")
 
 

@@ -10,6 +10,10 @@ an order drawn from the seed; its words lie end to end and are cut into blocks,
 round, the last incomplete round from a block drawn by the seed. A document's share is how far its words lie in the blocks
 taken, so no quotient or block is ever a row: the work grows with documents and sources only.
 
+Where documents have to stay whole, ``copies`` says how often each is taken: its source's target over its source's size is the
+share of every document of the source, whatever its length, and a seeded systematic draw along the shares, carried over from
+shard to shard, rounds them. The draw runs by length, so the words of a source come within about one document of its target.
+
 Only the table of sources meets in one task (a row per source). A hot source is many shards, each of bounded size.
 Null text: no words. A null source is a source of its own. Rows that repeat an id each count. Nothing in, nothing out.
 """
@@ -25,6 +29,7 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 BLOCK_WORDS = 64
 SHARD_WORDS = 50_000
+SHARD_ROWS = 500
 MAX_SHARDS = 65_536
 SMALL_TABLE = 100_000
 SEED = 20_240
@@ -108,5 +113,44 @@ def mix(
     return laid.select("doc_id", "text_hash", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+def copies(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS,
+    max_repeats: int = MAX_REPEATS, shard_words: int = SHARD_WORDS, shard_rows: int = SHARD_ROWS, seed: int = SEED, out: str = "times",
+) -> DataFrame:
+    """doc (a row of ``docs``), and ``out``: how often the mix takes it whole. Rows without words are taken 0 times.
+
+    Each row is taken floor or ceil of target / source_size times, in the mean over the seeds exactly that often.
+    """
+    text = F.col(text_col).cast("string")
+    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    given = docs.select(F.struct(*docs.columns).alias("doc"), F.col(source_col).cast("string").alias("source"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("drawn"), size.alias("size"))
+    # two classes of length each time it doubles
+    given = given.withColumn("cls", F.floor(2 * F.log2(F.greatest(F.col("size"), F.lit(1)))).cast("int"))
+    sized = cut(given.select("source", "drawn", "size", "cls"))
+    classes = cut(sized.groupBy("source", "cls").agg(F.sum("size").alias("words"), F.count("*").alias("n")))
+    aimed = targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_repeats)
+    share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    aim = aimed.select(F.col("source").alias("of"), "source_no", share.alias("share"))
+    all_words, all_rows = classes.agg(F.sum("words"), F.sum("n")).first()
+    most_words, most_rows = max(shard_words, -(-(all_words or 0) // MAX_SHARDS)), max(shard_rows, -(-(all_rows or 0) // MAX_SHARDS))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("words") / most_words), F.ceil(F.col("n") / most_rows))
+    plan = cut(classes.join(aim, F.col("source").eqNullSafe(F.col("of"))).select("of", F.col("cls").alias("of_cls"), "source_no", "share", shards.alias("shards")))
+    plan = F.broadcast(plan) if plan.count() <= SMALL_TABLE else plan
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        own = rows.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("cls") == F.col("of_cls"))).drop("source", "of", "of_cls")
+        return own.withColumn("shard", F.pmod(F.col("drawn"), F.col("shards")))
+
+    counts = dealt(sized.where("size > 0")).groupBy("source_no", "cls", "shard").agg(F.count("*").alias("n"))
+    running = F.sum("n").over(Window.partitionBy("source_no").orderBy("cls", "shard").rowsBetween(Window.unboundedPreceding, -1))
+    before = cut(counts.select("source_no", "cls", "shard", F.coalesce(running, F.lit(0)).alias("before")))
+    order = F.row_number().over(Window.partitionBy("source_no", "cls", "shard").orderBy("size", "drawn"))
+    laid = dealt(given.where("size > 0")).join(before, ["source_no", "cls", "shard"]).withColumn("place", F.col("before") + order)
+    phase = F.pmod(F.xxhash64(F.lit(seed + 3), "source_no"), F.lit(1 << 20)) / float(1 << 20)
+    upto = lambda place: F.floor(F.col("share") * place + phase)
+    taken = laid.select("doc", (upto(F.col("place")) - upto(F.col("place") - 1)).cast("int").alias(out))
+    return taken.unionByName(given.where("size = 0").select("doc", F.lit(0).alias(out)))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("text_hash")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from comparing import same_rows
 
-from narrata.llm import minhash, neighbours
+from narrata.llm import minhash, mixing, neighbours
 from narrata.llm.sketch import Words, bands, shingles, sketch
 
 
@@ -173,3 +173,27 @@ def test_pipeline_edges(spark, edges, empty):
             if name != "packing":
                 assert docs.columns == table.columns
         assert docs.count() >= 0
+
+
+def test_pipeline_mixing_keeps_long_documents(spark):
+    """A hot source with a share of 0.1 keeps its words and its long documents; so does a source made only of those."""
+    import corpus_pipeline
+
+    long = [(i, " ".join(["w"] * (16_000 + 7 * i)), "en", "a") for i in range(60)]
+    short = [(1000 + i, " ".join(["w"] * (i * 7919 % 900 + 1)), "en", "a") for i in range(1500)]
+    alone = [(3000 + i, " ".join(["w"] * 60_000), "en", "d") for i in range(12)]
+    rest = [(10_000 * (k + 1) + i, " ".join(["w"] * (i % 300 + 1)), "en", f"e{k:02d}") for k in range(16) for i in range(500)]
+    rows = long + short + alone + rest
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = corpus_pipeline.mix_sources(spark, docs, "").selectExpr("doc_id", "source", "size(split(text, ' ')) AS n").collect()
+    size, longest, want, got = {}, {}, {}, {}
+    for _, t, _, s in rows:
+        size[s], longest[s] = size.get(s, 0) + len(t.split()), max(longest.get(s, 0), len(t.split()))
+    aimed = {r.source: r.target for r in mixing.targets(spark.createDataFrame(list(size.items()), "source string, source_size long")).collect()}
+    for r in kept:
+        got[r.source] = got.get(r.source, 0) + r.n
+    assert aimed["a"] / size["a"] < 0.25
+    for s, t in aimed.items():
+        assert abs(got.get(s, 0) - t) <= 2 * longest[s], (s, got.get(s, 0), t)
+    share = sum(r.source == "a" and r.n > 10_000 for r in kept) / len(long)
+    assert abs(share - aimed["a"] / size["a"]) <= 2 / len(long)
