@@ -15,9 +15,12 @@ from narrata.llm.common import checkpoint_folder, fresh
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in an undetermined language go: those without any letter."""
+    """Documents in an undetermined language go: those without any letter. Where no row can teach a language, only those go."""
+    model = language.fit(docs)
+    if model is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
     told = fresh("language", docs.columns)
-    found = language.identify(docs, language.fit(docs), out=told)
+    found = language.identify(docs, model, out=told)
     return found.where(F.col(told)["lang_pred"] != language.UNDETERMINED).select(*docs.columns)
 
 

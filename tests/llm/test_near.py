@@ -197,3 +197,12 @@ def test_pipeline_mixing_keeps_long_documents(spark):
         assert abs(got.get(s, 0) - t) <= 2 * longest[s], (s, got.get(s, 0), t)
     share = sum(r.source == "a" and r.n > 10_000 for r in kept) / len(long)
     assert abs(share - aimed["a"] / size["a"]) <= 2 / len(long)
+
+
+def test_pipeline_language_without_labels(spark):
+    """Without a language to learn from, clean documents stay and only null and letterless texts go."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, t, None, "s", 1) for i, t in enumerate(["clean text", "ein Text", None, "", "12 !?", "\u6f22\u5b57"])], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {0, 1, 5}
