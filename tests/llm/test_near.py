@@ -206,3 +206,21 @@ def test_pipeline_language_without_labels(spark):
     docs = spark.createDataFrame([(i, t, None, "s", 1) for i, t in enumerate(["clean text", "ein Text", None, "", "12 !?", "\u6f22\u5b57"])], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.identify_language(spark, docs, "")
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {0, 1, 5}
+
+
+def test_vectors_audit_sees_lost_links(spark, monkeypatch):
+    """A dense group and many single vectors don't hide that the graph lost all links elsewhere; blocks then find them."""
+    rng = np.random.default_rng(11)
+    unit = lambda: (lambda x: x / np.linalg.norm(x))(rng.standard_normal(32))
+    rows = []
+    for size, noise in ((400, 0.001), *[(2, 0.02)] * 8, *[(1, 0.0)] * 100):
+        base = unit()
+        rows += [(len(rows) + k, (base + noise * rng.standard_normal(32)).tolist(), 0, "a", "b") for k in range(size)]
+    whole = neighbours.neighbour_graph
+    monkeypatch.setattr(neighbours, "neighbour_graph", lambda *a: whole(*a).where("false"))
+    monkeypatch.setattr(neighbours, "BLOCK", 40)
+    got = neighbours.near_vectors(vectors(spark, rows), tries=1).toPandas().sort_values("vec_id")
+    x = np.array([r[1] for r in rows], dtype=np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.98).sum(axis=1) - 1
+    assert want[400:416].sum() >= 8 and got.n_links.tolist() == want.tolist() and got.recall.iloc[0] == 1.0
