@@ -1,14 +1,14 @@
 """Licence scans by a positional index of rare words.
 
 The base finds the places where the words of a few fixed phrases stand consecutively. The index adds licences by their
-notices: template texts are kept as postings (word, template, position). A document's licence words are weighed by inverse
-document frequency over all documents; the highest of them are looked up in the postings, and postings that agree on the
-relative position (place in the document minus place in the template) vote for a notice standing there. A candidate becomes a
+notices: template texts are kept as postings (word, template, position). All licence words of a document are looked up in the
+postings, and postings that agree on the relative position (place in the document minus place in the template) vote for a
+notice standing there, however many other notices the document has. A candidate becomes a
 label when enough of the template's words stand in place and each mandatory key phrase of the template is found where
 the template has it, give or take ``SLACK`` words.
 
 Everything is DataFrame expressions. One pass over the texts keeps only the places of licence words; the votes work on
-those. Postings and word weights are as many as the templates' words, so they are broadcast.
+those. Postings are as many as the templates' words, so they are broadcast.
 
 Null text: no words, no labels. Rows that repeat a document get the same answer. A text of any length is scanned whole.
 """
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrata.llm.common import cut, table
@@ -39,7 +39,6 @@ TEMPLATES = (
 )
 #: Words too common in any prose to be looked up.
 FUNCTION_WORDS = frozenset("a an and any are as at be by can for from if in into is it not of on one or that the this to under was with without you your may".split())
-TOP_WORDS = 12
 LEAST_VOTES = 3
 COVERAGE = 0.7
 SLACK = 2
@@ -57,7 +56,7 @@ def _case(phrases: list[str]) -> str:
     return f"CASE {' '.join(tests)} END"
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple = TEMPLATES, top_words: int = TOP_WORDS, coverage: float = COVERAGE) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     spark = docs.sparkSession
     posted = [(w, t, k) for t, (_, notice, _) in enumerate(templates) for k, w in enumerate(_words(notice)) if w not in FUNCTION_WORDS]
@@ -75,17 +74,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     spots = cut(words.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), found.alias("spots")))
 
     key = ["doc_id", "text_hash"]
-    docs_all = spots.count()
     hits = spots.where(F.exists("spots", lambda x: x["term"].isNotNull())).dropDuplicates(key).select(*key, F.explode("spots").alias("s")).select(*key, "s.*")
     terms = hits.where("term IS NOT NULL")
-    seen = terms.select(*key, "term").distinct()
-    weights = F.broadcast(seen.groupBy("term").agg(F.log((docs_all + 1) / (F.count("*") + 1)).alias("idf")))  # no more rows than template words
-    best = seen.join(weights, "term").withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("idf"), "term"))).where(F.col("r") <= top_words)
-    best = best.groupBy(*key).agg(F.collect_set("term").alias("looked_up"))
-    looked = terms.alias("t").join(best.alias("b"), F.col("t.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("t.text_hash") == F.col("b.text_hash")))
-    placed = looked.select("t.doc_id", "t.text_hash", "pos", "term", F.array_contains("looked_up", F.col("term")).alias("voter")).join(F.broadcast(postings), "term")
+    placed = terms.select(*key, "pos", "term").join(F.broadcast(postings), "term")
     placed = placed.withColumn("shift", F.col("pos") - F.col("at"))
-    votes = placed.groupBy(*key, "template", "shift").agg(F.count_distinct(F.when(F.col("voter"), F.col("term"))).alias("votes"), F.count_distinct("at").alias("in_place"))
+    votes = placed.groupBy(*key, "template", "shift").agg(F.count_distinct("term").alias("votes"), F.count_distinct("at").alias("in_place"))
     sizes = {t: sum(1 for _, u, _ in posted if u == t) for t in range(len(templates))}
     size_of = F.element_at(F.array(*[F.lit(max(1, sizes[t])) for t in range(len(templates))]), F.col("template") + 1)
     candidates = votes.where(F.col("votes") >= LEAST_VOTES).withColumn("share", F.col("in_place") / size_of).where(F.col("share") >= coverage)

@@ -130,6 +130,14 @@ def test_licence_notices(spark):
     assert all(0 <= s <= 1 for *_, s in got) and len(got) == len(rows)
 
 
+def test_licences_all_notices_at_once(spark):
+    """A text with all nine notices has all nine labels, though the words of one are rare in the corpus and of the rest common."""
+    notice = [text for _, text, _ in licenses.TEMPLATES]
+    rows = [(1, " and then ".join(notice)), (2, notice[0] + " . " + notice[4])] + [(10 + i, " ".join(notice[1:])) for i in range(40)]
+    labels = {i: x for i, _, x, _ in _licences(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert labels[1] == ",".join(sorted(label for label, _, _ in licenses.TEMPLATES)) and labels[2] == "bsd,mit"
+
+
 def test_licences_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").collect()}
     rows = _licences(licenses.op7_licenses(spark, MIDDLE))
