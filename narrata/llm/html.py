@@ -8,12 +8,12 @@ pages and only folded wrappers are shuffled, first by host and salt, then by hos
 
 From a wrapper comes the host's decision: the path of the main element (an article or main element, or else the smallest
 element with most of the varying text) and which single slots in it are constants. A page is then read along the decision:
-the main element's text without the parts that are not article by tag, role or class. A page that does not fit its host's
+the main element's text without the parts that are not article by tag, role or class. Beyond ``NODES`` nodes a wrapper's rare optional ones are folded into one. A page that does not fit its host's
 wrapper is read by its own tree, in the same way.
 
 Null or empty html, or none but excluded parts: empty text. Unclosed and misnested tags, cut-off pages and markup inside
-scripts are tolerated. Null urls form one host. A host whose pages share no
-template gets no wrapper and its pages are read by their own trees. Repeated rows get the same answer; nothing is capped.
+scripts are tolerated. Null urls form one host. Repeated rows get the
+same answer.
 """
 
 from __future__ import annotations
@@ -127,6 +127,7 @@ def _note_main(node: Element) -> bool:
 
 
 # A wrapper node: [label, pages, optional, repeated, children, text]; for a text label "#" and text (constant or null, varying length).
+# Label "*" stands for rare optional nodes folded into one: text (null, varying length, whether a main element is among them).
 
 
 def _folded(nodes: list[list]) -> list[list]:
@@ -150,6 +151,8 @@ def _aligned(a: list, b: list) -> list:
     """One node for two of the same label."""
     if a[0] == "#":
         return ["#", a[1] + b[1], a[2] or b[2], a[3] or b[3], [], [a[5][0] if a[5][0] == b[5][0] else None, a[5][1] + b[5][1]]]
+    if a[0] == "*":
+        return ["*", a[1] + b[1], True, True, [], [None, a[5][1] + b[5][1], a[5][2] or b[5][2]]]
     return [a[0], a[1] + b[1], a[2] or b[2], a[3] or b[3], _sequence(a[4], b[4]), None]
 
 
@@ -195,10 +198,36 @@ def _size(node: list) -> int:
     return 1 + sum(map(_size, node[4]))
 
 
+def _varying(node: list, constants: bool = False) -> int:
+    """Length of the node's varying text; with ``constants`` of all its text."""
+    if node[0] in ("#", "*"):
+        return node[5][1] if constants or node[5][0] is None else 0
+    return 0 if _unlike(node[0]) else sum(_varying(c, constants) for c in node[4])
+
+
+def _holds_main(node: list) -> bool:
+    if node[0] == "*":
+        return node[5][2]
+    return not _unlike(node[0]) and (node[0].split(".")[0] in MAIN_TAGS or any(map(_holds_main, node[4])))
+
+
+def _thinned(node: list, rare: int) -> list:
+    """``node`` with the optional elements below it that were seen at most ``rare`` times folded into one."""
+    gone = [c for c in node[4] if c[0] == "*" or (c[0] != "#" and c[2] and c[1] <= rare) or (c[0] == "#" and c[2] and c[1] <= rare)]
+    if not gone:
+        return [*node[:4], [_thinned(c, rare) for c in node[4]], node[5]]
+    star = ["*", sum(c[1] for c in gone), True, True, [], [None, sum(_varying(c, True) for c in gone), any(map(_holds_main, gone))]]
+    kept = [_thinned(c, rare) for c in node[4] if not any(c is g for g in gone)]
+    return [*node[:4], [*kept, star], node[5]]
+
+
 def joined(a: list | None, b: list | None) -> list | None:
-    """The wrapper of both; None for a host whose pages share no template (its wrapper would pass ``NODES``)."""
+    """The wrapper of both. Beyond ``NODES`` its rarest optional nodes are folded; what all pages have stays."""
     whole = None if a is None or b is None else _aligned(a, b)
-    return None if whole is None or _size(whole) > NODES else whole
+    rare = 1
+    while whole is not None and _size(whole) > NODES and rare < 2 * whole[1]:
+        whole, rare = _thinned(whole, rare), 2 * rare
+    return whole
 
 
 def _unlike(label: str) -> bool:
@@ -212,28 +241,25 @@ def decide(wrapper: list | None) -> dict:
         return {}
     paths: list[tuple[tuple, list]] = []
 
-    def varying(node: list) -> int:
-        if node[0] == "#":
-            return node[5][1] if node[5][0] is None else 0
-        return 0 if _unlike(node[0]) else sum(map(varying, node[4]))
-
     def mains(node: list, path: tuple) -> None:
         if node[0].split(".")[0] in MAIN_TAGS and not _unlike(node[0]):
             paths.append((path, node))
             return
         for child in node[4]:
-            if child[0] != "#" and not _unlike(child[0]):
+            if child[0] not in ("#", "*") and not _unlike(child[0]):
                 mains(child, (*path, child[0]))
 
     mains(wrapper, ())
-    if not paths and wrapper[1] >= LEAST_PAGES and (total := varying(wrapper)):
+    if not paths and _holds_main(wrapper):
+        return {}  # main elements under many labels: each page has its own
+    if not paths and wrapper[1] >= LEAST_PAGES and (total := _varying(wrapper)):
         node, path = wrapper, ()
-        while below := [c for c in node[4] if c[0] != "#" and not c[3] and varying(c) >= 0.8 * total]:
+        while below := [c for c in node[4] if c[0] not in ("#", "*") and not c[3] and _varying(c) >= 0.8 * total]:
             node, path = below[0], (*path, below[0][0])
         paths.append((path, node))
     if not paths:
         return {}
-    path, node = max(paths, key=lambda p: varying(p[1]))
+    path, node = max(paths, key=lambda p: _varying(p[1]))
     constant = []
 
     def slots(n: list, own: tuple, repeated: bool) -> None:
@@ -244,7 +270,7 @@ def decide(wrapper: list | None) -> dict:
             else:
                 slots(child, (*own, child[0]), repeated or child[3])
 
-    if wrapper[1] >= LEAST_PAGES and varying(node) > 0:
+    if wrapper[1] >= LEAST_PAGES and _varying(node) > 0:
         slots(node, (), False)
     return {"main": list(path), "constant": constant}
 

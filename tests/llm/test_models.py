@@ -238,6 +238,19 @@ def test_wrappers(spark):
         assert r.text.startswith(f"Title {r.page_id} para {r.page_id} 0") and "Always" not in r.text
 
 
+def test_wrapper_of_many_variants_keeps_its_template(monkeypatch):
+    """New class combinations and one very long page don't cost a host its main element and constants."""
+    monkeypatch.setattr(html, "NODES", 60)
+    odd = lambda i: "".join(f"<div class='post {chr(97 + i % 26)}{chr(97 + k)}x{chr(97 + i // 26)}'><p>text {i} {k} of a post</p></div>" for k in range(150 if i == 7 else 5))
+    site = lambda i: page(f"<div class=top>Always here</div><div class=body><h1>Title {i}</h1><b>Same on all</b>{odd(i)}</div><div class=foot>Always there</div>")
+    whole = html.wrapper_of(html.parse(site(0)))
+    for i in range(1, 60):
+        whole = html.joined(whole, html.wrapper_of(html.parse(site(i))))
+    assert html._size(whole) <= 60
+    text = html.main_text(site(3), html.decide(whole))
+    assert text.startswith("Title 3 text 3 0") and "Always" not in text and "Same" not in text
+
+
 def test_statistics_are_finite():
     for text in ("", " ", "a", "!!!", "|", "\n\n", "é" * 50, "x" * 100_000, "\x00\x01"):
         assert np.isfinite(quality.statistics(text)).all()
