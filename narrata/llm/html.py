@@ -13,7 +13,7 @@ wrapper is read by its own tree, in the same way.
 
 Null or empty html, or none but excluded parts: empty text. Unclosed and misnested tags, cut-off pages and markup inside
 scripts are tolerated. Null urls form one host. Repeated rows get the
-same answer.
+same answer. Below ``DEPTH`` open elements only main, excluded, header and heading elements (``MARKED`` of them) are told apart.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from narrata.llm.common import cut, table
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]{0,4000}"|'[^']{0,4000}'|["'])*?)(?:>|\Z)|([^<]+|<)""",
+    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*+"|'[^']*+'|["'])*?)(?:>|\Z)|([^<]+|<)""",
     re.S | re.I,
 )
 _MARKS = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -56,17 +56,19 @@ SALTS = 16
 LEAST_PAGES = 5
 SMALL_TABLE = 32 << 20
 HELD_HOSTS = 4000
-#: Nesting that is told apart, children that are aligned by their best common subsequence, nodes of a wrapper.
-DEPTH, CELLS, NODES = 120, 250_000, 4000
+#: Nesting that is told apart (and ``MARKED`` more for elements that matter to the reading), children that are aligned by their
+#: best common subsequence, nodes of a wrapper beyond which rare optional ones are folded.
+DEPTH, MARKED, CELLS, NODES = 120, 100, 250_000, 4000
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 
 
 class Element:
-    __slots__ = ("children", "has_main", "label", "tag", "words")
+    __slots__ = ("children", "deep", "has_main", "holder", "label", "tag", "words")
 
     def __init__(self, tag: str, marks: str = ""):
         found = [(k.lower(), a or b or c) for k, a, b, c in _MARKS.findall(marks)] if marks else []
         names = [w.lower() for k, v in found for w in v.split()]
-        self.tag, self.children, self.has_main = tag, [], False
+        self.tag, self.children, self.has_main, self.holder, self.deep = tag, [], False, self, 0
         self.words = {part for w in names for part in (w, *re.split(r"[-_:]+", w))} if names else frozenset()
         classes = sorted({w.lower() for k, v in found if k == "class" for w in v.split() if not re.search(r"\d", w)})
         self.label = ".".join([tag, *classes])
@@ -78,16 +80,35 @@ class Element:
         return self.tag in NOT_TEXT_TAGS or (self.tag not in ("html", "body") and bool(self.words & NOT_TEXT_WORDS))
 
 
+def _placed(node: Element, parent: Element) -> None:
+    """``node`` among its parent's children; below DEPTH elements that tell nothing give their contents to their holder."""
+    over = parent.holder
+    node.deep = over.deep + 1
+    if node.deep < DEPTH or (node.deep < DEPTH + MARKED and (node.tag in ("header", *HEADINGS) or node.excluded() or node.is_main())):
+        over.children.append(node)
+        return
+    node.holder = over
+    if node.tag in BLOCK:
+        over.children.append(" ")
+
+
+def _closed(nodes: list[Element]) -> None:
+    for node in nodes:
+        if node.holder is not node and node.tag in BLOCK:
+            node.holder.children.append(" ")
+
+
 def parse(page: str) -> Element:
     """The page's tree; texts are plain strings among the children."""
     root = Element("#root")
-    stack, deeper = [root], []  # deeper: open tags below DEPTH, whose texts go to the element at that depth
+    stack = [root]
     for m in _TOKEN.finditer(page):
         tag = m[3]
         if m[5] is not None:
-            stack[-1].children.append(m[5])
+            stack[-1].holder.children.append(m[5])
         elif tag is None:
-            if m[1] is None and stack[-1].children and not isinstance(stack[-1].children[-1], Element):
+            beside = stack[-1].holder.children
+            if m[1] is None and beside and not isinstance(beside[-1], Element):
                 continue  # a comment does not part a text
         elif not m[2]:
             tag = tag.lower()
@@ -95,23 +116,20 @@ def parse(page: str) -> Element:
                 for at in range(len(stack) - 1, 0, -1):
                     held = stack[at].tag
                     if held in CLOSES.get(tag, ()) or (held == "p" and tag in BLOCK and tag != "br"):
+                        _closed(stack[at:])
                         del stack[at:]
                         break
                     if held in HOLDERS or held in ("td", "th"):
                         break
             node = Element(tag, m[4])
-            stack[-1].children.append(node)
+            _placed(node, stack[-1])
             if tag not in VOID and not m[4].endswith("/"):
-                (stack if len(stack) < DEPTH else deeper).append(node)
+                stack.append(node)
         else:
             tag = tag.lower()
-            if any(d.tag == tag for d in deeper):
-                while deeper.pop().tag != tag:
-                    pass
-                continue
-            deeper.clear()
             for at in range(len(stack) - 1, 0, -1):
                 if stack[at].tag == tag:
+                    _closed(stack[at:])
                     del stack[at:]
                     break
                 if stack[at].tag in HOLDERS and tag not in HOLDERS:
@@ -314,7 +332,7 @@ def main_text(page: str | None, decision: dict) -> str:
                 if child.tag == "header" and not child.has_main:
                     read(child, (*own, child.label), True)
                 elif child.has_main or not child.excluded():
-                    headed = child.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+                    headed = child.tag in HEADINGS
                     read(child, (*own, child.label), heading_only and not headed)
             elif not heading_only:
                 if constant and ("/".join(own), zlib.crc32(" ".join(child.split()).encode("utf-8", "replace"))) in constant:

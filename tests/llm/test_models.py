@@ -238,6 +238,14 @@ def test_wrappers(spark):
         assert r.text.startswith(f"Title {r.page_id} para {r.page_id} 0") and "Always" not in r.text
 
 
+def test_html_deep_mains_and_long_attributes():
+    """An article opened below 120 elements, excluded parts that deep, and '>' in a very long attribute."""
+    deep = "<font>" * 150 + "<article><p>in</p><p>side</p><nav>menu</nav></article><div class=ad>buy</div>"
+    assert html.main_text(page(deep), {}) == "in side"
+    assert html.main_text(page("<span>" * 200 + "text<aside>no</aside> on"), {}) == "text on"
+    assert html.main_text(page(f'<p title="{"x" * 5000} > y">text</p>'), {}) == "text"
+
+
 def test_wrapper_of_many_variants_keeps_its_template(monkeypatch):
     """New class combinations and one very long page don't cost a host its main element and constants."""
     monkeypatch.setattr(html, "NODES", 60)
