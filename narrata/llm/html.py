@@ -1,19 +1,26 @@
 """Main text of web pages by union-free wrappers.
 
-Every host gets one wrapper, a union-free regular expression over its pages' tags: the element streams of its pages are
-aligned one after the other, equal neighbours become a repeated group, elements that one side lacks become optional, and
-texts that differ become slots while texts that stay the same are constants of the template. A wrapper is a tree of a few
-dozen nodes however many pages it has seen; wrappers of parts of a host align just like pages, so each task folds its own
-pages and only folded wrappers are shuffled, first by host and salt, then by host.
-
-From a wrapper comes the host's decision: the path of the main element (an article or main element, or else the smallest
-element with most of the varying text) and which single slots in it are constants. A page is then read along the decision:
-the main element's text without the parts that are not article by tag, role or class. Beyond ``NODES`` nodes a wrapper's rare optional ones are folded into one. A page that does not fit its host's
-wrapper is read by its own tree, in the same way.
-
-Null or empty html, or none but excluded parts: empty text. Unclosed and misnested tags, cut-off pages and markup inside
-scripts are tolerated. Null urls form one host. Repeated rows get the
-same answer. Below ``DEPTH`` open elements only main, excluded, header and heading elements (``MARKED`` of them) are told apart.
+Every host gets one wrapper, a union-free regular expression over its pages' block elements: the block streams of its pages
+are aligned one after the other by longest common subsequences of equal labels (tag and classes without digits), equal
+neighbours become a repeated group, blocks that one side lacks become optional, and texts that differ become slots while
+texts that stay the same, single ones and those at either end of a repeated group, are constants of the template.
+
+A page's own wrapper is a shape (labels and groups) and statistics that add up, so pages of one shape are one row however
+many there are, and shapes are aligned in the order of their hashes, in a tree of bounded steps: the wrapper of a host does
+not depend on how its pages lie in partitions, and no task holds more than a bounded number of shapes.
+
+The wrapper decides. The main element is the one with most varying prose, or the one around many such: text in slots, not in links, not in records
+(repeated groups of fixed short fields, such as comments and teasers). Tags and classes that mean an article, or menus,
+notices and so on, only weigh in, by 1 + 16 / pages: on a host with few pages they matter most. Within the main element
+constants, records, lists of links, template slots outside the flow of paragraphs and what tags and classes exclude go. A
+heading of first level before the main element belongs to it. A page that lacks the host's main element is read by the
+wrapper of its own, in the same way.
+
+Null or empty html, or none but excluded parts: empty text. Unclosed and misnested tags, cut-off pages, any depth, long
+attributes and texts, and markup inside scripts are read whole. Null urls form one host. Rows with equal html on one host
+get equal text, rows that repeat an id stay rows; extra columns are ignored; an empty table gives none. A wrapper of more
+than ``NODES`` blocks sheds its rarest optional ones; pages that have them read these by the rules for unknown blocks, and
+where the shed text outweighs the main element the host's pages are read by wrappers of their own.
 """
 
 from __future__ import annotations
@@ -22,7 +29,8 @@ import html as entities
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Generator, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -30,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrata.functions.shipping import ship_package
-from narrata.llm.common import cut, table
+from narrata.llm.common import cut, partitions, table
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -52,84 +60,68 @@ NOT_TEXT_WORDS = frozenset(
     "subscription taboola toolbar widget".split()
 )
 MAIN_TAGS, MAIN_WORDS = ("article", "main"), frozenset(("articlebody", "main"))
-SALTS = 16
-LEAST_PAGES = 5
-SMALL_TABLE = 32 << 20
-HELD_HOSTS = 4000
-#: Nesting that is told apart (and ``MARKED`` more for elements that matter to the reading), children that are aligned by their
-#: best common subsequence, nodes of a wrapper beyond which rare optional ones are folded.
-DEPTH, MARKED, CELLS, NODES = 120, 100, 250_000, 4000
+#: Tags whose texts count for the element around them; inline tags that mark words up and do not make a field of a record.
+THROUGH = frozenset("ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption center details summary address".split())
+MARKUP = frozenset("b strong em i u code mark sub sup small q br".split())
+HOLDS = frozenset("#root div section article main td center form fieldset li details".split())
+RECORDS = frozenset("div li section article ul dl details".split())
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+SPACES = frozenset(("br", "hr"))
+#: Pages from which on equal texts are constants; lengths of a prose text, a short field and a record; blocks of a wrapper;
+#: cells of an alignment by best common subsequence (longer lists are aligned in order); shapes aligned in one task.
+LEAST_PAGES, PROSE, FIELD, RECORD, NODES, CELLS, FAN = 5, 40, 40, 200, 4000, 250_000, 64
+SMALL_TABLE = 32 << 20
+HELD_SHAPES = 4000
 
 
 class Element:
-    __slots__ = ("children", "deep", "has_main", "holder", "label", "tag", "words")
+    __slots__ = ("children", "inner", "label", "parts", "tag", "words")
 
     def __init__(self, tag: str, marks: str = ""):
         found = [(k.lower(), a or b or c) for k, a, b, c in _MARKS.findall(marks)] if marks else []
-        names = [w.lower() for k, v in found for w in v.split()]
-        self.tag, self.children, self.has_main, self.holder, self.deep = tag, [], False, self, 0
-        self.words = {part for w in names for part in (w, *re.split(r"[-_:]+", w))} if names else frozenset()
-        classes = sorted({w.lower() for k, v in found if k == "class" for w in v.split() if not re.search(r"\d", w)})
-        self.label = ".".join([tag, *classes])
-
-    def is_main(self) -> bool:
-        return (self.tag in MAIN_TAGS or bool(self.words & MAIN_WORDS)) and not self.excluded()
-
-    def excluded(self) -> bool:
-        return self.tag in NOT_TEXT_TAGS or (self.tag not in ("html", "body") and bool(self.words & NOT_TEXT_WORDS))
-
-
-def _placed(node: Element, parent: Element) -> None:
-    """``node`` among its parent's children; below DEPTH elements that tell nothing give their contents to their holder."""
-    over = parent.holder
-    node.deep = over.deep + 1
-    if node.deep < DEPTH or (node.deep < DEPTH + MARKED and (node.tag in ("header", *HEADINGS) or node.excluded() or node.is_main())):
-        over.children.append(node)
-        return
-    node.holder = over
-    if node.tag in BLOCK:
-        over.children.append(" ")
-
-
-def _closed(nodes: list[Element]) -> None:
-    for node in nodes:
-        if node.holder is not node and node.tag in BLOCK:
-            node.holder.children.append(" ")
+        self.tag, self.children, self.inner = tag, [], False
+        self.words = {w.lower() for _, v in found for w in v.split()} if found else frozenset()
+        self.parts = {part for w in self.words for part in re.split(r"[-_:]+", w)} if found else frozenset()
+        classes = {w.lower() for k, v in found if k == "class" for w in v.split() if not re.search(r"\d", w)}
+        known = {w for k, v in found if k != "class" for w in v.lower().split() if w in NOT_TEXT_WORDS or w in MAIN_WORDS}
+        self.label = ".".join([tag, *sorted(classes | known)]) if found else tag
 
 
 def parse(page: str) -> Element:
     """The page's tree; texts are plain strings among the children."""
     root = Element("#root")
+    root.inner = True
     stack = [root]
     for m in _TOKEN.finditer(page):
         tag = m[3]
         if m[5] is not None:
-            stack[-1].holder.children.append(m[5])
+            stack[-1].children.append(m[5])
         elif tag is None:
-            beside = stack[-1].holder.children
-            if m[1] is None and beside and not isinstance(beside[-1], Element):
-                continue  # a comment does not part a text
+            continue
         elif not m[2]:
             tag = tag.lower()
-            if tag in CLOSES or tag in BLOCK:
+            block = tag in BLOCK
+            if block or tag in CLOSES:
                 for at in range(len(stack) - 1, 0, -1):
                     held = stack[at].tag
-                    if held in CLOSES.get(tag, ()) or (held == "p" and tag in BLOCK and tag != "br"):
-                        _closed(stack[at:])
+                    if held in CLOSES.get(tag, ()) or (held == "p" and block and tag != "br"):
                         del stack[at:]
                         break
                     if held in HOLDERS or held in ("td", "th"):
                         break
             node = Element(tag, m[4])
-            _placed(node, stack[-1])
+            stack[-1].children.append(node)
+            if block and tag not in SPACES:
+                for over in reversed(stack):
+                    if over.inner:
+                        break
+                    over.inner = True
             if tag not in VOID and not m[4].endswith("/"):
                 stack.append(node)
         else:
             tag = tag.lower()
             for at in range(len(stack) - 1, 0, -1):
                 if stack[at].tag == tag:
-                    _closed(stack[at:])
                     del stack[at:]
                     break
                 if stack[at].tag in HOLDERS and tag not in HOLDERS:
@@ -137,250 +129,564 @@ def parse(page: str) -> Element:
     return root
 
 
-def _note_main(node: Element) -> bool:
-    for child in node.children:
-        if isinstance(child, Element) and (_note_main(child) or child.is_main()):
-            node.has_main = True
-    return node.has_main
+class Block:
+    """A block of a page or of a wrapper.
+
+    ``n`` times seen, on ``pages`` pages; a leaf has the sums of its texts' lengths, of the parts in links and of a leading
+    field (-1: not in all), and the hashes of its text, of the first and of the last of a group, where they are always equal.
+    """
+
+    __slots__ = ("chars", "const", "first", "kids", "label", "last", "lead", "links", "n", "of", "pages", "repeated", "text")
+
+    def __init__(self, label: str, of: Element | None = None, text: str = "", links: int = 0, lead: int = -1):
+        self.label, self.of, self.text, self.kids, self.n, self.pages, self.repeated = label, of, text, [], 1, 1, False
+        self.chars, self.links, self.lead = len(text), links, lead
+        self.const = self.first = self.last = zlib.crc32(text.encode("utf-8", "replace")) if text else None
+
+
+def _unwanted(node: Element) -> bool:
+    """Inline: by tag or whole word."""
+    return node.tag in NOT_TEXT_TAGS or not NOT_TEXT_WORDS.isdisjoint(node.words)
+
+
+def _leaf(label: str, of: Element | None, run: list) -> Block:
+    """A block without blocks inside; excluded inline elements are no part of its text."""
+    out, links, lead, steady = [], 0, -1, True
+    markup = MARKUP if of is None or of.tag != "div" else ("br",)
+    stack = [(child, False, 0) for child in reversed(run)]
+    while stack:
+        child, linked, depth = stack.pop()
+        if isinstance(child, str):
+            text = entities.unescape(child) if "&" in child else child
+            out.append(text)
+            full = len(" ".join(text.split())) if linked or (depth and steady) or not text.isspace() else 0
+            if linked:
+                links += full
+            if full and steady:
+                steady = depth > 0
+                if steady:
+                    lead = max(lead, 0) + full
+        elif child.tag in SPACES:
+            out.append(" ")
+        elif not _unwanted(child):
+            first = depth == 0 and steady and lead < 0 and child.tag not in markup
+            steady = steady and (first or depth > 0)
+            stack += [(c, linked or child.tag == "a", 1 if first or depth else 0) for c in reversed(child.children)]
+    return Block(label, of, " ".join("".join(out).split()), links, lead)
+
+
+def _label(node: Element) -> str:
+    """Paragraphs and lower headings without classes are of one label each."""
+    if node.label in ("h2", "h3", "h4", "h5", "h6"):
+        return "h"
+    return "p" if node.label in ("p", "blockquote", "pre") and not node.inner else node.label
+
+
+def blocks(root: Element) -> Block:
+    """The page's tree of blocks; html and body are seen through."""
+    top = Block("#root", root)
+    stack = [(top, iter(root.children), [])]
+    while stack:
+        over, rest, run = stack[-1]
+        for child in rest:
+            if isinstance(child, Element) and (child.inner or (child.tag in BLOCK and child.tag not in SPACES)):
+                _flush(over, run)
+                if child.tag in ("html", "body"):
+                    stack.append((over, iter(child.children), []))
+                    break
+                if child.inner:
+                    node = Block(_label(child), child)
+                    over.kids.append(node)
+                    stack.append((node, iter(child.children), []))
+                    break
+                leaf = _leaf(_label(child), child, child.children)
+                if leaf.text or child.tag in MAIN_TAGS:
+                    over.kids.append(leaf)
+            else:
+                run.append(child)
+        else:
+            _flush(over, run)
+            stack.pop()
+    return top
+
+
+def _flush(over: Block, run: list) -> None:
+    if run and (leaf := _leaf("#", None, run)).text:
+        over.kids.append(leaf)
+    run.clear()
 
 
-# A wrapper node: [label, pages, optional, repeated, children, text]; for a text label "#" and text (constant or null, varying length).
-# Label "*" stands for rare optional nodes folded into one: text (null, varying length, whether a main element is among them).
+# Alignment recurses by generators that yield the calls they wait for, so that no depth of a page is too deep.
 
 
-def _folded(nodes: list[list]) -> list[list]:
-    """Equal neighbours become one repeated node; so do equal pairs of neighbours (term and description, say)."""
-    out: list[list] = []
-    for node in nodes:
-        if out and out[-1][0] == node[0]:
-            out[-1] = _aligned(out[-1], node)
-            out[-1][3] = out[-1][3] or node[0] != "#"
-        elif len(out) > 2 and out[-2][0] == node[0] and out[-1][0] == out[-3][0] and node[0] != "#":
-            last = out.pop()
-            out[-2] = _aligned(out[-2], last)
-            out[-1] = _aligned(out[-1], node)
-            out[-1][3] = out[-2][3] = True
-        else:
-            out.append(node)
+def _run(call: Generator):
+    stack, value = [call], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
+
+
+def _summed(a: Block, b: Block, within: bool) -> Block:
+    """One leaf, or one block still without its inside, for two of the same label, of one page or of two."""
+    out = Block(a.label)
+    out.n, out.chars, out.links, out.repeated = a.n + b.n, a.chars + b.chars, a.links + b.links, a.repeated or b.repeated or within
+    out.pages = max(a.pages, b.pages) if within else a.pages + b.pages
+    out.lead = -1 if a.lead < 0 or b.lead < 0 else a.lead + b.lead
+    same = lambda x, y: x if x == y else None
+    out.const = same(a.const, b.const)
+    out.first, out.last = (a.first, b.last) if within else (same(a.first, b.first), same(a.last, b.last))
     return out
 
 
-def _aligned(a: list, b: list) -> list:
-    """One node for two of the same label."""
-    if a[0] == "#":
-        return ["#", a[1] + b[1], a[2] or b[2], a[3] or b[3], [], [a[5][0] if a[5][0] == b[5][0] else None, a[5][1] + b[5][1]]]
-    if a[0] == "*":
-        return ["*", a[1] + b[1], True, True, [], [None, a[5][1] + b[5][1], a[5][2] or b[5][2]]]
-    return [a[0], a[1] + b[1], a[2] or b[2], a[3] or b[3], _sequence(a[4], b[4]), None]
+def _aligned(a: Block, b: Block, within: bool) -> Generator:
+    out = _summed(a, b, within)
+    if a.kids and b.kids:
+        out.kids = yield _sequence(a.kids, b.kids)
+    else:
+        out.kids = a.kids or b.kids
+    return out
 
 
-def _sequence(a: list[list], b: list[list]) -> list[list]:
-    """Two child sequences as one: a longest common subsequence is aligned, the rest becomes optional."""
-    n, m = len(a), len(b)
-    if [x[0] for x in a] == [x[0] for x in b]:
-        return [_aligned(x, y) for x, y in zip(a, b, strict=True)]
+def _pairs(a: list[Block], b: list[Block]) -> Iterator[tuple[Block | None, Block | None]]:
+    """Two sequences side by side: a longest common subsequence of labels is matched; in very long ones the next equal ones."""
+    head = 0
+    while head < min(len(a), len(b)) and a[head].label == b[head].label:
+        yield a[head], b[head]
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and a[-1 - tail].label == b[-1 - tail].label:
+        tail += 1
+    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    n, m = len(x), len(y)
     if n * m > CELLS:
-        by: dict[str, list] = {}
-        for x in (*a, *b):
-            by[x[0]] = _aligned(by[x[0]], x) if x[0] in by else x
-        return [[x[0], x[1], True, True, *x[4:]] for x in by.values()]
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
-    i, j, out = 0, 0, []
-    while i < n or j < m:
-        if i < n and j < m and a[i][0] == b[j][0] and best[i][j] == best[i + 1][j + 1] + 1:
-            out.append(_aligned(a[i], b[j]))
-            i, j = i + 1, j + 1
+        where: dict[str, list[int]] = {}
+        for j, node in enumerate(y):
+            where.setdefault(node.label, []).append(j)
+        j = 0
+        for node in x:
+            places = where.get(node.label, [])
+            at = bisect_left(places, j)
+            if at < len(places):
+                yield from ((None, other) for other in y[j : places[at]])
+                yield node, y[places[at]]
+                j = places[at] + 1
+            else:
+                yield node, None
+        yield from ((None, other) for other in y[j:])
+    elif n and m:
+        best = [[0] * (m + 1) for _ in range(n + 1)]
+        for i in range(n - 1, -1, -1):
+            for j in range(m - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if x[i].label == y[j].label else max(best[i + 1][j], best[i][j + 1])
+        i = j = 0
+        while i < n or j < m:
+            if i < n and j < m and x[i].label == y[j].label and best[i][j] == best[i + 1][j + 1] + 1:
+                yield x[i], y[j]
+                i, j = i + 1, j + 1
+            elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
+                yield x[i], None
+                i += 1
+            else:
+                yield None, y[j]
+                j += 1
+    else:
+        yield from ((node, None) for node in x)
+        yield from ((None, node) for node in y)
+    yield from zip(a[len(a) - tail :], b[len(b) - tail :], strict=True)
+
+
+def _sequence(a: list[Block], b: list[Block]) -> Generator:
+    out = []
+    for x, y in _pairs(a, b):
+        if x is None or y is None:
+            out.append(x or y)
+        elif x.kids or y.kids:
+            out.append((yield _aligned(x, y, False)))
         else:
-            left = j == m or (i < n and best[i + 1][j] >= best[i][j + 1])
-            node = a[i] if left else b[j]
-            out.append([*node[:2], True, *node[3:]])
-            i, j = i + left, j + (not left)
-    return _folded(out)
+            out.append(_summed(x, y, False))
+    return (yield _folded(out))
 
 
-def wrapper_of(node: Element) -> list:
-    """The wrapper of one page alone."""
-    parts = []
-    for child in node.children:
-        if isinstance(child, Element):
-            parts.append(wrapper_of(child))
-        elif text := " ".join(child.split()):
-            parts.append(["#", 1, False, False, [], [zlib.crc32(text.encode("utf-8", "replace")), len(text)]])
-    return [node.label, 1, False, False, _folded(parts), None]
+def _folded(nodes: list[Block]) -> Generator:
+    """Equal neighbours become one repeated block; so do equal pairs of neighbours (term and description, say)."""
+    out: list[Block] = []
+    for node in nodes:
+        if out and out[-1].label == node.label:
+            out[-1] = (yield _aligned(out[-1], node, True)) if node.kids or out[-1].kids else _summed(out[-1], node, True)
+        elif len(out) > 2 and out[-2].label == node.label and out[-1].label == out[-3].label:
+            last = out.pop()
+            out[-2] = yield _aligned(out[-2], last, True)
+            out[-1] = yield _aligned(out[-1], node, True)
+        else:
+            out.append(node)
+    return out
 
 
-def _size(node: list) -> int:
-    return 1 + sum(map(_size, node[4]))
+def _wrapped(top: Block) -> Generator:
+    out = _summed_alone(top)
+    inside = []
+    for kid in top.kids:
+        inside.append((yield _wrapped(kid)) if kid.kids else kid)
+    out.kids = yield _folded(inside)
+    return out
 
 
-def _varying(node: list, constants: bool = False) -> int:
-    """Length of the node's varying text; with ``constants`` of all its text."""
-    if node[0] in ("#", "*"):
-        return node[5][1] if constants or node[5][0] is None else 0
-    return 0 if _unlike(node[0]) else sum(_varying(c, constants) for c in node[4])
+def _summed_alone(node: Block) -> Block:
+    out = Block(node.label)
+    out.chars, out.links, out.lead, out.const, out.first, out.last = node.chars, node.links, node.lead, node.const, node.first, node.last
+    return out
 
 
-def _holds_main(node: list) -> bool:
-    if node[0] == "*":
-        return node[5][2]
-    return not _unlike(node[0]) and (node[0].split(".")[0] in MAIN_TAGS or any(map(_holds_main, node[4])))
+def wrapper_of(top: Block) -> Block:
+    """The wrapper of one page alone."""
+    return _run(_wrapped(top))
 
 
-def _thinned(node: list, rare: int) -> list:
-    """``node`` with the optional elements below it that were seen at most ``rare`` times folded into one."""
-    gone = [c for c in node[4] if c[0] == "*" or (c[0] != "#" and c[2] and c[1] <= rare) or (c[0] == "#" and c[2] and c[1] <= rare)]
-    if not gone:
-        return [*node[:4], [_thinned(c, rare) for c in node[4]], node[5]]
-    star = ["*", sum(c[1] for c in gone), True, True, [], [None, sum(_varying(c, True) for c in gone), any(map(_holds_main, gone))]]
-    kept = [_thinned(c, rare) for c in node[4] if not any(c is g for g in gone)]
-    return [*node[:4], [*kept, star], node[5]]
+def preorder(top: Block) -> list[tuple[Block, int]]:
+    """Blocks in page order, each with the place of the block around it."""
+    out, stack = [], [(top, -1)]
+    while stack:
+        node, over = stack.pop()
+        out.append((node, over))
+        at = len(out) - 1
+        stack += [(kid, at) for kid in reversed(node.kids)]
+    return out
 
 
-def joined(a: list | None, b: list | None) -> list | None:
-    """The wrapper of both. Beyond ``NODES`` its rarest optional nodes are folded; what all pages have stays."""
-    whole = None if a is None or b is None else _aligned(a, b)
+def _thinned(top: Block) -> Block:
+    """``top`` with its rarest blocks folded into a star while it has more than ``NODES``."""
     rare = 1
-    while whole is not None and _size(whole) > NODES and rare < 2 * whole[1]:
-        whole, rare = _thinned(whole, rare), 2 * rare
-    return whole
-
-
-def _unlike(label: str) -> bool:
-    tag, *classes = label.split(".")
-    return tag in NOT_TEXT_TAGS or any(part in NOT_TEXT_WORDS for c in classes for part in (c, *re.split(r"[-_:]+", c)))
-
-
-def decide(wrapper: list | None) -> dict:
-    """Where the host's pages have their main text: path of labels, and the constant single slots within."""
-    if wrapper is None:
-        return {}
-    paths: list[tuple[tuple, list]] = []
-
-    def mains(node: list, path: tuple) -> None:
-        if node[0].split(".")[0] in MAIN_TAGS and not _unlike(node[0]):
-            paths.append((path, node))
-            return
-        for child in node[4]:
-            if child[0] not in ("#", "*") and not _unlike(child[0]):
-                mains(child, (*path, child[0]))
-
-    mains(wrapper, ())
-    if not paths and _holds_main(wrapper):
-        return {}  # main elements under many labels: each page has its own
-    if not paths and wrapper[1] >= LEAST_PAGES and (total := _varying(wrapper)):
-        node, path = wrapper, ()
-        while below := [c for c in node[4] if c[0] not in ("#", "*") and not c[3] and _varying(c) >= 0.8 * total]:
-            node, path = below[0], (*path, below[0][0])
-        paths.append((path, node))
-    if not paths:
-        return {}
-    path, node = max(paths, key=lambda p: _varying(p[1]))
-    constant = []
-
-    def slots(n: list, own: tuple, repeated: bool) -> None:
-        for child in n[4]:
-            if child[0] == "#":
-                if not repeated and not child[3] and child[5][0] is not None and child[1] == wrapper[1]:
-                    constant.append(["/".join(own), child[5][0]])
-            else:
-                slots(child, (*own, child[0]), repeated or child[3])
-
-    if wrapper[1] >= LEAST_PAGES and _varying(node) > 0:
-        slots(node, (), False)
-    return {"main": list(path), "constant": constant}
-
-
-def _regions(root: Element, path: list[str] | None) -> list[Element]:
-    if path is not None:
-        level = [root]
-        for label in path:
-            level = [c for node in level for c in node.children if isinstance(c, Element) and c.label == label]
-        if level:
-            return level
-    found: list[Element] = []
+    while len(listed := preorder(top)) > NODES and rare < top.n:
+        for node, _ in listed:
+            gone = [k for k in node.kids if k.label == "*" or k.pages <= rare]
+            if len(gone) > 1:
+                star = Block("*")
+                star.n, star.pages, star.const, star.chars = sum(k.n for k in gone), max(k.pages for k in gone), None, 0
+                for k in gone:
+                    star.chars += sum(x.chars for x, _ in preorder(k))
+                node.kids = [*[k for k in node.kids if k.label != "*" and k.pages > rare], star]
+        rare *= 2
+    return top
+
+
+def joined(a: Block, b: Block) -> Block:
+    """The wrapper of both."""
+    return _thinned(_run(_aligned(a, b, False)))
+
+
+def shape(top: Block) -> tuple[str, list[int]]:
+    """A wrapper as its shape, by which equal ones are found, and its statistics (-1: none, for hashes)."""
+    labels, sums = [], []
+    for node, _ in preorder(top):
+        labels.append([node.label, int(node.repeated), len(node.kids)])
+        hashes = [-1 if h is None else h for h in (node.const, node.first, node.last)]
+        sums += [node.n, node.pages, node.chars, node.links, node.lead, *hashes]
+    return json.dumps(labels, separators=(",", ":"), ensure_ascii=False), sums
+
+
+def added(a: list[int], b: list[int]) -> list[int]:
+    """The statistics of two wrappers of one shape."""
+    out = [x + y for x, y in zip(a, b, strict=True)]
+    for at in range(0, len(out), 8):
+        if a[at + 4] < 0 or b[at + 4] < 0:
+            out[at + 4] = -1
+        for k in (at + 5, at + 6, at + 7):
+            out[k] = a[k] if a[k] == b[k] else -1
+    return out
 
-    def seek(node: Element) -> None:
-        for child in node.children:
-            if isinstance(child, Element):
-                if child.is_main():
-                    found.append(child)
-                elif child.has_main or not child.excluded():
-                    seek(child)
 
-    seek(root)
-    return found or [root]
+def unshaped(labels: str, sums: list[int]) -> Block:
+    made, open_ = [], []
+    for k, (label, repeated, kids) in enumerate(json.loads(labels)):
+        node = Block(label)
+        node.repeated = bool(repeated)
+        node.n, node.pages, node.chars, node.links, node.lead, *hashes = (int(x) for x in sums[8 * k : 8 * k + 8])
+        node.const, node.first, node.last = (None if h == -1 else h for h in hashes)
+        if open_:
+            open_[-1][0].kids.append(node)
+            open_[-1][1] -= 1
+            if not open_[-1][1]:
+                open_.pop()
+        if kids:
+            open_.append([node, kids])
+        made.append(node)
+    return made[0]
+
+
+def _words(label: str) -> tuple[str, set[str]]:
+    tag, *words = label.split(".")
+    return tag, set(words)
+
+
+def decide(top: Block) -> list | None:
+    """What to read on pages of this wrapper, as nested lists: label, which of its siblings of this label, how many those
+    are, action, hashes, inner ones. Actions: "" look inside, main, keep, drop, const (drop what has this hash), ends."""
+    listed = preorder(top)
+    count, pages = len(listed), top.n
+    node = [x for x, _ in listed]
+    over = [o for _, o in listed]
+    named = [_words(x.label) for x in node]
+    leaf = [not x.kids for x in node]
+    grown = pages >= LEAST_PAGES and any(f and x.const is None and x.chars for x, f in zip(node, leaf, strict=True))
+    prior = 1 + 16 / pages
+    constant = [grown and f and x.const is not None and 2 * x.n >= pages for x, f in zip(node, leaf, strict=True)]
+    out = [t in NOT_TEXT_TAGS or not NOT_TEXT_WORDS.isdisjoint(w) for t, w in named]
+    whole, links, prose, below, record = [0] * count, [0] * count, [0.0] * count, [0.0] * count, [False] * count
+    for i in range(count - 1, -1, -1):
+        x, (tag, _) = node[i], named[i]
+        if leaf[i]:
+            whole[i], links[i] = x.chars, x.links
+            record[i] = x.repeated and tag in RECORDS and x.lead > 0 and x.lead <= FIELD * x.n and x.lead < 0.6 * x.chars
+            if not constant[i] and x.label != "*" and 2 * x.links <= x.chars:
+                prose[i] = (x.chars - x.links) * min(1.0, x.chars / x.n / PROSE)
+        elif x.repeated and tag in RECORDS and all(not k.kids and k.n <= x.n for k in x.kids) and len(x.kids) > 1:
+            first = x.kids[0]
+            headed = first.label.split(".")[0] in ("h", *HEADINGS)
+            record[i] = first.n >= x.n and first.chars <= FIELD * first.n and (not headed or whole[i] <= RECORD * x.n)
+        less = (0.1 if record[i] else 1) * (0.1 / prior if out[i] else 1)
+        weight = prose[i] * less
+        below[i] = prose[i] if leaf[i] else below[i]
+        if over[i] >= 0:
+            below[over[i]] += below[i] * less
+            whole[over[i]] += whole[i]
+            links[over[i]] += links[i]
+            if leaf[i]:
+                prose[over[i]] += weight * (0.5 if tag in HOLDS and not x.repeated and tag != "li" else 1)
+            elif tag in THROUGH or x.repeated:
+                prose[over[i]] += weight
+    factor, main = [1.0] * count, [False] * count
+    best, most = 0, -1.0
+    for i in range(count):
+        tag, words = named[i]
+        factor[i] = (factor[over[i]] if i else 1.0) * (0.1 / prior if out[i] else 1) * (0.1 if record[i] else 1)
+        own = (tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)) and not out[i]
+        main[i] = own or (i > 0 and main[over[i]])
+        score = prose[i] * factor[i] * (prior if main[i] else 1)
+        if tag in HOLDS and score > most:
+            best, most = i, score
+    if sum(x.chars for x in node if x.label == "*") > max(most, 0):
+        return None
+    while best > 0 and not main[best] and prose[best] < 0.4 * below[over[best]]:  # one of many blocks that hold the text
+        best = over[best]
+    at = best
+    while at > 0:  # up to the nearest single article around it
+        tag, words = named[at]
+        if (tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)) and not out[at] and (at == best or not node[at].repeated):
+            best = at
+            break
+        at = over[at]
+    inside = lambda i, j: i == j or (i > j and inside_of[i])
+    inside_of = [False] * count
+    for i in range(count):
+        inside_of[i] = i == best or (i > 0 and inside_of[over[i]])
+    act: list[tuple] = [("",)] * count
+    useful = [False] * count
+    act[best], useful[best] = ("main",), True
+    flow = sum(node[i].chars for i in range(best, count) if inside(i, best) and leaf[i] and named[i][0] in ("p", "h", "li", "td", "th", "dd", "dt", "figcaption", *HEADINGS))
+    kept = [0] * count
+    for i in range(count - 1, best - 1, -1):
+        if not inside(i, best):
+            continue
+        x, (tag, words) = node[i], named[i]
+        if i != best:
+            ends = grown and leaf[i] and x.repeated and (x.first is not None or x.last is not None) and x.const is None
+            if record[i]:
+                act[i] = ("drop",)
+            elif constant[i] and tag != "h1":
+                act[i] = ("const", x.const)
+            elif (tag in ("ul", "ol", "div", "section", "table", "dl") or (tag == "td" and whole[i] >= FIELD * x.n)) and whole[i] and links[i] >= 0.6 * whole[i]:
+                act[i] = ("drop",)
+            elif grown and leaf[i] and tag in ("div", "section") and not x.repeated and 2 * x.pages >= pages and flow >= 0.8 * whole[best]:
+                act[i] = ("drop",)
+            elif ends:
+                act[i] = ("ends", x.first, x.last)
+            elif not leaf[i] and kept[i] < 0.3 * whole[i] and tag not in ("td", "tr"):
+                act[i] = ("drop",)
+            useful[i] = useful[i] or act[i] != ("",)
+            if act[i][0] in ("", "ends") and not out[i]:
+                kept[over[i]] += whole[i] if leaf[i] else kept[i]
+            useful[over[i]] = useful[over[i]] or useful[i]
+        elif leaf[i]:
+            kept[i] = whole[i]
+    if not any(inside(i, best) and named[i][0] == "h1" for i in range(best, count)):
+        for i in range(best - 1, 0, -1):
+            if named[i][0] == "h1" and leaf[i] and not constant[i] and factor[i] == factor[over[i]] and factor[i] >= 1 and i != best:
+                act[i], useful[i] = ("keep",), True
+                break
+    for i in range(count - 1, 0, -1):
+        useful[over[i]] = useful[over[i]] or useful[i]
+    told: dict[int, list] = {}
+    for i in range(count):
+        if not useful[i] and i:
+            continue
+        kin = [k for k in node[over[i]].kids if k.label == node[i].label] if i else [top]
+        told[i] = [node[i].label, next(k for k, x in enumerate(kin) if x is node[i]), len(kin), act[i][0], list(act[i][1:]), []]
+        if i:
+            told[over[i]][5].append(told[i])
+    return told[0]
+
+
+def _matched(kids: list[Block], known: list[list]) -> list[list | None]:
+    """Which known block each of a page's blocks is: by label and, where siblings share it, by the run of equal labels."""
+    by: dict[str, list[list]] = {}
+    for d in known:
+        by.setdefault(d[0], []).append(d)
+    runs: dict[str, int] = {}
+    out, before = [], None
+    for kid in kids:
+        if kid.label != before:
+            runs[kid.label] = runs.get(kid.label, -1) + 1
+            before = kid.label
+        out.append(next((d for d in by.get(kid.label, ()) if d[1] == min(runs[kid.label], d[2] - 1)), None))
+    return out
 
 
-def main_text(page: str | None, decision: dict) -> str:
-    """The page's main text, blocks joined by one space."""
+def _kept(node: Block, heading_only: bool) -> tuple[bool, bool]:
+    """Whether a block in the main element is read, and whether only headings in it are: by its tag and words."""
+    of = node.of
+    if of is None:
+        return not heading_only, heading_only
+    headed = of.tag in HEADINGS
+    if of.tag == "header" or (of.tag in ("div", "section") and not {"header", "masthead"}.isdisjoint(of.parts)):
+        return bool(node.kids), True
+    if _unwanted(of) or (of.tag in ("div", "ul", "ol", "section", "table", "dl") and not NOT_TEXT_WORDS.isdisjoint(of.parts)):
+        return False, heading_only
+    return headed or not heading_only or bool(node.kids), heading_only and not headed
+
+
+def _found(top: Block, decision: list) -> tuple[list, bool]:
+    """Blocks to read with what is known of them, in page order, and whether the main element is among them."""
+    out, stack, whole = [], [(top, decision)], False
+    while stack:
+        node, d = stack.pop()
+        if d[3] == "main" or d[3] == "keep":
+            out.append((node, d))
+            whole = whole or d[3] == "main"
+        elif d[5]:
+            stack += [(kid, k) for kid, k in reversed(list(zip(node.kids, _matched(node.kids, d[5]), strict=True))) if k is not None]
+    return out, whole
+
+
+def _read(region: Block, d: list, out: list[str]) -> None:
+    stack = [(region, d, d[3] == "keep", True)]
+    while stack:
+        node, d, heading_only, first = stack.pop()
+        if not first:
+            read, heading_only = _kept(node, heading_only)
+            if not read or (d and (d[3] == "drop" or (d[3] == "const" and node.const == d[4][0]))):
+                continue
+        if not node.kids:
+            out.append(node.text)
+            continue
+        known = _matched(node.kids, d[5]) if d and d[5] else [None] * len(node.kids)
+        parts = list(zip(node.kids, known, strict=True))
+        same = lambda i, j: 0 <= j < len(parts) and parts[j][0].label == parts[i][0].label
+        parts = [p for i, p in enumerate(parts) if not (p[1] and p[1][3] == "ends" and ((not same(i, i - 1) and p[0].const == p[1][4][0]) or (not same(i, i + 1) and p[0].const == p[1][4][1])))]
+        stack += [(kid, k, heading_only, False) for kid, k in reversed(parts)]
+
+
+def main_text(page: str | None, decision: list | None) -> str:
+    """The page's main text, blocks joined by one space; without a decision, or where it doesn't fit, by a wrapper of the page."""
     if not page:
         return ""
-    root = parse(page)
-    _note_main(root)
-    constant = {(p, h) for p, h in decision.get("constant", ())}
+    top = blocks(parse(page))
+    regions, whole = _found(top, decision) if decision else ([], False)
+    if not whole:
+        regions, _ = _found(top, decide(wrapper_of(top)))
     out: list[str] = []
-
-    def read(node: Element, own: tuple, heading_only: bool) -> None:
-        block = node.tag in BLOCK
-        if block:
-            out.append(" ")
-        for child in node.children:
-            if isinstance(child, Element):
-                if child.tag == "header" and not child.has_main:
-                    read(child, (*own, child.label), True)
-                elif child.has_main or not child.excluded():
-                    headed = child.tag in HEADINGS
-                    read(child, (*own, child.label), heading_only and not headed)
-            elif not heading_only:
-                if constant and ("/".join(own), zlib.crc32(" ".join(child.split()).encode("utf-8", "replace"))) in constant:
-                    continue
-                out.append(entities.unescape(child))
-        if block:
-            out.append(" ")
-
-    for region in _regions(root, decision.get("main")):
-        read(region, (), False)
-        out.append(" ")
-    return " ".join("".join(out).split())
+    for node, d in regions:
+        _read(node, d, out)
+    return " ".join(" ".join(out).split())
 
 
 def _wrap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: dict[str, list | None] = {}
+    held: dict[tuple, list[int]] = {}
     for batch in batches:
         for host, page in zip(batch["host"], batch["html"], strict=True):
-            own = wrapper_of(parse(page))
-            held[host] = joined(held[host], own) if host in held else own
-            if len(held) >= HELD_HOSTS:
-                yield _written(held)
+            labels, sums = shape(wrapper_of(blocks(parse(page))))
+            held[host, labels] = added(held[host, labels], sums) if (host, labels) in held else sums
+            if len(held) >= HELD_SHAPES:
+                yield _rows(held)
                 held = {}
     if held:
-        yield _written(held)
+        yield _rows(held)
 
 
-def _written(held: dict[str, list | None]) -> pd.DataFrame:
-    return pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w, separators=(",", ":")) for w in held.values()]})
+def _rows(held: dict[tuple, list[int]]) -> pd.DataFrame:
+    return pd.DataFrame({"host": [h for h, _ in held], "shape": [s for _, s in held], "sums": list(held.values())})
 
 
-def _merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    parts = [json.loads(text) for text in sorted(group["wrapper"])]
-    whole = reduce(joined, parts)
-    return pd.DataFrame({"host": [key[0]], "wrapper": [json.dumps(whole, separators=(",", ":"))]})
+def _same_shapes(group: pd.DataFrame) -> dict[str, list[int]]:
+    held: dict[str, list[int]] = {}
+    for labels, sums in zip(group["shape"], group["sums"], strict=True):
+        sums = [int(x) for x in sums]
+        held[labels] = added(held[labels], sums) if labels in held else sums
+    return held
+
 
+def _gather(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    held = _same_shapes(group)
+    return pd.DataFrame({"host": key[0], "bucket": key[1], "shape": list(held), "sums": list(held.values())})
 
-def _decided(wrappers: pd.Series) -> pd.Series:
-    return wrappers.map(lambda w: json.dumps(decide(json.loads(w)), separators=(",", ":")))
+
+def _merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    """All wrappers of a bucket as one, in an order that only their contents fix."""
+    held = _same_shapes(group)
+    parts = [_thinned(unshaped(labels, held[labels])) for labels in sorted(held, key=lambda s: (zlib.crc32(s.encode()), s))]
+    labels, sums = shape(reduce(joined, parts))
+    return pd.DataFrame({"host": [key[0]], "bucket": [key[1] // FAN], "shape": [labels], "sums": [sums]})
+
+
+def _decided(wrappers: pd.DataFrame) -> pd.Series:
+    decided = [decide(unshaped(labels, sums)) for labels, sums in zip(wrappers["shape"], wrappers["sums"], strict=True)]
+    return pd.Series([None if d is None else _encoded(d) for d in decided], dtype=object)
+
+
+def _encoded(decision: list) -> str:
+    """Nested lists of any depth as flat JSON."""
+    flat, stack = [], [decision]
+    while stack:
+        d = stack.pop()
+        flat.append([*d[:5], len(d[5])])
+        stack += reversed(d[5])
+    return json.dumps(flat, separators=(",", ":"))
+
+
+def _decoded(text: str) -> list:
+    top, open_ = None, []
+    for *d, kids in json.loads(text):
+        d.append([])
+        if open_:
+            open_[-1][0][5].append(d)
+            open_[-1][1] -= 1
+            if not open_[-1][1]:
+                open_.pop()
+        else:
+            top = d
+        if kids:
+            open_.append([d, kids])
+    return top
 
 
-def wrappers(pages: DataFrame, salts: int = SALTS) -> DataFrame:
-    """host, wrapper: one union-free wrapper for each host of ``pages`` (host, html)."""
+def wrappers(pages: DataFrame) -> DataFrame:
+    """host, shape, sums: one union-free wrapper for each host of ``pages`` (host, html)."""
     ship_package(pages.sparkSession)
-    kind = "host string, wrapper string"
-    parts = pages.where("html <> ''").select("host", "html").mapInPandas(_wrap, kind)
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts)))
-    return salted.groupBy("host", "salt").applyInPandas(_merge, kind).groupBy("host").applyInPandas(_merge, kind)
+    kind = "host string, shape string, sums array<long>"
+    rows = cut(pages.where("html <> ''").select("host", "html").mapInPandas(_wrap, kind))
+    buckets = rows.groupBy(F.col("host").alias("of")).agg(F.ceil(F.countDistinct(F.xxhash64("shape")) / FAN).alias("n"))
+    name = F.pmod(F.xxhash64("shape"), F.col("n")).cast("long")
+    dealt = rows.join(buckets, F.col("host") == F.col("of")).select("host", name.alias("bucket"), "shape", "sums", F.pmod(F.xxhash64("sums"), F.lit(partitions(pages.sparkSession))).alias("salt"))
+    kind = "host string, bucket long, shape string, sums array<long>"
+    fewer = dealt.groupBy("host", "bucket", "salt").applyInPandas(_gather, kind)
+    merged = cut(fewer.groupBy("host", "bucket").applyInPandas(_merge, kind))
+    while merged.groupBy("host").count().where("count > 1").limit(1).count():
+        merged = cut(merged.groupBy("host", "bucket").applyInPandas(_merge, kind))
+    return merged.select("host", "shape", "sums")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -388,16 +694,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     url = F.col(url_col).cast("string")
     host = F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1)), F.lit(""))
     given = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).cast("string").alias("html"))
-    decisions = cut(wrappers(given).select(F.col("host").alias("of"), F.pandas_udf(_decided, "string")("wrapper").alias("decision")))
+    decisions = cut(wrappers(given).select(F.col("host").alias("of"), F.pandas_udf(_decided, "string")(F.struct("shape", "sums")).alias("decision")))
     size = decisions.agg(F.sum(F.length("decision") + F.length("of") + 64)).first()[0] or 0
     joined = given.join(F.broadcast(decisions) if size <= SMALL_TABLE else decisions, F.col("host") == F.col("of"), "left")
 
     def run(htmls: pd.Series, decisions: pd.Series) -> pd.Series:
-        known: dict[str | None, dict] = {None: {}}
+        known: dict[str | None, list | None] = {None: None}
         out = []
         for page, d in zip(htmls, decisions, strict=True):
             if d not in known:
-                known[d] = json.loads(d)
+                known[d] = _decoded(d)
             out.append(main_text(page, known[d]))
         return pd.Series(out, dtype=object)
 
