@@ -18,6 +18,7 @@ from narrata.functions import vectors as V
 from narrata.functions.shipping import ship_package
 from narrata.functions.text import jaccard
 from narrata.operators.cutting import cut
+from narrata.operators.graph import components
 
 
 @dataclass(frozen=True)
@@ -85,18 +86,9 @@ def links(events: DataFrame, w: Weights = Weights()) -> DataFrame:
     return scored_pairs(events, w).where(F.col("similarity_score") >= w.threshold).select("source_event_id", "target_event_id", "link_type", *[clamp(c) for c in scores])
 
 
-def components(edges: DataFrame, a: str = "source_event_id", b: str = "target_event_id") -> DataFrame:
-    """event_id, component: the least id that links reach. Labels of labels are followed, so chains shrink by halves."""
-    both = cut(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(edges.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct())
-    labels = cut(both.groupBy(F.col("x").alias("event_id")).agg(F.min("y").alias("m")).select("event_id", F.least("event_id", "m").alias("component")))
-    while True:
-        near = both.join(labels.withColumnRenamed("event_id", "y"), "y").select(F.col("x").alias("event_id"), "component")
-        step = cut(near.unionByName(labels).groupBy("event_id").agg(F.min("component").alias("component")))
-        jump = step.select(F.col("event_id").alias("component"), F.col("component").alias("further"))
-        after = cut(step.join(jump, "component").select("event_id", F.col("further").alias("component")).join(labels.withColumnRenamed("component", "before"), "event_id"))
-        labels = after.select("event_id", "component")
-        if after.where("component <> before").isEmpty():
-            return labels
+def named_components(found: DataFrame) -> DataFrame:
+    """event_id, component: the least event that links reach."""
+    return components(found, "source_event_id", "target_event_id").withColumnRenamed("node", "event_id")
 
 
 def average_linkage(similarity: np.ndarray, cut_at: float) -> np.ndarray:
@@ -149,7 +141,7 @@ def _cluster(w: Weights):
 def storyline_members(events: DataFrame, found: DataFrame, w: Weights = Weights()) -> DataFrame:
     """event_id, cluster (its first event): average linkage, run in each component alone, which gives the same clusters."""
     ship_package(events.sparkSession)
-    rows = events.join(components(found), "event_id").select("component", "event_id", "ord", "domain", "ts", "embedding", "signatures")
+    rows = events.join(named_components(found), "event_id").select("component", "event_id", "ord", "domain", "ts", "embedding", "signatures")
     groups = rows.groupBy("component").applyInPandas(_cluster(w), "event_id long, cluster long")
     return groups.withColumn("n", F.count("*").over(Window.partitionBy("cluster"))).where("n >= 2").drop("n")
 

@@ -62,7 +62,7 @@ comp AS (SELECT node AS event_id, min(other) AS component FROM reach GROUP BY no
 
 @query(_COMPONENTS + " SELECT event_id, component FROM comp")
 def q_components(spark, d):
-    return linking.components(linking.links(feed(spark, d)))
+    return linking.named_components(linking.links(feed(spark, d)))
 
 
 @query()
@@ -82,7 +82,7 @@ SELECT 'storyline_' || b.component AS storyline_id, n_events, event_ids, domain,
        upper(domain[1]) || domain[2:] || ' storyline involving ' || three || ' (' || n_events || ' events)' AS storyline_summary FROM b JOIN tops USING (component)""")
 def q_storyline_profile(spark, d):
     events = feed(spark, d)
-    members = linking.components(linking.links(events)).join(events, "event_id")
+    members = linking.named_components(linking.links(events)).join(events, "event_id")
     raw = table(spark, d, "events")
     users = raw.select("event_id", (F.col("event_id") * 2).alias("ord"), F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("text"))
     things = raw.select("event_id", (F.col("event_id") * 2 + 1).alias("ord"), F.concat(F.lit("K"), (F.get_json_object("props", "$.k").cast("int") % 3).cast("string")).alias("text"))
