@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from narrata.operators.cutting import checkpoint_folder, cut  # noqa: F401
+
 #: Space and the control characters U+0009 to U+000D: the white space of every word and line rule here.
 WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,20 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the session names; only where none is set (tests, a laptop) a fresh temporary one."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="narrata-"))
-    return context.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files, without its lineage."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width; salts follow it, so they grow with the cluster."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,9 +10,12 @@ each different four in a batch. The language with the shortest code wins; the sc
 Training reads a bounded sample: of each language about ``sample_docs`` whole documents, those whose hashed id falls below
 the language's rate. Statistics are counted on the executors; the driver receives one row per language and byte context.
 
-Null text or no letter (Unicode category L): ``und``, score 0. No labelled row to learn from: all ``und``. A null id is
-never learned from. Very long texts are priced in pieces and summed. Repeated rows get the same answer; other columns are
-ignored.
+With the language comes the rate, the bits its shortest code takes for each byte: raw bytes have 8, so a text at more is none of
+the languages learned.
+
+Null text or no letter (Unicode category L), the empty text among them: ``und``, score 0, no rate. No labelled row to learn from: all ``und``. A null id is
+never learned from. Very long texts are priced in pieces and summed. Repeated rows get the same answer; of languages with equal
+code lengths the first by code point wins. An empty table gives no rows. Other columns pass through under any names.
 """
 
 from __future__ import annotations
@@ -144,24 +147,26 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", out: str = "language") -> DataFrame:
-    """``docs`` with the struct ``out``: lang_pred, score."""
-    kind = "lang_pred string, score double"
+    """``docs`` with the struct ``out``: lang_pred, score, rate (bits a byte)."""
+    kind = "lang_pred string, score double, rate double"
     if model is None:
-        return docs.withColumn(out, F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")))
+        return docs.withColumn(out, F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("rate")))
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(kind)
     def best(texts: pd.Series) -> pd.DataFrame:
         own = shared.value
-        found = pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0})
+        found = pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0, "rate": np.nan})
         rows = np.flatnonzero(texts.notna().to_numpy())
         if len(rows):
-            bits = own.lengths([texts.iloc[i].encode("utf-8", "replace") for i in rows])
+            data = [texts.iloc[i].encode("utf-8", "replace") for i in rows]
+            bits = own.lengths(data)
             odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000))
             first = bits.argmin(axis=1)
             found.loc[rows, "lang_pred"] = np.array(own.languages, dtype=object)[first]
             found.loc[rows, "score"] = 1 / odds.sum(axis=1)
+            found.loc[rows, "rate"] = bits.min(axis=1) / np.array([len(d) for d in data])
         return found
 
     text = F.col(text_col).cast("string")

@@ -10,7 +10,9 @@ the template has it, give or take ``SLACK`` words.
 Everything is DataFrame expressions. One pass over the texts keeps only the places of licence words; the votes work on
 those. Postings are as many as the templates' words, so they are broadcast.
 
-Null text: no words, no labels. Rows that repeat a document get the same answer. A text of any length is scanned whole.
+A-Z alone are lower-cased. Null and empty text: no words, no labels, null places. Rows that repeat a document get the same
+answer; rows of one id with different texts each get their own. Labels with equal support all stay. A text of any length is
+scanned whole. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrata.llm.common import cut, table
+from narrata.llm.common import ascii_lower, cut, table
 
 WORD7 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrase and label.
@@ -65,7 +67,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     phrases = sorted({p for p, _, _ in keyed})
     rare = ", ".join(f"'{w}'" for w in sorted({w for w, _, _ in posted}))
 
-    text = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    text = ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.regexp_extract_all(text, F.lit(WORD7), F.lit(0)).alias("words"))
     found = F.expr(
         f"""filter(transform(words, (w, i) -> struct(i AS pos, if(w IN ({rare}), w, NULL) AS term, {_case(list(BASE))} AS base, {_case(phrases)} AS phrase)),

@@ -26,3 +26,8 @@ def edges(spark):
 @pytest.fixture(scope="session")
 def empty(spark):
     return documents(spark, [(1, "x")]).limit(0)
+
+
+@pytest.fixture(scope="session")
+def middle():
+    return "/root/testdata/sf0.01"

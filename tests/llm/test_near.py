@@ -208,6 +208,24 @@ def test_pipeline_language_without_labels(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {0, 1, 5}
 
 
+def test_pipeline_language_parts(spark, middle):
+    """Two languages part where one is wanted; what no language codes goes; a missing language is filled in; the rest stays."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{middle}/documents.parquet").where("lang IN ('de', 'fr')")
+    top = 10_000_000
+    odd = [(top + 1, "\u6f22\u5b57\u4eee\u540d\u4ea4\u3058\u308a\u6587\u306e\u6587\u7ae0\u3092\u66f8\u304f" * 3, None, "s", 1), (top + 2, "einheit erheit und der ungeach", None, "s", 1), (top + 3, "12 !", "de", "s", 1), (top + 4, "A.", None, "s", 1)]
+    given = docs.unionByName(spark.createDataFrame(odd, docs.schema)).cache()
+    kept = {r.doc_id: r for r in corpus_pipeline.identify_language(spark, given, "").collect()}
+    clean = {r.doc_id: r.lang for r in docs.collect()}
+    assert set(clean) <= set(kept) and set(kept) - set(clean) == {top + 2, top + 4}
+    assert all(kept[i].lang == lang for i, lang in clean.items()) and kept[top + 2].lang == "de"
+    german = {r.doc_id for r in corpus_pipeline.identify_language(spark, given, "", languages=("de",)).collect()}
+    french = {r.doc_id for r in corpus_pipeline.identify_language(spark, given, "", languages=("fr",)).collect()}
+    assert not german & french and german | french == set(kept)
+    assert sum(clean.get(i) == "de" for i in german) >= 0.97 * len(german) and sum(clean.get(i) == "fr" for i in french) >= 0.97 * len(french)
+
+
 def test_vectors_audit_sees_lost_links(spark, monkeypatch):
     """A dense group and many single vectors don't hide that the graph lost all links elsewhere; blocks then find them."""
     rng = np.random.default_rng(11)
