@@ -5,13 +5,18 @@ that share a band meet in its bucket. The numbers of bands and rows follow the t
 missed with a probability below ``MISS``.
 
 All pairs of a bucket with at most ``SMALL`` classes become candidates, a bounded number for each class. Larger buckets
-would make pairs by the square: the classes that meet in them are joined to families, each family is dealt at random
-into chunks of about ``CHUNK`` classes, and every two chunks of a family are compared in one task, where a block of a
-matrix product counts common shingles; the task returns no pairs but a spanning forest of its links. No candidate is left
-out either way and all are decided on full sets. Components of the links follow.
+would make pairs by the square: the classes that meet in them are joined to families. Sets of sizes too far apart can't
+link, so a family is parted by size (neighbouring parts still meet), each part is dealt at random into chunks of about
+``CHUNK`` classes, and every two chunks that can hold links are compared in one task, where a block of a matrix product
+counts common shingles; the task returns no pairs but a spanning forest of its links. No candidate is left out.
+
+All are decided on the full sets of words, not on hashes: the task numbers the words of its texts, so shingles are equal only
+if their words are; hashes order candidates, and a class of equal sets is named by SHA-256 over its shingles. Components of
+the links follow.
 
 Null and empty texts and those without words have no shingles: they link with nothing. A null id is not compared and
-stays; rows that repeat an id are one document. Ties: the least id stands for a component. Very long texts are taken whole.
+stays; rows that repeat an id are one document, with the links of all its texts. Ties: the least id stands for a component.
+Very long texts are taken whole. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,18 +25,21 @@ import math
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrata.functions.shipping import ship_package
 from narrata.llm.common import LOWER, UPPER, cut, table
-from narrata.llm.sketch import Words, bands, shingles, signature, sketch
+from narrata.llm.sketch import Words, bands, exact_sets, numbered, shingles, signature, sketch
 from narrata.operators.graph import components
 
 MISS = 1e-6
 SMALL = 16
 CHUNK = 128
 COLUMNS = 8192
+#: Different words numbered before a task starts anew; words in all that a chunk, and a group of pairs, holds on average.
+WORDS, CHUNK_WORDS, GROUP_WORDS = 200_000, 200_000, 400_000
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -40,30 +48,25 @@ def banding(percent: int) -> tuple[int, int]:
     return rows, math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** rows))
 
 
-def _sketched(width: int, rows: int, count: int):
+def _sketched(width: int, rows: int, count: int, hashed):
     def run(texts: pd.Series) -> pd.DataFrame:
-        words, known, out = Words(), {}, []
+        words, known, out = Words(hashed), {}, []
         for text in texts:
-            own = shingles(text, width, words)
-            name = signature(own)
+            if len(words) > WORDS:
+                words = Words(hashed)
+            ids = numbered(text, words)
+            first, hashes = shingles(ids, width, words)
+            name = signature(ids, first, width, words)
             if name not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[name] = bands(sketch(own, rows * count), rows).astype(np.int64) if len(own) else np.empty(0, dtype=np.int64)
-            out.append((len(own), name, known[name]))
+                known[name] = bands(sketch(hashes, rows * count), rows).astype(np.int64) if len(first) else np.empty(0, dtype=np.int64)
+            out.append((len(first), name, known[name]))
         return pd.DataFrame(out, columns=["n", "sig", "bands"])
 
     return F.pandas_udf(run, "n long, sig binary, bands array<long>")
 
 
-def _sets(width: int):
-    def run(texts: pd.Series) -> pd.Series:
-        words = Words()
-        return pd.Series([shingles(t, width, words).astype(np.int64) for t in texts], dtype=object)
-
-    return F.pandas_udf(run, "array<long>")
-
-
 def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many elements each set on the left shares with each on the right."""
     held = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
@@ -102,63 +105,85 @@ def forest(ids_left: np.ndarray, ids_right: np.ndarray, linked: np.ndarray) -> l
     return out
 
 
-def _block(percent: int):
+def _confirm(width: int, percent: int):
+    """Links of a group of texts: of a block of a family, or of pairs (part -1), each lead with its partners."""
+
+    def linked(sizes_a, sizes_b, shared):
+        return 100 * shared >= percent * (sizes_a + sizes_b - shared)
+
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        left, right = group[group["chunk"] == i], group[group["chunk"] == j]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        sides = [[np.sort(s) for s in part["elements"]] for part in (left, right)]
-        shared = common(*sides)
-        union = np.array([len(s) for s in sides[0]])[:, None] + np.array([len(s) for s in sides[1]])[None, :] - shared
-        links = forest(left["cls"].to_numpy(), right["cls"].to_numpy(), (100 * shared >= percent * union) & (left["cls"].to_numpy()[:, None] != right["cls"].to_numpy()[None, :]))
+        sets, ids, right = exact_sets(list(group["text"]), width), group["cls"].to_numpy(), group["right"].to_numpy()
+        sizes = np.array([len(s) for s in sets])
+        if key[3] >= 0:
+            left, other = np.flatnonzero(~right & (sizes > 0)), np.flatnonzero((right if right.any() else ~right) & (sizes > 0))
+            if not len(left) or not len(other):
+                return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            shared = common([sets[i] for i in left], [sets[i] for i in other])
+            cells = linked(sizes[left][:, None], sizes[other][None, :], shared) & (ids[left][:, None] != ids[other][None, :])
+            links = forest(ids[left], ids[other], cells)
+        else:
+            links, leads = [], {}
+            for i in np.flatnonzero(~right):
+                leads.setdefault(ids[i], []).append(i)
+            for j in np.flatnonzero(right):
+                for i in leads.get(group["lead"].iat[j], ()):
+                    shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if sizes[i] and sizes[j] and linked(sizes[i], sizes[j], shared):
+                        links.append((ids[i], ids[j]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, small: int = SMALL, chunk: int = CHUNK) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept."""
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, small: int = SMALL, chunk: int = CHUNK, hashed=xxhash.xxh3_64_intdigest,
+) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept. ``hashed`` gives a word's 64 bits for the sketches."""
     ship_package(docs.sparkSession)
     rows, count = banding(percent)
     text = F.col(text_col).cast("string")
-    found = cut(docs.select(F.col(id_col).alias("doc_id"), _sketched(width, rows, count)(text).alias("s")).select("doc_id", "s.*"))
-    classes = found.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands"))
-    met = cut(classes.select("cls", F.explode("bands").alias("key")))
+    found = cut(docs.select(F.col(id_col).alias("doc_id"), _sketched(width, rows, count, hashed)(text).alias("s")).select("doc_id", "s.*"))
+    compared = found.where("n > 0 AND doc_id IS NOT NULL")
+    classes = compared.groupBy("sig").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands"), F.first("n").alias("n"))
+    part = F.floor(F.log("n") / float(math.log(100 / percent) * (1 + 1e-9))).cast("int")  # sets that link lie in one part or in neighbours
+    met = cut(classes.select("cls", "n", part.alias("part"), F.explode("bands").alias("key")))
     buckets = cut(met.groupBy("key").agg(F.count("*").alias("c"), F.min("cls").alias("lead")).where("c > 1"))
     members = met.join(buckets, "key")
 
-    together = members.where(F.col("c") <= small).groupBy("key").agg(F.array_sort(F.collect_list("cls")).alias("g"))
-    each = F.expr("flatten(transform(g, (x, i) -> transform(slice(g, i + 2, size(g)), y -> struct(x AS a, y AS b))))")
-    pairs = cut(together.select(F.explode(each).alias("p")).select("p.a", "p.b").where("a <> b").distinct())
-    large = members.where((F.col("c") > small) & (F.col("cls") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("cls").alias("b"))
-    families = components(large)
-
-    wanted = cut(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).unionByName(families.select(F.col("node").alias("cls"))).distinct())
-    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).join(wanted, F.col("doc_id") == F.col("cls"), "left_semi")
-    sets = cut(texts.select(F.col("doc_id").alias("cls"), _sets(width)("text").alias("elements")))  # a filter here would run on all texts, below the join
-    sets = sets.where(F.size("elements") > 0)
-
-    first = pairs.join(sets.select(F.col("cls").alias("a"), F.col("elements").alias("x")), "a")
-    sized = first.join(sets.select(F.col("cls").alias("b"), F.col("elements").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    agreed = sized.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
-
-    sizes = cut(families.groupBy("component").agg(F.ceil(F.count("*") / chunk).alias("chunks")))
-    dealt = families.join(sizes, "component").select(F.col("node").alias("cls"), "component", "chunks", F.pmod(F.xxhash64("node"), "chunks").alias("chunk"))
-    dealt = cut(dealt).join(sets, "cls").select("cls", "component", "chunk", "elements", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other"))
-    block = dealt.groupBy("component", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    links = agreed.unionByName(block.applyInPandas(_block(percent), "a long, b long"))
-
+    together = members.where(F.col("c") <= small).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("cls", "part", "n"))).alias("g"))
+    each = F.expr("filter(flatten(transform(g, (x, i) -> transform(slice(g, i + 2, size(g)), y -> struct(x.cls AS a, y.cls AS b, y.n AS n, abs(x.part - y.part) AS apart)))), p -> p.apart <= 1 AND p.a <> p.b)")
+    pairs = cut(together.select(F.explode(each).alias("p")).groupBy("p.a", "p.b").agg(F.max("p.n").alias("n")))
+    families = components(members.where((F.col("c") > small) & (F.col("cls") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("cls").alias("b")))
+
+    none = F.lit(0).cast("long")
+    batches = max(1, -(-2 * (pairs.agg(F.sum("n")).first()[0] or 0) // GROUP_WORDS))
+    batch = F.pmod(F.xxhash64("a"), F.lit(batches))
+    asked = pairs.select("a", F.col("a").alias("cls"), F.lit(False).alias("right")).distinct().unionByName(pairs.select("a", F.col("b").alias("cls"), F.lit(True).alias("right")))
+    singly = asked.select(none.alias("component"), batch.alias("i"), none.alias("j"), F.lit(-1).alias("p"), F.lit(-1).alias("q"), "cls", F.col("a").alias("lead"), "right")
+
+    sized = families.join(classes.select(F.col("cls").alias("node"), "n", part.alias("part")).groupBy("node", "part").agg(F.max("n").alias("words")), "node").withColumnRenamed("node", "cls")
+    chunks = cut(sized.groupBy("component", "part").agg(F.ceil(F.greatest(F.count("*") / chunk, F.sum("words") / CHUNK_WORDS)).alias("n")))
+    beside = lambda step, name: chunks.select("component", (F.col("part") - step).alias("part"), F.col("n").alias(name))
+    known = chunks.join(beside(1, "above"), ["component", "part"], "left").join(beside(-1, "below"), ["component", "part"], "left")
+    own = sized.join(known, ["component", "part"]).withColumn("own", F.pmod(F.xxhash64("cls"), "n"))
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).otherwise(F.array().cast("array<long>"))
+    block = lambda p, q, i, j, right: F.struct(p.alias("p"), q.alias("q"), i.alias("i"), j.alias("j"), right.alias("right"))
+    here, mine = F.col("part"), F.col("own")
+    blocks = F.concat(
+        F.transform(upto("n"), lambda o: block(here, here, F.least(mine, o), F.greatest(mine, o), mine > o)),
+        F.transform(upto("above"), lambda o: block(here, here + 1, mine, o, F.lit(False))),
+        F.transform(upto("below"), lambda o: block(here - 1, here, o, mine, F.lit(True))),
+    )
+    jointly = own.select("cls", "component", F.explode(blocks).alias("x")).select("component", "x.i", "x.j", "x.p", "x.q", "cls", F.lit(None).cast("long").alias("lead"), "x.right")
+
+    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    work = singly.unionByName(jointly).join(texts, F.col("cls") == F.col("doc_id")).drop("doc_id")
+    links = work.groupBy("component", "i", "j", "p", "q").applyInPandas(_confirm(width, percent), "a long, b long")
     joined = components(cut(links))
-    named = cut(classes_of(found).join(joined.withColumnRenamed("node", "cls"), "cls", "left").select("sig", F.coalesce("component", "cls").alias("component_id")))
-    compared = found.where("n > 0 AND doc_id IS NOT NULL").join(named, "sig").select("doc_id", "n", "component_id")
+    named = cut(compared.groupBy("sig").agg(F.min("doc_id").alias("cls")).join(joined.withColumnRenamed("node", "cls"), "cls", "left").select("sig", F.coalesce("component", "cls").alias("component_id")))
+    grouped = compared.join(named, "sig").select("doc_id", "n", "component_id")
     alone = found.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return compared.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
-
-
-def classes_of(found: DataFrame) -> DataFrame:
-    return found.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("cls"))
+    return grouped.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,15 @@
 """Near duplicates of documents and vectors against brute force, and the pipeline's stages."""
 
+import re
+
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from comparing import same_rows
 
 from narrata.llm import minhash, mixing, neighbours
-from narrata.llm.sketch import Words, bands, shingles, sketch
+from narrata.llm.sketch import Words, bands, exact_sets, numbered, shingles, signature, sketch
 
 
 def test_sketch_estimates_jaccard():
@@ -23,18 +26,32 @@ def test_sketch_estimates_jaccard():
     assert len(bands(sketch(base, 192), 6)) == 32
 
 
+def hand_set(text, width):
+    found = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    used = min(width, len(found))
+    return {tuple(found[i : i + used]) for i in range(len(found) - used + 1)} if used else set()
+
+
 def test_shingles():
-    words = Words()
-    same = lambda a, b, k=3: np.array_equal(shingles(a, k, words), shingles(b, k, words))
-    assert same("A b\tC", "a  B c") and not same("a b", "a b c") and not same("É b c", "é b c") and not same("a b c", "c b a")
-    assert len(shingles("a b a b a b", 3, words)) == 2 and len(shingles("a b c", 3, words)) == 1
-    assert len(shingles(None, 3, words)) == 0 and len(shingles(" \n", 3, words)) == 0
+    texts = ["A b\tC", "a  B c", "a b", "a b c", "\u00c9 b c", "\u00e9 b c", "c b a", "a b a b a b", None, " \n", "a b c d e f a b c d"]
+    for hashed in (xxhash.xxh3_64_intdigest, lambda word: len(word)):
+        words, names, runs = Words(hashed), [], []
+        for t in texts:
+            ids = numbered(t, words)
+            first, _ = shingles(ids, 3, words)
+            runs.append(first)
+            names.append(signature(ids, first, 3, words))
+        assert [len(r) for r in runs] == [len(hand_set(t, 3)) for t in texts]
+        for i, s in enumerate(texts):
+            assert [names[i] == n for n in names] == [hand_set(s, 3) == hand_set(t, 3) for t in texts]
+    for width in (3, 5, 9):
+        found = exact_sets(texts, width)
+        for s, x in zip(texts, found, strict=True):
+            assert [len(np.intersect1d(x, y)) for y in found] == [len(hand_set(s, width) & hand_set(t, width)) for t in texts]
 
 
 def by_hand(rows, width, percent):
-    words, sets = Words(), []
-    for i, t in rows:
-        sets.append((i, set(shingles(t, width, words).tolist())))
+    sets = [(i, hand_set(t, width)) for i, t in rows]
     root = {i: i for i, _ in sets if i is not None}
 
     def find(x):
@@ -73,6 +90,23 @@ def test_near_duplicates_by_hand(spark, small, chunk):
         assert told(minhash.near_duplicates(docs, width=width, percent=percent, small=small, chunk=chunk)) == by_hand(rows, width, percent)
 
 
+def test_near_duplicates_with_colliding_hashes(spark):
+    """Hashes of words that collide all the time make more candidates and never a wrong size, class or link."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for size in (1, 2, 6, 25):
+        base = [f"w{x}" for x in rng.integers(0, 500, 60)]
+        for _ in range(size):
+            text = list(base)
+            for at in rng.integers(0, 60, rng.integers(0, 4)):
+                text[at] = f"e{rng.integers(0, 500)}"
+            rows.append((len(rows), " ".join(text)))
+    rows += [(len(rows) + k, " ".join(f"w{x}" for x in rng.integers(0, 500, 40))) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    weak = lambda word: sum(word) % 5
+    assert told(minhash.near_duplicates(docs, width=3, percent=85, hashed=weak, chunk=8)) == by_hand(rows, 3, 85)
+
+
 def test_near_duplicates_edges(edges, empty):
     rows = [(r.doc_id, r.text) for r in edges.collect()]
     assert told(minhash.near_duplicates(edges, width=3, percent=85)) == by_hand(rows, 3, 85)
