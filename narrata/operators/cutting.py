@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_folders: dict[str, str] = {}
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the session names; where none is set, a fresh temporary one in local mode and an error on a cluster."""
@@ -20,7 +25,28 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, wherever the cluster's file systems have it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone by then
+        remove(spark, folder)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files, without its lineage."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared checkpoint folder and go on from the files, without its lineage.
+
+    Written as a table, not as an RDD checkpoint: the plan then knows the true size (an RDD checkpoint keeps the estimate of
+    the plan behind it, which joins multiply round after round). The application's tables go when the driver ends.
+    """
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        _folders[app] = f"{checkpoint_folder(spark)}/narrata-{app}"
+        atexit.register(_remove_at_exit, spark, _folders[app])
+    path = f"{_folders[app]}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
