@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from narrata.llm import language, line_dedup, minhash, mixing, packing
 from narrata.llm.common import checkpoint_folder, fresh
+from narrata.operators.cutting import remove
 
 #: A raw byte's bits, and bytes that a short text has free.
 RAW_BITS, SLACK_BYTES = 8, 16
@@ -86,11 +87,6 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents, each written as Parquet in the shared folder and read again.
 
@@ -103,6 +99,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
         if before is not None:
-            _remove(spark, f"{folder}/{before}")
+            remove(spark, f"{folder}/{before}")
         before = name
     return docs

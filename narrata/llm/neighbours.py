@@ -5,16 +5,19 @@ the triangle inequality of angles all its members link with each other, so a den
 The pivots, single vectors among them, are the nodes of a neighbour graph over 256-bit sign sketches:
 
 - start: the nodes sorted by several shuffles of their bits, each with its next entries;
-- refine: neighbours of neighbours (both ways) are new candidates, and every node keeps its best; lists that are full of
-  nodes near enough to link are saturated and grow to hold all of those; rounds end when the lists hardly change;
-- edges whose balls can still hold a linked pair are verified, pair by pair, by cosine in double precision;
+- refine: neighbours of neighbours are new candidates, as long as one of the two links is new, and every node keeps its
+  best; a list full of nodes near enough to link is saturated and grows; rounds end when the lists hardly change;
+- edges whose balls can still hold a linked pair, by exact cosine, join balls to families; the vectors of a family are
+  compared in matrix blocks of ``BLOCK`` in double precision, which yield each vector's number of links and a spanning forest,
+  never a row for each link. So a saturated list loses nothing: its nodes are in one family, whatever the list holds;
 - audit: for a bounded set of vectors, one of a ball, the links that leave the ball are counted against all vectors by brute
   force and the recall is averaged over the vectors that have such links; below the wanted recall, further shuffles and rounds
   follow, and at last all pairs of pivots are compared in blocks.
 
 Null, empty, zero or non-finite vectors and null labels link with nothing, nor do vectors of different lengths. A null id
-is not compared. Repeated rows of an id with different vectors link as what they are; equal vectors are one ball. Extra
-columns are ignored. The audit set's size, the sketch width and the list length are parameters.
+is not compared. Repeated rows of an id with different vectors link as what they are; equal vectors are one ball. Ties: the
+least id stands for a component. An empty table gives no rows; extra columns are ignored. The audit set's size, the sketch
+width and the list length are parameters.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 
 from narrata.functions.shipping import ship_package
 from narrata.llm.common import cut, table
+from narrata.llm.minhash import forest
 from narrata.operators.graph import components
 
 COSINE = 0.98
@@ -114,14 +118,19 @@ def balls(vectors: DataFrame, cosine: float, words: int) -> DataFrame:
     return vectors.join(settled, F.col("id") == F.col("m"), "left").drop("m").withColumn("pivot", F.coalesce("pivot", "id"))
 
 
-def _best(candidates: DataFrame, length: int, near: int) -> DataFrame:
-    """The lists: each node's ``length`` best, and every candidate near enough to link, saturated or not; with the rank."""
-    rank = F.row_number().over(Window.partitionBy("u").orderBy("d", "w"))
-    return candidates.withColumn("rank", rank).where((F.col("rank") <= length) | (F.col("d") <= near))
+def _ranked(candidates: DataFrame, length: int, most: int, near: int) -> DataFrame:
+    """The lists: each node's ``length`` best, up to ``most`` where those are near enough to link (a saturated list)."""
+    by = Window.partitionBy("u").orderBy("d", "w", "fresh")
+    single = candidates.withColumn("before", F.lag("w").over(by)).where("before IS NULL OR before <> w").drop("before")
+    rank = single.withColumn("rank", F.row_number().over(by))
+    return rank.where((F.col("rank") <= length) | ((F.col("d") <= near) & (F.col("rank") <= most)))
 
 
-def neighbour_graph(nodes: DataFrame, words: int, shuffles: int, length: int, rounds: int, near: int, seed: int) -> DataFrame:
-    """u, w, d: neighbour lists over sketches by NN-descent; nodes: id, label, dim, sketch."""
+def neighbour_graph(nodes: DataFrame, words: int, shuffles: int, length: int, rounds: int, near: int, far: int, seed: int) -> DataFrame:
+    """u, w: pairs of nodes whose sketches differ in at most ``far`` bits, met in sorted shuffles or by NN-descent.
+
+    nodes: id, label, dim, sketch. The rows made in a round are bounded by the nodes and the square of the list length.
+    """
     entries = []
     for t in range(shuffles):
         order = _shuffled(seed + t, words)
@@ -131,23 +140,25 @@ def neighbour_graph(nodes: DataFrame, words: int, shuffles: int, length: int, ro
     listed = nodes.withColumn("e", F.explode(F.array(*entries)))
     nexts = listed.select("id", "sketch", F.array(*[F.lead(F.struct("id", "sketch"), k).over(sorted_by) for k in (1, 2)]).alias("next"))
     start = nexts.select(F.col("id").alias("u"), F.col("sketch").alias("us"), F.explode("next").alias("n")).where("n IS NOT NULL")
-    pairs = start.select("u", F.col("n.id").alias("w"), _hamming("us", "n.sketch").alias("d")).where("u <> w")
-    both = lambda x: x.unionByName(x.select(F.col("w").alias("u"), F.col("u").alias("w"), "d"))
-    lists = cut(_best(both(pairs).distinct(), length, near))
-    side = nodes.select("id", "sketch")
-    for _ in range(rounds):
-        via = lists.select(F.col("u").alias("v"), F.col("w").alias("x"))
-        # from a node's best neighbours to all in their lists: of a dense group no more rows than its links times ``length``
-        hops = lists.where(F.col("rank") <= length).select("u", F.col("w").alias("v")).join(via, "v").where("u <> x").select(F.least("u", "x").alias("u"), F.greatest("u", "x").alias("w")).distinct()
-        hops = hops.join(lists.select("u", "w"), ["u", "w"], "left_anti")
-        scored = hops.join(side.select(F.col("id").alias("u"), F.col("sketch").alias("us")), "u").join(side.select(F.col("id").alias("w"), F.col("sketch").alias("ws")), "w")
-        fresh = scored.select("u", "w", _hamming("us", "ws").alias("d"))
-        after = cut(_best(lists.drop("rank").unionByName(both(fresh)).distinct(), length, near))
-        changed = after.join(lists, ["u", "w"], "left_anti").count()
-        lists = after
-        if changed * 200 < lists.count():
+    start = start.select("u", "us", F.col("n.id").alias("w"), F.col("n.sketch").alias("ws"), _hamming("us", "n.sketch").alias("d"))
+
+    def both(pairs: DataFrame, fresh: bool) -> DataFrame:
+        side = lambda u, w: F.struct(F.col(u).alias("u"), F.col(f"{u}s").alias("us"), F.col(w).alias("w"), F.col(f"{w}s").alias("ws"))
+        return pairs.select("d", F.explode(F.array(side("u", "w"), side("w", "u"))).alias("x")).select("x.*", "d", F.lit(fresh).alias("fresh"))
+
+    start = cut(start)
+    lists = cut(_ranked(both(start, True), length, length, near))
+    for turn in range(rounds):
+        a, b = lists.where(F.col("rank") <= length).alias("a"), lists.where(F.col("rank") <= 2 * length).alias("b")
+        hops = a.join(b, F.col("a.w") == F.col("b.u")).where((F.col("a.u") != F.col("b.w")) & (F.col("a.fresh") | F.col("b.fresh")))
+        hops = hops.select(F.col("a.u").alias("u"), F.col("a.us").alias("us"), F.col("b.w").alias("w"), F.col("b.ws").alias("ws"), _hamming("a.us", "b.ws").alias("d"))
+        old = lists.drop("rank").withColumn("fresh", F.lit(False))
+        lists = cut(_ranked(old.unionByName(both(hops, True)), length, length << min(turn + 1, 2), near))
+        figures = lists.agg(F.count("*").alias("n"), F.sum(F.col("fresh").cast("long")).alias("new")).first()
+        if not figures["n"] or figures["new"] * 50 < figures["n"]:
             break
-    return lists
+    pairs = start.select("u", "w", "d").unionByName(lists.select("u", "w", "d")).where(F.col("d") <= far)
+    return pairs.select(F.least("u", "w").alias("u"), F.greatest("u", "w").alias("w")).distinct()
 
 
 def _counted(queries: list[tuple], cosine: float):
@@ -175,17 +186,76 @@ def _truth(grouped: DataFrame, nodes: DataFrame, cosine: float, audit: int) -> l
     one = F.min(F.struct(F.xxhash64("least").alias("h"), "least", "label", "id")).alias("one")
     ids = [r["id"] for r in grouped.groupBy("pivot").agg(one).orderBy("one").limit(DRAWS * audit).select("one.id").collect()]
     ball, counted = nodes.select(F.col("id").alias("pivot"), "size"), grouped.select("label", "v", "copies")
-    held, at, width = [], 0, audit
+    held, at, width = [], 0, 2 * audit
     while at < len(ids) and len(held) < audit:
         drawn = spark.createDataFrame([(i,) for i in ids[at : at + width]], "q long")
         asked = grouped.join(F.broadcast(drawn), F.col("id") == F.col("q")).join(ball, "pivot").select("id", "label", "v", "size").collect()
         marks = [(r["id"], r["label"], r["v"]) for r in asked]
         n = {r["id"]: r["n"] for r in counted.mapInPandas(_counted(marks, cosine), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
         held += [(r["id"], n[r["id"]] - r["size"]) for r in asked if n[r["id"]] > r["size"]]
-        at, width = at + width, 2 * width
+        at, width = at + width, DRAWS * audit
     return held
 
 
+def _block(cosine: float):
+    """Of a block of a family of balls, or of several whole families: how many vectors each one links with, and a forest."""
+
+    def compared(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple[list[pd.DataFrame], list[tuple[int, int]]]:
+        unit = lambda part: np.stack(part["v"].to_numpy()) / part["norm"].to_numpy()[:, None]
+        x, other = unit(left), left if right is None else right
+        linked = x @ (x if right is None else unit(right)).T >= cosine
+        if right is None:
+            np.fill_diagonal(linked, True)
+        counts = [pd.DataFrame({"id": left["id"], "n": linked @ other["copies"].to_numpy()})]
+        if right is not None:
+            counts.append(pd.DataFrame({"id": right["id"], "n": left["copies"].to_numpy() @ linked}))
+        return counts, forest(left["id"].to_numpy(), other["id"].to_numpy(), linked)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        counts, links = [], []
+        for _, part in group.groupby("component"):
+            right = part[part["right"]]
+            alone = not len(right) and not part["paired"].iat[0]
+            left = part[~part["right"]]
+            if alone or (len(right) and len(left)):
+                own, edges = compared(left, None if alone else right)
+                counts += own
+                links += edges
+        edges = pd.DataFrame({"id": [a for a, _ in links], "n": -1, "other": [b for _, b in links]})
+        out = pd.concat([*[c.assign(other=-1) for c in counts], edges], ignore_index=True)
+        return out.astype({"id": "int64", "n": "int64", "other": "int64"})[["id", "n", "other"]]
+
+    return run
+
+
+def _family_links(members: DataFrame, cosine: float) -> DataFrame:
+    """id, n, other: counts of links inside blocks (other -1) and links (n -1) for the members of families of balls.
+
+    ``members``: component, pivot, size (of the ball), id, v, norm, copies. Balls of ``BLOCK`` vectors or more make chunks of
+    their own, which are not compared with each other: a ball's vectors all link. The rest of a family is dealt over chunks.
+    """
+    big = F.when(F.col("n_ball") >= BLOCK, F.col("pivot")).otherwise(-1)
+    balls_of = members.groupBy("component", "pivot").agg(F.count("*").alias("n_ball"))
+    chunks = cut(balls_of.groupBy("component", big.alias("ball")).agg(F.ceil(F.sum("n_ball") / BLOCK).cast("int").alias("n"), F.sum("n_ball").alias("rows")))
+    each = chunks.select("component", "ball", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
+    a, b = each.alias("a"), each.alias("b")
+    before = (F.col("a.ball") < F.col("b.ball")) | ((F.col("a.ball") == F.col("b.ball")) & (F.col("a.k") <= F.col("b.k")) & (F.col("a.ball") == -1))
+    met = a.join(b, F.col("a.component") == F.col("b.component")).where(before)
+    paired = (F.col("a.ball") != F.col("b.ball")) | (F.col("a.k") != F.col("b.k"))
+    met = met.select(F.col("a.component").alias("of"), F.col("a.ball").alias("b1"), F.col("a.k").alias("k1"), F.col("b.ball").alias("b2"), F.col("b.k").alias("k2"), paired.alias("paired"))
+    sides = met.select("*", F.explode(F.when(F.col("paired"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("right"))
+    sides = sides.select("of", "b1", "k1", "b2", "k2", "paired", "right", F.when(F.col("right"), F.col("b2")).otherwise(F.col("b1")).alias("mb"), F.when(F.col("right"), F.col("k2")).otherwise(F.col("k1")).alias("mk"))
+    # families of one chunk are compared many in a group
+    kinds = chunks.groupBy("component").agg(F.sum("n").alias("parts"), F.sum("rows").alias("rows")).select("component", (F.col("parts") == 1).alias("whole"), "rows")
+    batches = max(1, -(-(kinds.where("whole").agg(F.sum("rows")).first()[0] or 0) // (4 * BLOCK)))
+    dealt = members.join(balls_of, ["component", "pivot"]).withColumn("ball", big).join(chunks.select("component", "ball", "n"), ["component", "ball"]).withColumn("k", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    rows = dealt.join(sides, (F.col("component") == F.col("of")) & (F.col("ball") == F.col("mb")) & (F.col("k") == F.col("mk"))).join(kinds.select("component", "whole"), "component")
+    batch = F.concat(F.lit("batch "), F.pmod(F.xxhash64("component"), F.lit(batches)).cast("string"))
+    group = F.when(F.col("whole"), batch).otherwise(F.concat_ws(" ", "component", "b1", "k1", "b2", "k2"))
+    work = rows.select(group.alias("grp"), "component", "paired", "right", "id", "v", "norm", "copies")
+    return work.groupBy("grp").applyInPandas(_block(cosine), "id long, n long, other long")
+
+
 def _all_pairs(nodes: DataFrame, theta: float) -> DataFrame:
     """u, w: all pivots of a label whose balls can hold a linked pair, in matrix blocks."""
     key = ["label", "dim"]
@@ -228,8 +298,8 @@ def near_vectors(
     share = theta / np.pi
     near = int(np.ceil(bits * share + 7 * np.sqrt(bits * share * (1 - share))))
     centre = classes.select(F.col("id").alias("pivot"), F.col("v").alias("pv"), F.col("norm").alias("pn"), F.col("sketch").alias("ps"))
-    sized = grouped.where("id <> pivot").join(centre, "pivot").groupBy("pivot").agg(F.sum("copies").alias("more"), F.max(_angle(_cosine("v", "pv", "norm", "pn"))).alias("radius"))
-    nodes = grouped.where("id = pivot").join(sized, "pivot", "left").select("id", "label", F.size("v").alias("dim"), "v", "norm", "sketch", F.coalesce("radius", F.lit(0.0)).alias("radius"), (F.col("copies") + F.coalesce("more", F.lit(0))).alias("size"))
+    sized = grouped.where("id <> pivot").join(centre, "pivot").groupBy("pivot").agg(F.sum("copies").alias("more"), F.count("*").alias("beside"), F.max(_angle(_cosine("v", "pv", "norm", "pn"))).alias("radius"))
+    nodes = grouped.where("id = pivot").join(sized, "pivot", "left").select("id", "label", F.size("v").alias("dim"), "v", "norm", "sketch", F.coalesce("radius", F.lit(0.0)).alias("radius"), (F.col("copies") + F.coalesce("more", F.lit(0))).alias("size"), (F.coalesce("beside", F.lit(0)) + 1).alias("balls"))
     nodes = cut(nodes)
     widest = nodes.agg(F.max("radius")).first()[0] or 0.0
     reach = min(1.0, (theta + 2 * widest) / np.pi)
@@ -240,33 +310,28 @@ def near_vectors(
     largest_label = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 1
     met = (1 - share) ** np.log2(max(2, largest_label))
     shuffles = max(shuffles, int(np.ceil(np.log(MISS) / np.log1p(-met))))
-    found, links, seen = None, None, 0.0
+    found, seen = None, 0.0
     for attempt in range(tries + 1):
         if attempt < tries:
-            lists = neighbour_graph(nodes.select("id", "label", "dim", "sketch"), words, shuffles, length, rounds, far, 1000 * (attempt + 1))
-            edges = lists.where((F.col("u") < F.col("w")) & (F.col("d") <= far)).select("u", "w")
-            edges = cut(edges if found is None else edges.unionByName(found).distinct())
+            edges = neighbour_graph(nodes.select("id", "label", "dim", "sketch"), words, shuffles, length, rounds, near, far, 1000 * (attempt + 1))
+            found = cut(edges if found is None else edges.unionByName(found).distinct())
         else:
-            edges = cut(_all_pairs(nodes, theta))
-        found = edges
-        half = lambda s: nodes.select(F.col("id").alias(s), F.col("v").alias(f"v{s}"), F.col("norm").alias(f"n{s}"), F.col("radius").alias(f"r{s}"), F.col("size").alias(f"c{s}"))
-        close = edges.join(half("u"), "u").join(half("w"), "w").where(_angle(_cosine("vu", "vw", "nu", "nw")) <= theta + F.col("ru") + F.col("rw") + SLACK)
-        close = cut(close.select("u", "w", (F.col("ru") + F.col("rw") > 0).alias("wide"), (_cosine("vu", "vw", "nu", "nw") >= cosine).alias("linked")))
-        single = close.where("NOT wide AND linked").select(F.col("u").alias("a"), F.col("w").alias("b"))
-        member = lambda p, s: grouped.select(F.col("pivot").alias(p), F.col("id").alias(s), F.col("v").alias(f"v{s}"), F.col("norm").alias(f"n{s}"))
-        wide = close.where("wide").select("u", "w").join(member("u", "a"), "u").join(member("w", "b"), "w").where(_cosine("va", "vb", "na", "nb") >= cosine).select("a", "b")
-        links = cut(single.unionByName(wide))
-        mass = grouped.select(F.col("id").alias("a"), F.col("copies").alias("m"))
-        sides = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        outside = sides.join(mass.select(F.col("a").alias("b"), "m"), "b").groupBy("a").agg(F.sum("m").alias("outside"))
-        ball = nodes.select(F.col("id").alias("pivot"), "size")
-        totals = cut(grouped.select("id", "label", "pivot").join(ball, "pivot").join(outside, F.col("id") == F.col("a"), "left").select("id", "size", (F.col("size") + F.coalesce("outside", F.lit(0))).alias("linked")))
+            found = cut(_all_pairs(nodes, theta))
+        half = lambda s: nodes.select(F.col("id").alias(s), F.col("v").alias(f"v{s}"), F.col("norm").alias(f"n{s}"), F.col("radius").alias(f"r{s}"))
+        close = found.join(half("u"), "u").join(half("w"), "w").where(_angle(_cosine("vu", "vw", "nu", "nw")) <= theta + F.col("ru") + F.col("rw") + SLACK)
+        families = components(close.select("u", "w"), "u", "w").withColumnRenamed("node", "pivot")
+        own = grouped.select("id", "pivot", "v", "norm", "copies").join(families, "pivot")
+        told = cut(_family_links(own, cosine))
+        counted = told.where("other < 0").groupBy(F.col("id").alias("a")).agg(F.sum("n").alias("n"))
+        ball = nodes.select(F.col("id").alias("pivot"), "size", (F.col("balls") >= BLOCK).alias("big"))
+        linked = F.when(F.col("n").isNull(), F.col("size")).otherwise(F.col("n") + F.when(F.col("big"), F.col("size")).otherwise(0))
+        totals = cut(grouped.select("id", "label", "pivot").join(ball, "pivot").join(counted, F.col("id") == F.col("a"), "left").select("id", "size", linked.alias("linked")))
         share_found = F.least(F.lit(1.0), (F.col("linked") - F.col("size")) / F.col("n"))
         seen = asked.join(totals, F.col("q") == F.col("id")).agg(F.avg(share_found)).first()[0] if truth else 1.0
         if seen >= recall:
             break
     inside = grouped.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-    joined = components(cut(links.select("a", "b").unionByName(inside)))
+    joined = components(told.where("n < 0").select(F.col("id").alias("a"), F.col("other").alias("b")).unionByName(inside))
     whole = cut(totals.join(joined.withColumnRenamed("node", "id"), "id", "left").join(classes.select("id", "least"), "id").select("id", "linked", F.coalesce("component", "id").alias("whole"), "least"))
     heads = cut(whole.groupBy("whole").agg(F.min("least").alias("component_id")))
     back = classes.select("id", "label", "v").join(whole.join(heads, "whole"), "id").select(F.col("label").alias("l"), F.col("v").alias("x"), "linked", "component_id")
@@ -277,7 +342,7 @@ def near_vectors(
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(table(spark, sf_dir, "embeddings")).drop("recall")
+    return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 SQL = """
@@ -289,7 +354,7 @@ pairs AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b O
 reach(node, other) AS (SELECT a, b FROM pairs UNION SELECT r.node, p.b FROM reach r JOIN pairs p ON r.other = p.a),
 least_of AS (SELECT node, min(other) AS m FROM reach GROUP BY node),
 degree AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
-SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(m, v.vec_id)) AS component_id,
+SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(m, v.vec_id)) AS component_id, 1.0::DOUBLE AS recall,
        v.vec_id = least(v.vec_id, coalesce(m, v.vec_id)) AS kept
 FROM v LEFT JOIN degree ON a = v.vec_id LEFT JOIN least_of ON node = v.vec_id
 """

@@ -133,7 +133,7 @@ def against_sql(spark, rows):
     con.register("raw", df.select("vec_id", "label").toPandas().astype({"vec_id": "Int64", "label": "Int64"}))
     con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INTEGER)")
     con.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", [(r[0], r[1], r[2]) for r in rows])
-    same_rows(neighbours.near_vectors(df).drop("recall"), neighbours.SQL, con)
+    same_rows(neighbours.near_vectors(df), neighbours.SQL, con)
 
 
 def test_vectors_by_hand(spark):
@@ -276,3 +276,14 @@ def test_vectors_audit_sees_lost_links(spark, monkeypatch):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     want = (x @ x.T >= 0.98).sum(axis=1) - 1
     assert want[400:416].sum() >= 8 and got.n_links.tolist() == want.tolist() and got.recall.iloc[0] == 1.0
+
+
+def test_vectors_in_blocks(spark, monkeypatch):
+    """Big tight balls, a loose group and small families over several blocks: all counts as by brute force."""
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rng = np.random.default_rng(12)
+    unit = lambda: (lambda x: x / np.linalg.norm(x))(rng.standard_normal(32))
+    rows, near = [], unit()
+    for size, noise, base in ((60, 0.004, near), (50, 0.004, near + 0.16 * unit()), (70, 0.028, unit()), *[(3, 0.02, unit()) for _ in range(12)], *[(1, 0.0, unit()) for _ in range(60)]):
+        rows += [(len(rows) + k, (base + noise * rng.standard_normal(32)).tolist(), 0, "a", "b") for k in range(size)]
+    against_sql(spark, rows)
