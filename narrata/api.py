@@ -61,7 +61,7 @@ def extracted(docs: DataFrame, settings: Settings = Settings(), generator: Calla
     place = F.from_json("doc_id", "doc_id long, chunk int, char_start long")
     shifted = events.withColumn("p", place).select(
         F.col("p.doc_id").alias("doc_no"), F.col("p.chunk").alias("source_chunk_index"), "idx", "event_type", "trigger", (F.col("start_char") + F.col("p.char_start")).alias("start_char"),
-        (F.col("end_char") + F.col("p.char_start")).alias("end_char"), "sentiment", "domain", "confidence", (F.col("p.chunk") * 1_000_000 + F.col("idx")).alias("ord"),
+        (F.col("end_char") + F.col("p.char_start")).alias("end_char"), "sentiment", "domain", "confidence", "arguments", (F.col("p.chunk") * 1_000_000 + F.col("idx")).alias("ord"),
     )
     merged = extraction.merged_events(shifted, "doc_no").join(valid.select("doc_no", "document_id", "published"), "doc_no")
     names = F.concat_ws("_", "document_id", F.lit("event"), "idx"), F.xxhash64("document_id", "source_chunk_index", "idx")
@@ -70,13 +70,16 @@ def extracted(docs: DataFrame, settings: Settings = Settings(), generator: Calla
 
 def linked(events: DataFrame, settings: Settings = Settings(), embedder: Callable[[pd.Series], pd.Series] | None = None, batch_id: str = "batch") -> tuple[DataFrame, DataFrame]:
     """Links between events and their storylines."""
-    words = extraction.description(F.col("event_type"), F.col("trigger"), F.array(F.struct(F.lit("agent").alias("role"), F.col("trigger").alias("text"))), F.col("domain"), F.col("sentiment"))
+    told = F.filter("arguments", lambda a: a["text"] != "")
+    words = extraction.description(F.col("event_type"), F.col("trigger"), told, F.col("domain"), F.col("sentiment"))
+    signatures = F.array_distinct(F.transform(told, lambda a: linking.signature(a["text"], a["role"], F.col("domain"))))
     order = F.row_number().over(Window.partitionBy("document_id").orderBy("source_chunk_index", "idx")) + F.pmod(F.xxhash64("document_id"), F.lit(1 << 40)) * (1 << 20)
     ready = models.embedded(events.withColumn("description", words), F.col("description"), model=embedder)
-    feed = cut(ready.select(F.col("event_uid").alias("event_id"), order.alias("ord"), "domain", F.try_to_timestamp("published").alias("ts"), "embedding", F.array(linking.signature(F.col("trigger"), F.lit("agent"), F.col("domain"))).alias("signatures"), F.col("trigger").alias("text")))
+    feed = cut(ready.select(F.col("event_uid").alias("event_id"), order.alias("ord"), "domain", F.try_to_timestamp("published").alias("ts"), "embedding", signatures.alias("signatures"), F.transform(told, lambda a: a["text"]).alias("names")))
     found = cut(linking.links(feed, settings.linking))
     members = linking.storyline_members(feed, found, settings.linking).join(feed.select("event_id", "ord", "domain", "ts"), "event_id")
-    return found, linking.profiles(members, feed.select("event_id", "ord", "text"), prefix=f"{batch_id}_storyline_")
+    entities = feed.select("event_id", "ord", F.posexplode("names").alias("place", "text")).select("event_id", F.struct("ord", "place").alias("ord"), "text")
+    return found, linking.profiles(members, entities, prefix=f"{batch_id}_storyline_")
 
 
 def nested(docs: DataFrame, mentions: DataFrame, events: DataFrame, storylines: DataFrame) -> DataFrame:
@@ -127,8 +130,10 @@ def run_batch(spark: SparkSession, docs: DataFrame, folder: str, job_id: str, se
     return batch.progress(total)
 
 
-def job_status(spark: SparkSession, folder: str, job_id: str, total: int) -> dict:
-    return jobs.Batch(spark, f"{folder}/log", job_id).progress(total)
+def job_status(spark: SparkSession, folder: str, job_id: str, total: int) -> dict | None:
+    """processed, failed, remaining, percent and state; none for a job that never started."""
+    told = jobs.Batch(spark, f"{folder}/log", job_id).progress(total)
+    return told if told["state"] is not None else None
 
 
 def health(checks: dict[str, Callable[[], bool]]) -> dict:

@@ -28,41 +28,58 @@ SUBJECTS = ("nsubj", "nsubjpass", "agent", "attr")
 OBJECTS = ("dobj", "pobj", "iobj", "obj")
 
 
-def raw_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ord (before any filter), word, raw_type, score, start_char, end_char: what a tagger returns.
+def _tagged(text: Column) -> Column:
+    """What a tagger returns for one text: array of struct(ord, word, raw_type, score, start_char, end_char).
 
-    The text is cut at every match, so a place is the length of all before it.
+    The text is cut at every match, so a place is the length of all before it. All within the row: no shuffle, and rows that
+    share an id stay apart.
     """
     any_of = "|".join(p for p, _, _ in TAGGER)
-    text = F.col(text_col)
-    parts = docs.where(F.trim(text) != "").select(F.col(id_col).alias("doc_id"), F.regexp_extract_all(text, F.lit(f"({any_of})"), F.lit(1)).alias("found"), F.split(text, any_of, -1).alias("between"))
-    numbered = parts.select("doc_id", F.posexplode(F.arrays_zip("between", "found")).alias("ord", "p")).select("doc_id", "ord", "p.*")
-    before = Window.partitionBy("doc_id").orderBy("ord")
-    ends = F.sum(F.length("between") + F.coalesce(F.length("found"), F.lit(0))).over(before.rowsBetween(Window.unboundedPreceding, 0))
-    placed = numbered.withColumn("end_char", ends.cast("int")).where("found IS NOT NULL").withColumn("start_char", F.col("end_char") - F.length("found"))
-    words = F.split("found", " ")
-    company = F.element_at(words, -1).isin(*COMPANY_WORDS)
-    kind = F.when(F.col("found").rlike(f"^{ISO_DATE}$"), "DATE").when(F.col("found").rlike(r"^[$]"), "MONEY").when(company, "ORGANIZATION").when(F.size(words) >= 2, "B-PERSON").otherwise("MISC")
-    score = F.when(kind == "DATE", 0.95).when(kind == "MONEY", 0.9).when(kind == "ORGANIZATION", 0.85).when(kind == "B-PERSON", 0.8).otherwise(0.7)
-    return placed.select("doc_id", "ord", F.col("found").alias("word"), kind.alias("raw_type"), score.alias("score"), "start_char", "end_char")
+    found, between = F.regexp_extract_all(text, F.lit(f"({any_of})"), F.lit(1)), F.split(text, any_of, -1)
+    starts = T.running(F.transform(F.arrays_zip(between.alias("b"), found.alias("f")), lambda p: (F.length(p["b"]) + F.coalesce(F.length(p["f"]), F.lit(0))).cast("long")))
+
+    def named(p: Column, i: Column) -> Column:
+        word, words = p["f"], F.split(p["f"], " ")
+        company = F.element_at(words, -1).isin(*COMPANY_WORDS)
+        kind = F.when(word.rlike(f"^{ISO_DATE}$"), "DATE").when(word.rlike(r"^[$]"), "MONEY").when(company, "ORGANIZATION").when(F.size(words) >= 2, "B-PERSON").otherwise("MISC")
+        score = F.when(kind == "DATE", 0.95).when(kind == "MONEY", 0.9).when(kind == "ORGANIZATION", 0.85).when(kind == "B-PERSON", 0.8).otherwise(0.7)
+        start = (p["s"] + F.length(p["b"])).cast("int")
+        return F.struct(i.alias("ord"), word.alias("word"), kind.alias("raw_type"), score.alias("score"), start.alias("start_char"), (start + F.length(word)).alias("end_char"))
+
+    zipped = F.filter(F.arrays_zip(between.alias("b"), found.alias("f"), starts.alias("s")), lambda p: p["f"].isNotNull())
+    return F.when(F.trim(text) != "", F.transform(zipped, named))
+
+
+def raw_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ord (before any filter), word, raw_type, score, start_char, end_char: what a tagger returns."""
+    return docs.select(F.col(id_col).alias("doc_id"), F.explode(_tagged(F.col(text_col))).alias("m")).select("doc_id", "m.*")
 
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST_CONFIDENCE) -> DataFrame:
     """Tagged, filtered by confidence and type, with context and an entity_id that counts the tagger's own output."""
-    found = raw_mentions(docs, id_col, text_col).where(F.col("score") >= least).withColumn("type", T.entity_type(F.col("raw_type"))).where(F.col("type").isin(*T.ENTITY_TYPES))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    context = T.context_window(F.col("_text"), F.col("start_char"), F.col("end_char"))
-    return found.join(texts, "doc_id").select(
-        "doc_id", "ord", F.trim("word").alias("text"), "type", "start_char", "end_char", F.round("score", 4).alias("confidence"), context.alias("context"),
-        F.concat(F.col("doc_id").cast("string"), F.lit("_entity_"), F.col("ord").cast("string")).alias("entity_id"),
+    text = F.col("_text")
+    tagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).withColumn("_m", _tagged(text))
+    kept = F.filter("_m", lambda m: (m["score"] >= least) & T.entity_type(m["raw_type"]).isin(*T.ENTITY_TYPES))
+    told = F.transform(
+        kept,
+        lambda m: F.struct(
+            m["ord"].alias("ord"), F.trim(m["word"]).alias("text"), T.entity_type(m["raw_type"]).alias("type"), m["start_char"].alias("start_char"), m["end_char"].alias("end_char"),
+            F.round(m["score"], 4).alias("confidence"), T.context_window(text, m["start_char"], m["end_char"]).alias("context"),
+        ),
     )
+    rows = tagged.select("doc_id", F.explode(told).alias("m")).select("doc_id", "m.*")
+    return rows.withColumn("entity_id", F.concat(F.col("doc_id").cast("string"), F.lit("_entity_"), F.col("ord").cast("string")))
+
+
+def _token_starts(words: Column) -> Column:
+    return T.running(F.transform(words, lambda w: (F.length(w) + 1).cast("long")))
 
 
 def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, i, word, start_char: a row per token."""
-    split = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(T.tokens(F.col(text_col))).alias("i", "word"))
-    before = F.sum(F.length("word") + 1).over(Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1))
-    return split.withColumn("start_char", F.coalesce(before, F.lit(0)).cast("int"))
+    split = docs.select(F.col(id_col).alias("doc_id"), T.tokens(F.col(text_col)).alias("w"))
+    placed = split.select("doc_id", F.posexplode(F.arrays_zip(F.col("w"), _token_starts(F.col("w")).alias("s"))).alias("i", "t"))
+    return placed.select("doc_id", "i", F.col("t.w").alias("word"), F.col("t.s").cast("int").alias("start_char"))
 
 
 def triplets(tokens: DataFrame, least: float = 0.6) -> DataFrame:
@@ -89,12 +106,12 @@ def triplets(tokens: DataFrame, least: float = 0.6) -> DataFrame:
 
 def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, overlap: int = 256) -> DataFrame:
     """doc_id, chunk, first_token, n_tokens, char_start, chunk_text: windows over tokens; no explode of single tokens."""
-    words = docs.select(F.col(id_col).alias("doc_id"), T.tokens(F.col(text_col)).alias("words"))
-    cut = words.select("doc_id", "words", F.posexplode(T.chunks(F.col("words"), size, overlap)).alias("chunk", "c"))
-    head = F.slice("words", F.lit(1), F.col("c.first"))
+    words = docs.select(F.col(id_col).alias("doc_id"), T.tokens(F.col(text_col)).alias("words")).withColumn("starts", _token_starts(F.col("words")))
+    with_start = F.transform(T.chunks(F.col("words"), size, overlap), lambda c: F.struct(c["first"].alias("first"), c["words"].alias("words"), F.get("starts", c["first"]).alias("start")))
+    cut = words.select("doc_id", F.posexplode(with_start).alias("chunk", "c"))
     return cut.select(
         "doc_id", "chunk", F.col("c.first").cast("long").alias("first_token"), F.size("c.words").cast("long").alias("n_tokens"),
-        F.when(F.col("c.first") == 0, 0).otherwise(F.length(F.array_join(head, " ")) + 1).cast("long").alias("char_start"), F.array_join("c.words", " ").alias("chunk_text"),
+        F.col("c.start").alias("char_start"), F.array_join("c.words", " ").alias("chunk_text"),
     )
 
 
@@ -142,7 +159,8 @@ def _text(v: str, path: str) -> Column:
 def parsed_events(outputs: DataFrame, id_col: str = "doc_id", output_col: str = "output", domain_col: str | None = None) -> DataFrame:
     """One row per valid event of a model's output: ids by the item's place, defaults only where a key is absent.
 
-    doc_id, event_id, idx, event_type, trigger, start_char, end_char, sentiment, domain, confidence, n_arguments.
+    doc_id, event_id, idx, event_type, trigger, start_char, end_char, sentiment, domain, confidence, arguments (array of
+    struct(role, text, type, confidence); those with a confidence out of range are left out), n_arguments.
     """
     ship_package(outputs.sparkSession)
     hint = F.col(domain_col) if domain_col else F.lit(None).cast("string")
@@ -153,12 +171,15 @@ def parsed_events(outputs: DataFrame, id_col: str = "doc_id", output_col: str =
     confidence = F.coalesce(F.expr("try_variant_get(v, '$.metadata.confidence', 'double')"), F.lit(1.0))
     valid = _text("v", "$.event_type").isNotNull() & _text("v", "$.trigger.text").isNotNull() & confidence.between(0.0, 1.0)
     good = F.filter(args, lambda a: F.coalesce(F.call_function("try_variant_get", a, F.lit("$.confidence"), F.lit("double")), F.lit(1.0)).between(0.0, 1.0))
+    told = lambda a, path, default: F.coalesce(F.call_function("try_variant_get", a, F.lit(f"$.{path}"), F.lit("string")), F.call_function("try_variant_get", a, F.lit(f"$.entity.{path}"), F.lit("string")), F.lit(default))
+    sure = lambda a: F.coalesce(F.call_function("try_variant_get", a, F.lit("$.confidence"), F.lit("double")), F.lit(1.0))
+    arguments = F.transform(good, lambda a: F.struct(told(a, "role", "unknown").alias("role"), told(a, "text", "").alias("text"), told(a, "type", "MISC").alias("type"), sure(a).alias("confidence")))
     return items.where(valid).select(
         "doc_id", F.concat(F.col("doc_id").cast("string"), F.lit("_event_"), F.col("idx").cast("string")).alias("event_id"), F.col("idx").cast("long").alias("idx"),
         _text("v", "$.event_type").alias("event_type"), _text("v", "$.trigger.text").alias("trigger"),
         F.expr("try_variant_get(v, '$.trigger.start_char', 'bigint')").alias("start_char"), F.expr("try_variant_get(v, '$.trigger.end_char', 'bigint')").alias("end_char"),
         F.when(absent("$.metadata.sentiment"), "neutral").otherwise(_text("v", "$.metadata.sentiment")).alias("sentiment"),
-        F.when(absent("$.domain"), F.col("hint")).otherwise(_text("v", "$.domain")).alias("domain"), confidence.alias("confidence"), F.size(good).cast("long").alias("n_arguments"),
+        F.when(absent("$.domain"), F.col("hint")).otherwise(_text("v", "$.domain")).alias("domain"), confidence.alias("confidence"), arguments.alias("arguments"), F.size(good).cast("long").alias("n_arguments"),
     )
 
 

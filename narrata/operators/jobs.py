@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,7 +65,14 @@ class Batch:
         self._append(one)
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(LOG).parquet(self.folder).where(F.col("job_id") == self.job_id)
+        """What the job has noted; nothing before it starts."""
+        try:
+            rows = self.spark.read.schema(LOG).parquet(self.folder)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            rows = self.spark.createDataFrame([], LOG)
+        return rows.where(F.col("job_id") == self.job_id)
 
     def start(self) -> None:
         self._event("state", RUNNING)

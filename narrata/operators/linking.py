@@ -2,11 +2,12 @@
 
 A pair scores 0.4 for the cosine of its embeddings, 0.3 for the Jaccard similarity of its entity signatures, 0.2 for
 closeness in time and 0.1 for the domain; from 0.75 on it is a link. Without a common signature the score can't pass 0.7, so
-pairs come from an equi-join on signatures and no link is lost; the guard in ``links`` keeps that true for other weights.
+pairs come from equi-joins on signatures (see ``_candidates``) and no link is lost; other weights fall back to blocks.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,31 +54,70 @@ def _same_story(a: Column, b: Column) -> Column:
     return (a == b) | F.nullif(a, F.lit("")).isNull() | F.nullif(b, F.lit("")).isNull()
 
 
+def _close_days(w: Weights, overlap: float) -> int | None:
+    """Most whole days between two events that can link at this entity overlap; None: any number; -1: none can."""
+    least = (w.threshold - w.semantic - w.domain - w.entity * overlap) / w.temporal if w.temporal else 0.0
+    return None if least <= 0 else -1 if least > 1 else int(-w.decay_days * math.log(least) + 1e-9)
+
+
+def _candidates(prepared: DataFrame, w: Weights) -> DataFrame:
+    """x, y: pairs with a common signature that can still reach the threshold.
+
+    Events with the same signatures can link at any distance in time and meet on the whole set. Others overlap by at most
+    (n - 1) / n, n the size of the largest set, so they have to be close in time: they meet on a signature and the same or the
+    next stretch of days, before any embedding is fetched.
+    """
+    held = prepared.select("event_id", "ord", "domain", "ts", F.array_sort(F.array_distinct("signatures")).alias("all")).where(F.size("all") > 0)
+    a, b = held.alias("a"), held.alias("b")
+    ordered = (F.col("a.ord") < F.col("b.ord")) & _same_story(F.col("a.domain"), F.col("b.domain"))
+    pick = [F.col("a.event_id").alias("x"), F.col("b.event_id").alias("y")]
+    same = a.join(b, (F.col("a.all") == F.col("b.all")) & ordered).select(*pick)
+    largest = held.agg(F.max(F.size("all"))).first()[0] or 1
+    days = _close_days(w, (largest - 1) / largest)
+    if largest == 1 or days == -1:
+        return same
+    each = held.withColumn("s", F.explode("all"))
+    differ = ordered & (F.col("a.all") != F.col("b.all"))
+    if days is None:
+        a, b = each.alias("a"), each.alias("b")
+        return same.unionByName(a.join(b, (F.col("a.s") == F.col("b.s")) & differ).select(*pick).distinct())
+    day = F.floor(F.unix_seconds("ts") / 86_400)
+    stretch = F.floor(day / (days + 1))
+    timed = each.where("ts IS NOT NULL").withColumn("stretch", stretch)
+    a, b = timed.alias("a"), timed.withColumn("at", F.explode(F.array(*[F.col("stretch") + k for k in (-1, 0, 1)]))).alias("b")
+    gap = F.abs(F.floor((F.unix_micros("b.ts") - F.unix_micros("a.ts")) / 86_400_000_000))
+    near = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.stretch") == F.col("b.at")) & differ & (gap <= days)).select(*pick)
+    if _unknown_time_links(w, largest):
+        a, b = each.alias("a"), each.alias("b")
+        near = near.unionByName(a.join(b, (F.col("a.s") == F.col("b.s")) & differ & (F.col("a.ts").isNull() | F.col("b.ts").isNull())).select(*pick))
+    return same.unionByName(near.distinct())
+
+
+def _unknown_time_links(w: Weights, largest: int) -> bool:
+    """Whether two events of different signatures can link if a time is missing, which counts as a closeness of one half."""
+    return w.semantic + w.domain + w.entity * (largest - 1) / largest + w.temporal * 0.5 >= w.threshold
+
+
 def scored_pairs(events: DataFrame, w: Weights = Weights()) -> DataFrame:
     """All pairs that can be links, scored. ``events``: event_id, ord, domain, ts, embedding, signatures (array)."""
     prepared = events.withColumn("norm", V.norm(F.col("embedding")))
     if w.semantic + w.temporal + w.domain < w.threshold:
-        held = prepared.select("event_id", "ord", F.explode(F.array_distinct("signatures")).alias("s"))
-        met = held.alias("a").join(held.alias("b"), (F.col("a.s") == F.col("b.s")) & (F.col("a.ord") < F.col("b.ord")))
-        ids = met.select(F.col("a.event_id").alias("x"), F.col("b.event_id").alias("y")).distinct()
+        ids = _candidates(prepared, w)
         both = ids.join(prepared.alias("a"), F.col("x") == F.col("a.event_id")).join(prepared.alias("b"), F.col("y") == F.col("b.event_id"))
-        both = both.where(_same_story(F.col("a.domain"), F.col("b.domain")))
-    else:
-        known = F.nullif(F.col("domain"), F.lit("")).isNotNull()
-        inside = prepared.where(known)
-        both = inside.alias("a").join(inside.alias("b"), (F.col("a.domain") == F.col("b.domain")) & (F.col("a.ord") < F.col("b.ord")))
-        loose = prepared.where(~known)
-        cross = loose.alias("l").join(prepared.alias("r"), (F.col("l.ord") < F.col("r.ord")) | (known_of("r") & (F.col("l.ord") > F.col("r.ord"))))
-        swap = F.col("l.ord") > F.col("r.ord")
-        pick = lambda first: [F.when(swap if first else ~swap, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")).alias(c) for c in prepared.columns]
-        open_pairs = cross.select(F.struct(*pick(True)).alias("a"), F.struct(*pick(False)).alias("b"))
-        closed = both.select(F.struct(*[F.col(f"a.{c}") for c in prepared.columns]).alias("a"), F.struct(*[F.col(f"b.{c}") for c in prepared.columns]).alias("b"))
-        both = closed.unionByName(open_pairs)
-    return _score(both, w)
-
-
-def known_of(side: str) -> Column:
-    return F.nullif(F.col(f"{side}.domain"), F.lit("")).isNotNull()
+        return _score(both, w)
+    # weights that link without a common signature: all pairs of a domain, and those without one with all, in blocks
+    blocks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = F.nullif(F.col("domain"), F.lit("")).isNotNull()
+    whole = F.struct(*prepared.columns)
+    a = prepared.where(known).select(F.col("domain").alias("d"), whole.alias("a"))
+    b = prepared.where(known).select(F.col("domain").alias("d"), whole.alias("b"))
+    inside = a.join(b, "d").where(F.col("a.ord") < F.col("b.ord")).select("a", "b")
+    dealt = prepared.select(F.pmod(F.xxhash64("event_id"), F.lit(blocks)).alias("block"), whole.alias("r"))
+    loose = prepared.where(~known).select(whole.alias("l"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    cross = loose.join(dealt, "block").where((F.col("l.ord") < F.col("r.ord")) | (F.nullif(F.col("r.domain"), F.lit("")).isNotNull() & (F.col("l.ord") > F.col("r.ord"))))
+    later = F.col("l.ord") > F.col("r.ord")
+    open_pairs = cross.select(F.when(later, F.col("r")).otherwise(F.col("l")).alias("a"), F.when(later, F.col("l")).otherwise(F.col("r")).alias("b"))
+    return _score(inside.unionByName(open_pairs), w)
 
 
 def links(events: DataFrame, w: Weights = Weights()) -> DataFrame:
@@ -92,24 +132,43 @@ def named_components(found: DataFrame) -> DataFrame:
 
 
 def average_linkage(similarity: np.ndarray, cut_at: float) -> np.ndarray:
-    """Cluster numbers by average linkage: the two clusters with the highest mean similarity merge while it is above ``cut_at``."""
+    """Cluster numbers by average linkage: the two clusters with the highest mean similarity merge while it is above ``cut_at``.
+
+    Each cluster remembers its best partner, so a merge costs about one pass over the clusters instead of all pairs.
+    """
     n = len(similarity)
-    sums, counts, label = similarity.copy(), np.ones(n), np.arange(n)
-    alive = np.ones(n, dtype=bool)
+    sums, counts, label = similarity.astype(float), np.ones(n), np.arange(n)
     np.fill_diagonal(sums, -np.inf)
+    alive = np.ones(n, dtype=bool)
+    mean_of = lambda i: np.where(alive, sums[i] / (counts[i] * counts), -np.inf)
+    best, value = np.zeros(n, dtype=int), np.full(n, -np.inf)
+
+    def refresh(i: int) -> None:
+        means = mean_of(i)
+        best[i] = int(np.argmax(means))
+        value[i] = means[best[i]]
+
+    for i in range(n):
+        refresh(i)
     while alive.sum() > 1:
-        means = np.where(alive[:, None] & alive[None, :], sums / np.outer(counts, counts), -np.inf)
-        np.fill_diagonal(means, -np.inf)
-        i, j = np.unravel_index(np.argmax(means), means.shape)
-        if means[i, j] <= cut_at:
+        i = int(np.argmax(value))
+        if value[i] <= cut_at:
             break
-        i, j = min(i, j), max(i, j)
+        i, j = min(i, best[i]), max(i, best[i])
         sums[i] += sums[j]
         sums[:, i] += sums[:, j]
         sums[i, i] = -np.inf
         counts[i] += counts[j]
-        alive[j] = False
+        alive[j], value[j] = False, -np.inf
         label[label == j] = i
+        stale = alive & ((best == i) | (best == j))
+        stale[i] = True
+        for k in np.flatnonzero(stale):
+            refresh(k)
+        means = mean_of(i)
+        better = alive & ((means > value) | ((means == value) & (i < best)))
+        better[i] = False
+        best[better], value[better] = i, means[better]
     return label
 
 
@@ -120,8 +179,13 @@ def _cluster(w: Weights):
         norm = np.linalg.norm(x, axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
             semantic = np.nan_to_num((x @ x.T) / np.outer(norm, norm))
-        sets = [set(s) for s in group["signatures"]]
-        entity = np.array([[len(a & b) / len(a | b) if a and b else 0.0 for b in sets] for a in sets])
+        numbers: dict[str, int] = {}
+        sets = [{numbers.setdefault(x, len(numbers)) for x in s} for s in group["signatures"]]
+        marks = np.zeros((len(sets), max(1, len(numbers))), dtype=np.float32)
+        for row, own in zip(marks, sets, strict=True):
+            row[list(own)] = 1
+        shared, sizes = (marks @ marks.T).astype(float), marks.sum(axis=1, dtype=float)
+        entity = shared / np.maximum(1.0, sizes[:, None] + sizes[None, :] - shared)
         ts = group["ts"].astype("datetime64[us]").astype("int64").to_numpy().astype(float)
         missing = group["ts"].isna().to_numpy()
         days = np.abs(np.floor((ts[None, :] - ts[:, None]) / 86_400_000_000))

@@ -167,7 +167,20 @@ def q_parse_output(spark, d):
     wrong = """concat('{"events": [{"event_type": "', event_type, '", "trigger": {"text": "k"}, "metadata": {"confidence": 3}}]}')"""
     output = F.expr(f"CASE event_id % 4 WHEN 0 THEN {fenced} WHEN 1 THEN {bare} WHEN 2 THEN 'nothing found' ELSE {wrong} END")
     rows = table(spark, d, "events").select(F.col("event_id").alias("doc_id"), output.alias("output"), F.lit("general").alias("hint"))
-    return extraction.parsed_events(rows, domain_col="hint")
+    return extraction.parsed_events(rows, domain_col="hint").drop("arguments")
+
+
+@query("""
+SELECT event_id AS doc_id, 0 AS idx, 0 AS place, 'agent' AS role, 'u' || user_id AS text, 'PER' AS type, 0.5::DOUBLE AS confidence FROM events
+UNION ALL SELECT event_id, 0, 1, 'unknown', event_type, 'MISC', 1.0::DOUBLE FROM events
+UNION ALL SELECT event_id, 1, 0, 'place', '', 'LOC', 1.0::DOUBLE FROM events WHERE event_id % 2 = 0""")
+def q_event_arguments(spark, d):
+    """Roles, texts and types of arguments, flat or inside an entity, with defaults where keys are absent; one out of range."""
+    first = """concat('{"event_type": "a", "trigger": {"text": "k"}, "arguments": [{"role": "agent", "text": "u', user_id, '", "type": "PER", "confidence": 0.5}, {"entity": {"text": "', event_type, '"}}, {"role": "time", "confidence": -1}]}')"""
+    second = """CASE WHEN event_id % 2 = 0 THEN ', {"event_type": "b", "trigger": {"text": "k"}, "arguments": [{"role": "place", "type": "LOC"}]}' ELSE ', {"event_type": "b", "trigger": {"text": "k"}}' END"""
+    rows = table(spark, d, "events").select(F.col("event_id").alias("doc_id"), F.expr(f"concat('[', {first}, {second}, ']')").alias("output"))
+    told = extraction.parsed_events(rows).select("doc_id", "idx", F.posexplode("arguments").alias("place", "a"))
+    return told.select("doc_id", "idx", F.col("place").cast("long").alias("place"), "a.*")
 
 
 _EVENTS = "SELECT user_id AS doc_id, event_id AS ord, event_type, 'T' || event_id % 3 AS trigger, event_id * 7 % 350 AS start_char, value AS confidence FROM events"
@@ -190,19 +203,22 @@ def q_event_description(spark, d):
 
 
 @query("""
-WITH lines AS (SELECT doc_id, i - 1 AS sent, string_split(l[i], ' ') AS w FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
-pairs AS (SELECT doc_id, sent, w[1] AS s, w[2] AS a, w[3] AS o, 3 AS oi FROM lines WHERE len(w) >= 3 UNION ALL SELECT doc_id, sent, w[1], w[2], w[5], 5 FROM lines WHERE len(w) >= 5)
-SELECT doc_id, sent, s AS subject, a AS action, o AS object, round(0.8 - least(0.2, 0.2 * (1 + oi - 2) / 20) + 0.1 + CASE WHEN oi = 3 THEN 0.1 ELSE 0 END, 6)::DOUBLE AS confidence
+WITH lines AS (SELECT doc_id, i - 1 AS line, string_split(l[i], ' ') AS w FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
+cut AS (SELECT doc_id, line, g, w[g * 5 + 1:g * 5 + 5] AS w FROM (SELECT *, unnest(range(0, (len(w) + 4) // 5)) AS g FROM lines)),
+pairs AS (SELECT doc_id, line, g, w[1] AS s, w[2] AS a, w[3] AS o, 3 AS oi FROM cut WHERE len(w) >= 3 UNION ALL SELECT doc_id, line, g, w[1], w[2], w[5], 5 FROM cut WHERE len(w) >= 5)
+SELECT doc_id, line * 1000000 + g AS sent, s AS subject, a AS action, o AS object, round(0.8 - least(0.2, 0.2 * (1 + oi - 2) / 20) + 0.1 + CASE WHEN oi = 3 THEN 0.1 ELSE 0 END, 6)::DOUBLE AS confidence
 FROM pairs WHERE s <> '' AND a <> '' AND o <> ''""")
 def q_triplets(spark, d):
-    """Each line is a sentence: its second word is the verb, the first its subject, the third an object, the fifth one behind a preposition."""
-    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("sent", "line"))
-    words = lines.select("doc_id", "sent", F.posexplode(F.slice(F.split("line", " ", -1), 1, 5)).alias("p", "word"))
+    """Each five words of a line are a sentence: the second is the verb, the first its subject, the third an object, the fifth one behind a preposition."""
+    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    words = lines.select("doc_id", "line", F.posexplode(F.split("text", " ", -1)).alias("at", "word"))
+    p = F.pmod("at", F.lit(5))
     role = {0: ("NOUN", "nsubj", 2), 1: ("VERB", "ROOT", 2), 2: ("NOUN", "dobj", 2), 3: ("ADP", "prep", 2), 4: ("NOUN", "pobj", 4)}
-    pick = lambda k: F.element_at(F.create_map(*[F.lit(x) for p, v in role.items() for x in (p, v[k])]), F.col("p"))
-    tokens = words.select("doc_id", "sent", (F.col("p") + 1).alias("i"), "word", F.lit(0).alias("start_char"), pick(0).alias("pos"), pick(1).alias("dep"), pick(2).alias("head"))
+    pick = lambda k: F.element_at(F.array(*[F.lit(v[k]) for v in role.values()]), p + 1)
+    sent = F.col("line").cast("long") * 1_000_000 + F.floor(F.col("at") / 5)
+    tokens = words.select("doc_id", sent.alias("sent"), (p + 1).alias("i"), "word", F.lit(0).alias("start_char"), pick(0).alias("pos"), pick(1).alias("dep"), pick(2).alias("head"))
     found = extraction.triplets(tokens)
-    return found.select("doc_id", F.col("sent").cast("long").alias("sent"), F.col("subject.text").alias("subject"), F.col("action.text").alias("action"), F.col("object.text").alias("object"), F.round("confidence", 6).alias("confidence"))
+    return found.select("doc_id", "sent", F.col("subject.text").alias("subject"), F.col("action.text").alias("action"), F.col("object.text").alias("object"), F.round("confidence", 6).alias("confidence"))
 
 
 @query("""

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, is_dataclass
+from pathlib import Path
 
 from narrata.functions import text
 from narrata.operators import extraction, linking
@@ -51,3 +56,24 @@ def from_dict(values: dict, kind: type = Settings):
         default = getattr(kind(), name)
         built[name] = from_dict(value, type(default)) if is_dataclass(default) else tuple(value) if isinstance(default, tuple) else type(default)(value)
     return kind(**built)
+
+
+def expanded(value, names: Mapping[str, str] = os.environ):
+    """``value`` with ${NAME} and ${NAME:default} in its strings replaced, at any depth; a name without a value stays."""
+    if isinstance(value, dict):
+        return {k: expanded(v, names) for k, v in value.items()}
+    if isinstance(value, list):
+        return [expanded(v, names) for v in value]
+    if isinstance(value, str):
+        return re.sub(r"\$\{([^}:]+)(?::([^}]*))?\}", lambda m: names.get(m[1], m[2] if m[2] is not None else m[0]), value)
+    return value
+
+
+def from_file(path: str, names: Mapping[str, str] = os.environ) -> Settings:
+    """Settings from a JSON file, or from a YAML file where a YAML reader is installed."""
+    text = Path(path).read_text(encoding="utf-8")
+    if path.endswith((".yaml", ".yml")):
+        import yaml
+
+        return from_dict(expanded(yaml.safe_load(text) or {}, names))
+    return from_dict(expanded(json.loads(text), names))

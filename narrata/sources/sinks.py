@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from narrata.functions.text import routing_key
-from narrata.operators.cutting import cut
+from narrata.operators.cutting import cut, remove
 from narrata.operators.jobs import upsert
 
 OUTBOX_KEPT, DEAD_KEPT = 10_000, 1_000
@@ -22,16 +22,31 @@ def write_json_lines(df: DataFrame, folder: str, mode: str = "append", compressi
 
 
 def upsert_table(spark: SparkSession, folder: str, new: DataFrame, key: str, update: list[str] | None = None) -> DataFrame:
-    """Upsert into a Parquet table kept in versions: the next version is written whole before it counts."""
-    try:
-        old = spark.read.parquet(f"{folder}/current")
-    except Exception as e:  # no version yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        old = new.limit(0)
-    merged = cut(upsert(old, new, key, update))
-    merged.write.mode("overwrite").parquet(f"{folder}/current")
-    return merged
+    """Upsert into a Parquet table kept in versions: the next version is written whole before it counts.
+
+    A version counts once its commit marker is there, so a crash leaves the last one as it was; the last two are kept.
+    """
+    done = _versions(spark, folder)
+    old = spark.read.parquet(f"{folder}/v={done[-1]}") if done else new.limit(0)
+    ahead = done[-1] + 1 if done else 1
+    upsert(old, new, key, update).write.mode("overwrite").parquet(f"{folder}/v={ahead}")
+    for gone in done[:-1]:
+        remove(spark, f"{folder}/v={gone}")
+    return spark.read.parquet(f"{folder}/v={ahead}")
+
+
+def current_table(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The last whole version of an upserted table; none before the first."""
+    done = _versions(spark, folder)
+    return spark.read.parquet(f"{folder}/v={done[-1]}") if done else None
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in system.listStatus(path)] if system.exists(path) else []
+    marked = [p for p in found if p.getName().startswith("v=") and system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName()[2:]) for p in marked)
 
 
 def fan_out(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> dict[str, str | None]:

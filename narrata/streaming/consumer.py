@@ -63,8 +63,8 @@ def once_across_sources(messages: DataFrame) -> DataFrame:
 
 def route(kind: Column, data: Column) -> Column:
     """document, batch, empty (a job without documents) or ignored."""
-    last = F.element_at(F.split(kind, r"\."), -2)
-    both = F.concat_ws(".", last, F.element_at(F.split(kind, r"\."), -1))
+    parts = F.split(kind, r"\.")
+    both = F.concat_ws(".", F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-1)))
     names = F.create_map(*[F.lit(x) for pair in ROUTES.items() for x in pair])
     found = F.coalesce(F.try_element_at(names, both), F.lit("ignored"))
     none = F.coalesce(F.get_json_object(data, "$.documents_processed").cast("long"), F.lit(-1)) == 0

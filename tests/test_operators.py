@@ -1,12 +1,15 @@
 """Column helpers and operators on small tables, with the cases that are easy to get wrong."""
 
+import datetime as dt
 import difflib
+import math
 from datetime import datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from narrata import api, settings
 from narrata.functions import text as T
 from narrata.functions import vectors as V
 from narrata.operators import extraction, jobs, linking, metrics, resolution
@@ -165,9 +168,98 @@ def test_sinks_fail_alone(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == 3
     sinks.upsert_table(spark, str(tmp_path / "t"), df.selectExpr("id", "'a' AS v", "1 AS seq"), "id")
     sinks.upsert_table(spark, str(tmp_path / "t"), df.selectExpr("id + 2 AS id", "'b' AS v", "2 AS seq"), "id")
-    assert sorted((r.id, r.v) for r in spark.read.parquet(str(tmp_path / "t/current")).collect()) == [(0, "a"), (1, "a"), (2, "b"), (3, "b"), (4, "b")]
+    assert sorted((r.id, r.v) for r in sinks.current_table(spark, str(tmp_path / "t")).collect()) == [(0, "a"), (1, "a"), (2, "b"), (3, "b"), (4, "b")]
 
 
 def test_signature():
     given = consumer.signature(b"key", b"body")
     assert consumer.signature_ok(b"key", b"body", "sha256=" + given) and not consumer.signature_ok(b"key", b"body!", given) and not consumer.signature_ok(b"key", b"body", None)
+
+
+def test_repeated_ids_stay_apart(spark):
+    """Two rows of one id: each text's mentions at its own places."""
+    docs = spark.createDataFrame([(1, "on 2024-01-02 Ann Lee paid $5"), (1, "x Ann Lee")], "doc_id long, text string")
+    got = sorted((r.text, r.start_char, r.context) for r in extraction.mentions(docs).collect())
+    assert got == [("$5", 27, "on 2024-01-02 Ann Lee paid [$5]"), ("2024-01-02", 3, "on [2024-01-02] Ann Lee paid $5"), ("Ann Lee", 2, "x [Ann Lee]"), ("Ann Lee", 14, "on 2024-01-02 [Ann Lee] paid $5")]
+    assert "Exchange" not in extraction.mentions(docs)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_sums(spark):
+    rows = spark.createDataFrame([(list(range(n)),) for n in (0, 1, 255, 256, 257, 1000)], "a array<long>").select("a", T.running(F.col("a")).alias("s")).collect()
+    assert all(r.s == [sum(r.a[:i]) for i in range(len(r.a))] for r in rows)
+
+
+def test_route_of_one_part(spark):
+    rows = spark.createDataFrame([("document", "{}"), ("", "{}"), (None, None), ("com.document.processed", "{}")], "kind string, data string")
+    assert [r.r for r in rows.select(consumer.route(F.col("kind"), F.col("data")).alias("r")).collect()][:3] == ["ignored"] * 3
+
+
+def test_upsert_survives_a_crash(spark, tmp_path):
+    """A version without its commit marker doesn't count."""
+    folder = str(tmp_path / "t")
+    sinks.upsert_table(spark, folder, spark.sql("SELECT 1 AS id, 'a' AS v, 1 AS seq"), "id")
+    spark.sql("SELECT 7 AS id, 'half' AS v, 1 AS seq").write.parquet(f"{folder}/v=2")
+    (tmp_path / "t" / "v=2" / "_SUCCESS").unlink()
+    assert [tuple(r) for r in sinks.current_table(spark, folder).collect()] == [(1, "a", 1)]
+    for k in range(3):
+        sinks.upsert_table(spark, folder, spark.sql(f"SELECT {k} AS id, 'b' AS v, 2 AS seq"), "id")
+    assert sorted(map(tuple, sinks.current_table(spark, folder).collect())) == [(0, "b", 2), (1, "b", 2), (2, "b", 2)]
+    assert sinks.current_table(spark, str(tmp_path / "none")) is None
+
+
+def test_status_of_a_job_that_never_started(spark, tmp_path):
+    assert api.job_status(spark, str(tmp_path), "none", 3) is None
+
+
+def test_settings_from_file(tmp_path):
+    path = tmp_path / "s.json"
+    path.write_text('{"documents": {"max_batch": "${BATCH:7}"}, "linking": {"threshold": "${T}"}}')
+    read = settings.from_file(str(path), {"T": "0.5"})
+    assert read.documents.max_batch == 7 and read.linking.threshold == 0.5
+
+
+def by_pairs(rows, w):
+    """All pairs scored by hand: (id, domain, time or None, vector, signatures)."""
+    out = set()
+    for x in rows:
+        for y in rows:
+            if x[0] < y[0] and (not x[1] or not y[1] or x[1] == y[1]):
+                cos = float(np.dot(x[3], y[3]) / (np.linalg.norm(x[3]) * np.linalg.norm(y[3])))
+                a, b = set(x[4]), set(y[4])
+                j = len(a & b) / len(a | b) if a and b else 0.0
+                t = 0.5 if x[2] is None or y[2] is None else math.exp(-abs((y[2] - x[2]).days) / w.decay_days)
+                d = 1.0 if x[1] and y[1] else 0.5
+                if w.semantic * cos + w.entity * j + w.temporal * t + w.domain * d >= w.threshold:
+                    out.add((x[0], y[0]))
+    return out
+
+
+@pytest.mark.parametrize("w", [linking.Weights(), linking.Weights(threshold=0.62), linking.Weights(entity=0.1, temporal=0.4), linking.Weights(semantic=0.3, temporal=0.3)])
+def test_links_against_all_pairs(spark, w):
+    """Shared and partly shared signatures, near and far in time, without times or domains: no link is lost or invented."""
+    rng = np.random.default_rng(3)
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(150):
+        own = [f"s{x}" for x in rng.integers(0, 6, rng.integers(0, 4))]
+        when = None if i % 11 == 0 else start + dt.timedelta(hours=int(rng.integers(0, 24 * 20)))
+        rows.append((i, (None, "", "a", "b")[int(rng.integers(0, 4))] if i % 3 == 0 else "a", when, [float(x) for x in np.abs(rng.standard_normal(4))], own))
+    df = spark.createDataFrame(rows, "event_id long, domain string, ts timestamp, embedding array<double>, signatures array<string>").withColumn("ord", F.col("event_id"))
+    found = linking.links(df, w)
+    assert {(r.source_event_id, r.target_event_id) for r in found.collect()} == by_pairs(rows, w) and found.count() == len(by_pairs(rows, w))
+    assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_average_linkage_as_all_pairs():
+    rng = np.random.default_rng(4)
+    for n in (2, 5, 20, 40):
+        s = rng.random((n, n))
+        s = (s + s.T) / 2
+        groups = [[i] for i in range(n)]
+        while len(groups) > 1:
+            mean, i, j = max((np.mean([s[x, y] for x in groups[i] for y in groups[j]]), -i, -j) for i in range(len(groups)) for j in range(i + 1, len(groups)))
+            if mean <= 0.55:
+                break
+            groups[-i] += groups.pop(-j)
+        label = linking.average_linkage(s, 0.55)
+        assert sorted(map(sorted, groups)) == sorted([int(x) for x in np.flatnonzero(label == g)] for g in set(label))
