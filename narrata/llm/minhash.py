@@ -26,7 +26,7 @@ import math
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from narrata.functions.shipping import ship_package
@@ -87,7 +87,7 @@ def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def forest(ids_left: np.ndarray, ids_right: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
-    """Links that keep the same nodes connected as all the linked cells do."""
+    """Links that keep the same nodes connected as all the linked cells do: of each node with the least it is connected to."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -96,13 +96,11 @@ def forest(ids_left: np.ndarray, ids_right: np.ndarray, linked: np.ndarray) -> l
             x = root[x]
         return x
 
-    out = []
     for i, j in zip(*np.nonzero(linked), strict=True):
         a, b = find(int(ids_left[i])), find(int(ids_right[j]))
         if a != b:
             root[max(a, b)] = min(a, b)
-            out.append((int(ids_left[i]), int(ids_right[j])))
-    return out
+    return [(node, least) for node in list(root) if (least := find(node)) != node]
 
 
 def _confirm(width: int, percent: int):
@@ -129,12 +127,22 @@ def _confirm(width: int, percent: int):
                 for i in leads.get(group["lead"].iat[j], ()):
                     shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                     if sizes[i] and sizes[j] and linked(sizes[i], sizes[j], shared):
-                        links.append((ids[i], ids[j]))
+                        links.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Links of the same components, about one a node: a node's partners are tied to the least of them instead of to the node.
+
+    ``links``: a, b, b the smaller. A node meets in many blocks, but their least members are few.
+    """
+    least = F.min("b").over(Window.partitionBy("a"))
+    ties = links.distinct().withColumn("m", least).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+    return ties.where("a <> b").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, small: int = SMALL, chunk: int = CHUNK, hashed=xxhash.xxh3_64_intdigest,
 ) -> DataFrame:
@@ -179,7 +187,7 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     work = singly.unionByName(jointly).join(texts, F.col("cls") == F.col("doc_id")).drop("doc_id")
     links = work.groupBy("component", "i", "j", "p", "q").applyInPandas(_confirm(width, percent), "a long, b long")
-    joined = components(cut(links))
+    joined = components(contracted(cut(links)))
     named = cut(compared.groupBy("sig").agg(F.min("doc_id").alias("cls")).join(joined.withColumnRenamed("node", "cls"), "cls", "left").select("sig", F.coalesce("component", "cls").alias("component_id")))
     grouped = compared.join(named, "sig").select("doc_id", "n", "component_id")
     alone = found.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from narrata.functions.shipping import ship_package
 from narrata.llm.common import cut, table
-from narrata.llm.minhash import forest
+from narrata.llm.minhash import contracted, forest
 from narrata.operators.graph import components
 
 COSINE = 0.98
@@ -331,7 +331,8 @@ def near_vectors(
         if seen >= recall:
             break
     inside = grouped.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-    joined = components(told.where("n < 0").select(F.col("id").alias("a"), F.col("other").alias("b")).unionByName(inside))
+    ties = contracted(told.where("n < 0").select(F.col("id").alias("a"), F.col("other").alias("b")))
+    joined = components(ties.unionByName(inside))
     whole = cut(totals.join(joined.withColumnRenamed("node", "id"), "id", "left").join(classes.select("id", "least"), "id").select("id", "linked", F.coalesce("component", "id").alias("whole"), "least"))
     heads = cut(whole.groupBy("whole").agg(F.min("least").alias("component_id")))
     back = classes.select("id", "label", "v").join(whole.join(heads, "whole"), "id").select(F.col("label").alias("l"), F.col("v").alias("x"), "linked", "component_id")
