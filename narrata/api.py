@@ -20,14 +20,15 @@ log = logging.getLogger("narrata")
 
 
 def prepared(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """document_id, doc_no, text, context, published, valid, error; ``docs`` may lack any of the known columns."""
+    """document_id, doc_no, text, context, published, preserved, valid, error; ``docs`` may lack any of the known columns."""
     have = set(docs.columns)
     get = lambda c, kind="string": F.col(c).cast(kind) if c in have else F.lit(None).cast(kind)
     text = T.truncated(T.first_text(*[get(c) for c in settings.documents.text_fields]), settings.documents.max_text_length)
     context = T.context_string(get("cleaned_title"), get("cleaned_author"), get("cleaned_publication_date"), get("cleaned_excerpt"), get("cleaned_categories", "array<string>"), get("cleaned_tags", "array<string>"))
     ident = T.present(get("document_id"))
     published = T.normalised_date(F.coalesce(T.present(get("cleaned_publication_date")), T.present(get("temporal_metadata"))))
-    rows = docs.select(ident.alias("document_id"), F.xxhash64(ident).alias("doc_no"), text.alias("text"), context.alias("context"), published.alias("published"), get("job_id").alias("job_id"))
+    preserved = T.preserved({c: F.col(c) for c in settings.documents.preserved_fields if c in have})
+    rows = docs.select(ident.alias("document_id"), F.xxhash64(ident).alias("doc_no"), text.alias("text"), context.alias("context"), published.alias("published"), get("job_id").alias("job_id"), preserved.alias("preserved"))
     error = F.when(F.col("document_id").isNull(), "no id").when(F.trim(F.coalesce("text", F.lit(""))) == "", "no text")
     return rows.withColumn("error", error).withColumn("valid", error.isNull())
 
@@ -82,6 +83,18 @@ def linked(events: DataFrame, settings: Settings = Settings(), embedder: Callabl
     return found, linking.profiles(members, entities, prefix=f"{batch_id}_storyline_")
 
 
+def linked_or_none(events: DataFrame, settings: Settings = Settings(), embedder: Callable[[pd.Series], pd.Series] | None = None, batch_id: str = "batch") -> tuple[DataFrame, DataFrame]:
+    """Links and storylines, written; none if ``settings.link_events`` is off or the step fails, so that documents still get their events."""
+    if settings.link_events:
+        try:
+            found, storylines = linked(events, settings, embedder, batch_id)
+            return found, cut(storylines)
+        except Exception:  # noqa: BLE001 - the documents are worth more than their links
+            log.exception("batch %s: events stay unlinked", batch_id)
+    found, storylines = linked(events.limit(0), batch_id=batch_id)
+    return found, cut(storylines)
+
+
 def nested(docs: DataFrame, mentions: DataFrame, events: DataFrame, storylines: DataFrame) -> DataFrame:
     """One row per document with its mentions and events, storylines assigned: the output contract."""
     of = storylines.select("storyline_id", F.explode("event_ids").alias("event_uid"))
@@ -90,15 +103,14 @@ def nested(docs: DataFrame, mentions: DataFrame, events: DataFrame, storylines:
     per_mention = mentions.groupBy(F.col("doc_id").alias("doc_no")).agg(F.sort_array(F.collect_list(F.struct("ord", "text", "type", "start_char", "end_char", "confidence", "normalized_form", "entity_id"))).alias("entities"))
     rows = docs.join(per_mention, "doc_no", "left").join(per_event, "doc_no", "left")
     size = lambda c: F.greatest(F.size(c), F.lit(0))
-    return rows.select("document_id", "job_id", "published", "valid", "error", "entities", "events", F.struct(size("entities").alias("entity_count"), size("events").alias("event_count"), F.length("text").alias("text_length")).alias("processing_metadata"))
+    return rows.select("document_id", "job_id", "published", "valid", "error", "preserved", "entities", "events", F.struct(size("entities").alias("entity_count"), size("events").alias("event_count"), F.length("text").alias("text_length")).alias("processing_metadata"))
 
 
 def run_documents(docs: DataFrame, settings: Settings = Settings(), batch_id: str = "batch", **plug_ins) -> dict[str, DataFrame]:
     """All results of a table of documents: documents (nested), mentions, events, links, storylines."""
     ready = cut(prepared(docs, settings))
     mentions, events = extracted(ready, settings, plug_ins.get("generator", echo_generator))
-    links, storylines = linked(events, settings, plug_ins.get("embedder"), batch_id)
-    storylines = cut(storylines)
+    links, storylines = linked_or_none(events, settings, plug_ins.get("embedder"), batch_id)
     return {"documents": nested(ready, mentions, events, storylines), "mentions": mentions, "events": events, "links": links, "storylines": storylines}
 
 

@@ -17,6 +17,8 @@ TYPE_NAMES = {
 }
 #: Fixed value: characters of a text that are read.
 MAX_TEXT = 1_000_000
+#: Fields that are passed on to the output.
+PRESERVED_FIELDS = ("document_id", "cleaned_publication_date", "cleaned_source_url")
 
 
 def present(c: Column) -> Column:
@@ -29,6 +31,19 @@ def first_text(*columns: Column) -> Column:
     return F.coalesce(*[present(c) for c in columns])
 
 
+def preserved(values: dict[str, Column]) -> Column:
+    """The fields that have a value, by name; empty strings are values."""
+    entries = [x for name, value in values.items() for x in (F.lit(name), value.cast("string"))]
+    if not entries:
+        return F.lit(None).cast("map<string,string>")
+    return F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
+
+
+def input_problem(c: Column, most: int) -> Column:
+    """Why a text is refused (blank, too long), or ok; a missing one is blank."""
+    return F.when(F.trim(F.coalesce(c, F.lit(""))) == "", "blank").when(F.length(c) > most, "too long").otherwise("ok")
+
+
 def truncated(c: Column, most: int = MAX_TEXT) -> Column:
     return F.substring(c, 1, most)
 

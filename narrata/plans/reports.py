@@ -9,7 +9,7 @@ from narrata.functions import text as T
 from narrata.operators import extraction, jobs, metrics, resolution
 from narrata.plans.base import Registry, table
 from narrata.plans.texts import _TAGGED
-from narrata.sources import sinks
+from narrata.sources import files, sinks
 from narrata.streaming import consumer
 
 query = Registry()
@@ -118,7 +118,7 @@ def q_rolling_rate(spark, d):
 
 @query("SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events ORDER BY ts DESC, event_id DESC LIMIT 10")
 def q_top_recent(spark, d):
-    return table(spark, d, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(10).select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    return files.latest(table(spark, d, "events"), "ts", ("event_id",), 10).select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 @query("""
@@ -161,6 +161,16 @@ def q_outbox(spark, d):
     return rows.select("id", "type", "subject", "routing_key", "message_key", F.get_json_object("body", "$.data.event_count").cast("long").alias("event_count"), F.get_json_object("body", "$.data.job_id").alias("job_id"))
 
 
+@query("""
+SELECT 'evt_' || substring(md5('document.failed|job_' || source || '|' || doc_id), 1, 12) AS id, 'document.failed' AS type, 'document/' || doc_id AS subject, 'document.failed' AS routing_key,
+       'document/' || doc_id AS message_key, 'ValidationError' AS error_type, 'text of ' || length(text) AS error_message, CAST(doc_id % 3 AS BIGINT) AS retry_count FROM documents""")
+def q_outbox_failed(spark, d):
+    docs = _processed(spark, d).withColumns({"error_type": F.lit("ValidationError"), "error_message": F.concat(F.lit("text of "), F.length("text")), "retry_count": F.col("document_id").cast("long") % 3})
+    part = lambda name: F.get_json_object("body", f"$.data.{name}")
+    rows = sinks.document_failed(docs)
+    return rows.select("id", "type", "subject", "routing_key", "message_key", part("error_type").alias("error_type"), part("error_message").alias("error_message"), part("retry_count").cast("long").alias("retry_count"))
+
+
 @query("SELECT 'job_' || source AS job_id, count(*) AS documents FROM documents GROUP BY source")
 def q_registry_jobs(spark, d):
     return _registry(spark, d)["registry_jobs"].select("job_id", "documents")

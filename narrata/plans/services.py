@@ -17,8 +17,7 @@ QUERIES, ORACLES = query.queries, query.oracles
 
 @query("SELECT doc_id, CASE WHEN trim(text) = '' THEN 'blank' WHEN length(text) > 5000 THEN 'too long' ELSE 'ok' END AS answer FROM documents")
 def q_input_predicates(spark, d):
-    answer = F.when(F.trim("text") == "", "blank").when(F.length("text") > 5000, "too long").otherwise("ok")
-    return table(spark, d, "documents").select("doc_id", answer.alias("answer"))
+    return table(spark, d, "documents").select("doc_id", T.input_problem(F.col("text"), 5000).alias("answer"))
 
 
 @query(_TAGGED + "SELECT doc_id, ord, w AS text, type FROM typed WHERE type = 'PER' AND lower(w[1]) = 't'")

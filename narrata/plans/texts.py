@@ -53,7 +53,7 @@ SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '' EL
 FROM documents""")
 def q_preserved_fields(spark, d):
     publisher = F.when(F.col("doc_id") % 3 == 1, F.lit("")).when(F.col("doc_id") % 3 == 2, F.col("source"))
-    kept = F.map_filter(F.create_map(F.lit("publisher"), publisher, F.lit("language"), F.col("lang")), lambda k, v: v.isNotNull())
+    kept = T.preserved({"publisher": publisher, "language": F.col("lang")})
     docs = table(spark, d, "documents").select("doc_id", kept.alias("m"))
     return docs.select("doc_id", F.try_element_at("m", F.lit("publisher")).alias("publisher"), F.map_contains_key("m", "publisher").alias("has_publisher"), F.map_contains_key("m", "language").alias("has_language"))
 

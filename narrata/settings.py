@@ -19,6 +19,7 @@ class Documents:
     context_fields: tuple[str, ...] = ("cleaned_title", "cleaned_excerpt", "cleaned_author", "cleaned_publication_date", "cleaned_categories", "cleaned_tags")
     max_text_length: int = text.MAX_TEXT
     max_batch: int = 10_000
+    preserved_fields: tuple[str, ...] = text.PRESERVED_FIELDS
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,7 @@ class Settings:
     extraction: Extraction = field(default_factory=Extraction)
     linking: linking.Weights = field(default_factory=linking.Weights)
     calls: Calls = field(default_factory=Calls)
+    link_events: bool = True
 
 
 def from_dict(values: dict, kind: type = Settings):
@@ -54,6 +56,8 @@ def from_dict(values: dict, kind: type = Settings):
     built = {}
     for name, value in values.items():
         default = getattr(kind(), name)
+        if isinstance(default, bool):
+            value = str(value).strip().lower() in ("1", "true", "yes", "on")
         built[name] = from_dict(value, type(default)) if is_dataclass(default) else tuple(value) if isinstance(default, tuple) else type(default)(value)
     return kind(**built)
 

@@ -45,9 +45,15 @@ def files_of_job(spark: SparkSession, folder: str, job_id: str, patterns: tuple[
     return of_job(spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths), job_id)
 
 
+def latest(table: DataFrame, order: str, ties: tuple[str, ...] = (), most: int = ROWS) -> DataFrame:
+    """The latest rows; of equal times, the largest in the columns ``ties``, so that reruns agree."""
+    return table.orderBy(F.desc(order), *[F.desc(c) for c in ties]).limit(most)
+
+
 def recent_rows(table: DataFrame, job_id: str, order: str = "processed_at", most: int = ROWS) -> DataFrame:
     """The latest rows of a job or batch, as the store's query returns them."""
-    return table.where((F.col("job_id") == job_id) | (F.col("batch_id") == job_id)).orderBy(F.desc(order)).limit(most)
+    ties = tuple(c for c in ("document_id",) if c in table.columns)
+    return latest(table.where((F.col("job_id") == job_id) | (F.col("batch_id") == job_id)), order, ties, most)
 
 
 def jdbc_rows(spark: SparkSession, url: str, table: str, job_id: str, properties: dict, most: int = ROWS) -> DataFrame:

@@ -75,12 +75,22 @@ def message(kind: str, source: str, message_id: Column, subject: Column, data: C
     )
 
 
+def _outbox(rows: DataFrame, kind: str, source: str, data: Column) -> DataFrame:
+    """Outbox rows of messages about documents (document_id, job_id, at); the id follows from type, job and document."""
+    ident = F.concat(F.lit("evt_"), F.substring(F.md5(F.concat_ws("|", F.lit(kind), "job_id", "document_id")), 1, 12))
+    event = message(kind, source, ident, F.concat(F.lit("document/"), F.col("document_id")), data, F.col("at"))
+    return rows.select(event.alias("e")).select("e.id", "e.type", "e.subject", routing_key(F.col("e.type")).alias("routing_key"), F.coalesce("e.subject", "e.data.document_id", "e.id").alias("message_key"), F.to_json("e").alias("body"))
+
+
 def document_processed(docs: DataFrame, source: str = "narrata") -> DataFrame:
     """Outbox rows for processed documents (document_id, job_id, n_events, n_entities, at)."""
     data = F.struct("document_id", "job_id", F.col("n_events").alias("event_count"), F.col("n_entities").alias("entity_count"))
-    ident = F.concat(F.lit("evt_"), F.substring(F.md5(F.concat_ws("|", F.lit("document.processed"), "job_id", "document_id")), 1, 12))
-    event = message("document.processed", source, ident, F.concat(F.lit("document/"), F.col("document_id")), data, F.col("at"))
-    return docs.select(event.alias("e")).select("e.id", "e.type", "e.subject", routing_key(F.col("e.type")).alias("routing_key"), F.coalesce("e.subject", "e.data.document_id", "e.id").alias("message_key"), F.to_json("e").alias("body"))
+    return _outbox(docs, "document.processed", source, data)
+
+
+def document_failed(docs: DataFrame, source: str = "narrata") -> DataFrame:
+    """Outbox rows for failed documents (document_id, job_id, error_type, error_message, retry_count, at)."""
+    return _outbox(docs, "document.failed", source, F.struct("document_id", "job_id", "error_type", "error_message", "retry_count"))
 
 
 def batch_event(batches: DataFrame, kind: str, source: str = "narrata") -> DataFrame:

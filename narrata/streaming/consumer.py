@@ -2,7 +2,8 @@
 
 Sources are unioned streams of message bodies (files, Kafka, or any Python data source). A message counts as done when its
 micro-batch has been handled and its id is in the table of processed ids; replays after a failure are dropped by an anti-join
-with that table, so handling is at least once and effects are once.
+with what that table got in the last 24 hours, so handling is at least once and effects are once within that time. The table
+is parted by day, so a micro-batch reads two days of it however old it is.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from narrata.operators.cutting import cut
 
 MESSAGE = "specversion string, type string, source string, id string, time timestamp, subject string, datacontenttype string, traceparent string, data string"
+DONE = "id string, at timestamp, day date"
 IDEMPOTENCY, CROSS_SOURCE, RETRIES = "24 hours", "1 hour", 3
 #: Message types that start work.
 ROUTES = {"document.cleaned": "document", "job.completed": "batch"}
@@ -95,17 +97,21 @@ def consume(
     """
     spark = bodies.sparkSession
 
-    def known(folder: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(folder) if _exists(spark, folder) else spark.createDataFrame([], schema)
+    def known() -> DataFrame:
+        if not _exists(spark, processed):
+            return spark.createDataFrame([], "id string")
+        since = F.current_timestamp() - F.expr(f"INTERVAL {IDEMPOTENCY}")
+        return spark.read.schema(DONE).parquet(processed).where((F.col("day") >= F.to_date(since)) & (F.col("at") > since)).select("id")
 
     def batch(rows: DataFrame, _: int) -> None:
         read = parsed(rows)
         wanted = read.where("error IS NULL").where(F.col("type").isin(*types)) if types else read.where("error IS NULL")
-        fresh = cut(wanted.dropDuplicates(["id"]).join(known(processed, "id string"), "id", "left_anti"))
+        fresh = cut(wanted.dropDuplicates(["id"]).join(known(), "id", "left_anti"))
         todo, failed = fresh, None
         for _attempt in range(retries + 1):
             outcome = cut(handle(todo))
-            outcome.where("error IS NULL").select("id").write.mode("append").parquet(processed)
+            done = outcome.where("error IS NULL").select("id", F.current_timestamp().alias("at"), F.current_date().alias("day"))
+            done.write.mode("append").partitionBy("day").parquet(processed)
             failed = outcome.where("error IS NOT NULL").select("id", F.col("error").alias("problem"))
             if failed.isEmpty():
                 failed = None

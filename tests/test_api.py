@@ -35,6 +35,18 @@ def test_documents_to_storylines(spark):
     assert assigned == {r.storyline_id for r in lines}
 
 
+def test_failing_links_leave_events(spark):
+    def broken(texts):
+        raise RuntimeError("no model")
+
+    out = api.run_documents(documents(spark), embedder=broken)
+    docs = {r.document_id: r for r in out["documents"].collect()}
+    assert docs["d1"].events and all(e.storyline_id is None for e in docs["d1"].events)
+    assert docs["d1"].preserved["document_id"] == "d1" and out["links"].count() == out["storylines"].count() == 0
+    off = api.run_documents(documents(spark), settings.from_dict({"link_events": "false"}))
+    assert off["events"].count() == out["events"].count() > 0 and off["storylines"].count() == 0
+
+
 def test_batch_twice_changes_nothing(spark, tmp_path):
     docs = documents(spark).where("document_id <> ''")
     first = api.run_batch(spark, docs, str(tmp_path), "job-1", chunk_documents=2)

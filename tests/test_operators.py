@@ -263,3 +263,14 @@ def test_average_linkage_as_all_pairs():
             groups[-i] += groups.pop(-j)
         label = linking.average_linkage(s, 0.55)
         assert sorted(map(sorted, groups)) == sorted([int(x) for x in np.flatnonzero(label == g)] for g in set(label))
+
+
+def test_processed_ids_count_for_a_day(spark, tmp_path):
+    body = '{"type": "document.cleaned", "id": "%s"}'
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join(body % i for i in ("old", "new", "next")))
+    done = spark.sql("SELECT 'old' AS id, current_timestamp() - INTERVAL 25 HOURS AS at UNION ALL SELECT 'new', current_timestamp() - INTERVAL 23 HOURS")
+    done.withColumn("day", F.to_date("at")).write.partitionBy("day").parquet(str(tmp_path / "done"))
+    handle = lambda rows: rows.select("id", F.lit(None).cast("string").alias("error"))
+    consumer.consume(consumer.body_stream(spark, str(tmp_path / "in")), handle, str(tmp_path / "done"), str(tmp_path / "dead"), str(tmp_path / "state")).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "done")).collect()) == ["new", "next", "old", "old"]
