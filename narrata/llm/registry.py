@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from narrata.llm import exact_dedup, html, language, licenses, line_dedup, minhash, mixing, neighbours, packing, quality
+from narrata.llm import exact_dedup, html, language, licenses, line_dedup, minhash, mixing, neighbours, packing, periodic, quality, resampling, token_counts
 
 
 def queries() -> dict:
@@ -18,9 +18,12 @@ def queries() -> dict:
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_language": language.op9_language,
         "op10_embedding_dedup": neighbours.op10_embedding_dedup,
+        "op11_resampling": resampling.op11_resampling,
+        "op12_periodic": periodic.op12_periodic,
+        "op13_token_counts": token_counts.op13_token_counts,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_minhash": minhash.SQL, "op6_exact_dedup": exact_dedup.SQL, "op8_line_dedup": line_dedup.SQL, "op10_embedding_dedup": neighbours.SQL}
+    return {"op4_minhash": minhash.SQL, "op6_exact_dedup": exact_dedup.SQL, "op8_line_dedup": line_dedup.SQL, "op10_embedding_dedup": neighbours.SQL, "op11_resampling": resampling.SQL}
