@@ -127,19 +127,6 @@ def tokens(text: Column) -> Column:
     return F.split(text, " ", -1)
 
 
-def running(lengths: Column, block: int = 256) -> Column:
-    """For each element the sum of all before it; in blocks, so that the work stays near the array's length."""
-    last = F.floor((F.greatest(F.size(lengths), F.lit(1)) - 1) / block).cast("int")
-    zero = F.struct(F.lit(0).cast("long").alias("s"), F.array().cast("array<long>").alias("out"))
-    inside = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda b: F.aggregate(F.slice(lengths, b * block + 1, F.lit(block)), zero, lambda acc, x: F.struct((acc["s"] + x).alias("s"), F.concat(acc["out"], F.array(acc["s"])).alias("out"))),
-    )
-    start = F.struct(F.lit(0).cast("long").alias("s"), F.array().cast("array<array<long>>").alias("out"))
-    whole = F.aggregate(inside, start, lambda acc, p: F.struct((acc["s"] + p["s"]).alias("s"), F.concat(acc["out"], F.array(F.transform(p["out"], lambda v: v + acc["s"]))).alias("out")))
-    return F.flatten(whole["out"])
-
-
 def chunks(words: Column, size: int = 2048, overlap: int = 256) -> Column:
     """Windows of ``size`` tokens that share ``overlap`` with the next; a text that fits is one window."""
     step = size - overlap

@@ -7,12 +7,17 @@ are deterministic, so that every query runs offline; they claim no model quality
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from narrata.functions import text as T
+from narrata.functions.arrays import Structs
 from narrata.functions.shipping import ship_package
 
 #: The rule tagger: pattern, raw type, confidence; tried in this order at each place.
@@ -22,91 +27,107 @@ NAME = r"[A-Z][a-z]+(?: [A-Z][a-z]+)*"
 TAGGER = ((ISO_DATE, "DATE", 0.95), (MONEY, "MONEY", 0.90), (NAME, "NAME", 0.80))
 COMPANY_WORDS = ("Inc", "Corp", "Group", "Bank", "University", "Ministry")
 LEAST_CONFIDENCE = 0.75
+#: From a text to (word, raw type, confidence, place) of what it mentions, in order.
+Tagger = Callable[[str], Iterator[tuple[str, str, float, int]]]
 #: Relations that are kept, and what counts as subject and object.
 RELATIONS = ("nsubj", "nsubjpass", "dobj", "iobj", "pobj", "agent", "attr")
 SUBJECTS = ("nsubj", "nsubjpass", "agent", "attr")
 OBJECTS = ("dobj", "pobj", "iobj", "obj")
 
 
-def _tagged(text: Column) -> Column:
-    """What a tagger returns for one text: array of struct(ord, word, raw_type, score, start_char, end_char).
+def rule_tagger(text: str) -> Iterator[tuple[str, str, float, int]]:
+    """word, raw type, confidence and place of each name, date and sum of money. A model replaces it."""
+    for m in _ANY.finditer(text):
+        word, kind = m[0], m.lastindex
+        if kind == 1:
+            yield word, "DATE", 0.95, m.start()
+        elif kind == 2:
+            yield word, "MONEY", 0.9, m.start()
+        elif word.rsplit(" ", 1)[-1] in COMPANY_WORDS:
+            yield word, "ORGANIZATION", 0.85, m.start()
+        elif " " in word:
+            yield word, "B-PERSON", 0.8, m.start()
+        else:
+            yield word, "MISC", 0.7, m.start()
 
-    The text is cut at every match, so a place is the length of all before it. All within the row: no shuffle, and rows that
-    share an id stay apart.
-    """
-    any_of = "|".join(p for p, _, _ in TAGGER)
-    found, between = F.regexp_extract_all(text, F.lit(f"({any_of})"), F.lit(1)), F.split(text, any_of, -1)
-    starts = T.running(F.transform(F.arrays_zip(between.alias("b"), found.alias("f")), lambda p: (F.length(p["b"]) + F.coalesce(F.length(p["f"]), F.lit(0))).cast("long")))
 
-    def named(p: Column, i: Column) -> Column:
-        word, words = p["f"], F.split(p["f"], " ")
-        company = F.element_at(words, -1).isin(*COMPANY_WORDS)
-        kind = F.when(word.rlike(f"^{ISO_DATE}$"), "DATE").when(word.rlike(r"^[$]"), "MONEY").when(company, "ORGANIZATION").when(F.size(words) >= 2, "B-PERSON").otherwise("MISC")
-        score = F.when(kind == "DATE", 0.95).when(kind == "MONEY", 0.9).when(kind == "ORGANIZATION", 0.85).when(kind == "B-PERSON", 0.8).otherwise(0.7)
-        start = (p["s"] + F.length(p["b"])).cast("int")
-        return F.struct(i.alias("ord"), word.alias("word"), kind.alias("raw_type"), score.alias("score"), start.alias("start_char"), (start + F.length(word)).alias("end_char"))
+_ANY = re.compile("|".join(f"({p})" for p, _, _ in TAGGER))
+_SPACES = re.compile(r"[ \t\n\x0b\f\r]+")
+_RAW = Structs((("ord", "int"), ("word", "string"), ("raw_type", "string"), ("score", "double"), ("start_char", "int"), ("end_char", "int")))
+_MENTION = Structs((("ord", "int"), ("text", "string"), ("type", "string"), ("start_char", "int"), ("end_char", "int"), ("confidence", "double"), ("context", "string")))
+
+
+def _raw_udf(tagger: Tagger):
+    """Each text's tagged words, in one pass over it. Blank and null texts have none."""
+
+    def tag(texts: pa.Array) -> pa.Array:
+        found = ([] if not (t or "").strip(" ") else [(i, w, kind, score, at, at + len(w)) for i, (w, kind, score, at) in enumerate(tagger(t))] for t in texts.to_pylist())
+        return _RAW.array(list(found))
+
+    return F.arrow_udf(tag, _RAW.sql)
+
+
+def _mention_udf(tagger: Tagger, least: float):
+    """Tagged words that are sure enough and of a known type, with their usual type and context. One pass over each text."""
+
+    def usual(raw: str) -> str:
+        bare = raw.replace("B-", "").replace("I-", "").upper()
+        return T.TYPE_NAMES.get(bare, bare)
+
+    def context(text: str, start: int, end: int, width: int = 50) -> str:
+        return _SPACES.sub(" ", f"{text[max(0, start - width) : start]}[{text[start:end]}]{text[end : end + width]}").strip(" ")
 
-    zipped = F.filter(F.arrays_zip(between.alias("b"), found.alias("f"), starts.alias("s")), lambda p: p["f"].isNotNull())
-    return F.when(F.trim(text) != "", F.transform(zipped, named))
+    def find(texts: pa.Array) -> pa.Array:
+        rows = []
+        for text in texts.to_pylist():
+            kept = []
+            for i, (word, raw, score, at) in enumerate(tagger(text) if (text or "").strip(" ") else ()):
+                kind = usual(raw)
+                if score >= least and kind in T.ENTITY_TYPES:
+                    kept.append((i, word.strip(" "), kind, at, at + len(word), round(score, 4), context(text, at, at + len(word))))
+            rows.append(kept)
+        return _MENTION.array(rows)
 
+    return F.arrow_udf(find, _MENTION.sql)
 
-def raw_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def raw_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tagger: Tagger = rule_tagger) -> DataFrame:
     """doc_id, ord (before any filter), word, raw_type, score, start_char, end_char: what a tagger returns."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.explode(_tagged(F.col(text_col))).alias("m")).select("doc_id", "m.*")
+    ship_package(docs.sparkSession)
+    return docs.select(F.col(id_col).alias("doc_id"), F.explode(_raw_udf(tagger)(F.col(text_col).cast("string"))).alias("m")).select("doc_id", "m.*")
 
 
-def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST_CONFIDENCE) -> DataFrame:
+def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST_CONFIDENCE, tagger: Tagger = rule_tagger) -> DataFrame:
     """Tagged, filtered by confidence and type, with context and an entity_id that counts the tagger's own output."""
-    text = F.col("_text")
-    tagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).withColumn("_m", _tagged(text))
-    kept = F.filter("_m", lambda m: (m["score"] >= least) & T.entity_type(m["raw_type"]).isin(*T.ENTITY_TYPES))
-    told = F.transform(
-        kept,
-        lambda m: F.struct(
-            m["ord"].alias("ord"), F.trim(m["word"]).alias("text"), T.entity_type(m["raw_type"]).alias("type"), m["start_char"].alias("start_char"), m["end_char"].alias("end_char"),
-            F.round(m["score"], 4).alias("confidence"), T.context_window(text, m["start_char"], m["end_char"]).alias("context"),
-        ),
-    )
-    rows = tagged.select("doc_id", F.explode(told).alias("m")).select("doc_id", "m.*")
+    ship_package(docs.sparkSession)
+    told = docs.select(F.col(id_col).alias("doc_id"), F.explode(_mention_udf(tagger, least)(F.col(text_col).cast("string"))).alias("m"))
+    rows = told.select("doc_id", "m.*")
     return rows.withColumn("entity_id", F.concat(F.col("doc_id").cast("string"), F.lit("_entity_"), F.col("ord").cast("string")))
 
 
-def _token_starts(words: Column) -> Column:
-    return T.running(F.transform(words, lambda w: (F.length(w) + 1).cast("long")))
+def _starts(texts: pa.Array) -> pa.Array:
+    """Where each token of a text begins: a running sum of the lengths before it."""
+    rows = [np.cumsum([0, *(len(w) + 1 for w in t.split(" ")[:-1])], dtype=np.int64) if t is not None else None for t in texts.to_pylist()]
+    return pa.array(rows, type=pa.list_(pa.int64()))
+
+
+def _token_starts(text: Column) -> Column:
+    return F.arrow_udf(_starts, "array<bigint>")(text)
 
 
 def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, i, word, start_char: a row per token."""
-    split = docs.select(F.col(id_col).alias("doc_id"), T.tokens(F.col(text_col)).alias("w"))
-    placed = split.select("doc_id", F.posexplode(F.arrays_zip(F.col("w"), _token_starts(F.col("w")).alias("s"))).alias("i", "t"))
+    ship_package(docs.sparkSession)
+    text = F.col(text_col).cast("string")
+    placed = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.arrays_zip(T.tokens(text).alias("w"), _token_starts(text).alias("s"))).alias("i", "t"))
     return placed.select("doc_id", "i", F.col("t.w").alias("word"), F.col("t.s").cast("int").alias("start_char"))
 
 
-def triplets(tokens: DataFrame, least: float = 0.6) -> DataFrame:
-    """Subject, action and object of each root verb, all subjects with all objects.
-
-    ``tokens``: doc_id, sent, i, word, start_char, pos, dep, head (index of the head token).
-    """
-    key = ["doc_id", "sent"]
-    named = lambda s: tokens.select(*key, F.col("i").alias(f"{s}_i"), F.col("word").alias(f"{s}_word"), F.col("start_char").alias(f"{s}_start"), F.col("dep").alias(f"{s}_dep"), F.col("head").alias(f"{s}_head"))
-    actions = tokens.where((F.col("dep") == "ROOT") & F.col("pos").isin("VERB", "AUX")).select(*key, F.col("i").alias("a_i"), F.col("word").alias("a_word"), F.col("start_char").alias("a_start"))
-    subject = named("s").where(F.col("s_dep").isin(*SUBJECTS))
-    direct = named("o").where(F.col("o_dep").isin(*OBJECTS)).withColumn("of", F.col("o_head"))
-    prep = tokens.where("dep = 'prep'").select(*key, F.col("i").alias("p_i"), F.col("head").alias("p_head"))
-    far = named("o").where("o_dep = 'pobj'").join(prep, [*key]).where("o_head = p_i").select(*direct.columns[:-1], F.col("p_head").alias("of"))
-    objects = direct.unionByName(far)
-    joined = actions.join(subject, key).where("s_head = a_i").join(objects, key).where("of = a_i")
-    distance = F.abs(F.col("s_i") - F.col("a_i")) + F.abs(F.col("o_i") - F.col("a_i"))
-    near = lambda c: F.when(F.col(c) == F.col("a_i"), 0.1).otherwise(0.0)
-    confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(0.8) - F.least(F.lit(0.2), distance * 0.2 / 20) + near("s_head") + near("o_head")))
-    span = lambda s: F.struct(F.col(f"{s}_word").alias("text"), F.col(f"{s}_start").alias("start_char"), (F.col(f"{s}_start") + F.length(f"{s}_word")).alias("end_char"))
-    out = joined.select(*key, span("s").alias("subject"), span("a").alias("action"), span("o").alias("object"), confidence.alias("confidence"))
-    return out.where((F.col("confidence") >= least) & (F.length("subject.text") > 0) & (F.length("action.text") > 0) & (F.length("object.text") > 0))
-
-
 def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, overlap: int = 256) -> DataFrame:
     """doc_id, chunk, first_token, n_tokens, char_start, chunk_text: windows over tokens; no explode of single tokens."""
-    words = docs.select(F.col(id_col).alias("doc_id"), T.tokens(F.col(text_col)).alias("words")).withColumn("starts", _token_starts(F.col("words")))
+    ship_package(docs.sparkSession)
+    text = F.col(text_col).cast("string")
+    words = docs.select(F.col(id_col).alias("doc_id"), T.tokens(text).alias("words"), _token_starts(text).alias("starts"))
     with_start = F.transform(T.chunks(F.col("words"), size, overlap), lambda c: F.struct(c["first"].alias("first"), c["words"].alias("words"), F.get("starts", c["first"]).alias("start")))
     cut = words.select("doc_id", F.posexplode(with_start).alias("chunk", "c"))
     return cut.select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from narrata.functions import text as T
 from narrata.functions import vectors as V
-from narrata.operators import extraction, models
+from narrata.operators import extraction, models, parsing
 from narrata.plans.base import Registry, table
 from narrata.plans.texts import _TAGGED
 from narrata.sources import files, sinks
@@ -35,7 +35,7 @@ def q_dependency_filter(spark, d):
     names = (*extraction.RELATIONS, "punct", "det")
     relation = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("event_id") % 9 + 1).cast("int"))
     rows = table(spark, d, "events").select("event_id", relation.alias("relation"), F.when(F.col("user_id") % 5 == 0, "PUNCT").otherwise("NOUN").alias("pos"))
-    return rows.where(F.col("relation").isin(*extraction.RELATIONS) & ~F.col("pos").isin("PUNCT", "SPACE")).select("event_id", "relation")
+    return rows.where(parsing.is_kept(F.col("relation"), F.col("pos"))).select("event_id", "relation")
 
 
 @query(f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from narrata.functions import text as T
-from narrata.operators import extraction, resolution
+from narrata.operators import extraction, parsing, resolution
 from narrata.plans.base import Registry, table
 
 query = Registry()
@@ -217,7 +217,20 @@ def q_triplets(spark, d):
     pick = lambda k: F.element_at(F.array(*[F.lit(v[k]) for v in role.values()]), p + 1)
     sent = F.col("line").cast("long") * 1_000_000 + F.floor(F.col("at") / 5)
     tokens = words.select("doc_id", sent.alias("sent"), (p + 1).alias("i"), "word", F.lit(0).alias("start_char"), pick(0).alias("pos"), pick(1).alias("dep"), pick(2).alias("head"))
-    found = extraction.triplets(tokens)
+    found = parsing.triplets(tokens)
+    return found.select("doc_id", "sent", F.col("subject.text").alias("subject"), F.col("action.text").alias("action"), F.col("object.text").alias("object"), F.round("confidence", 6).alias("confidence"))
+
+
+@query()
+def q_parse(spark, d):
+    """Tokens of all documents with part of speech, relation and head."""
+    return parsing.token_table(parsing.parsed(table(spark, d, "documents").select("doc_id", "text")))
+
+
+@query()
+def q_document_triplets(spark, d):
+    """Who did what to whom in all documents, from the parsed sentences."""
+    found = parsing.triplets_in(parsing.parsed(table(spark, d, "documents").select("doc_id", "text")))
     return found.select("doc_id", "sent", F.col("subject.text").alias("subject"), F.col("action.text").alias("action"), F.col("object.text").alias("object"), F.round("confidence", 6).alias("confidence"))
 
 

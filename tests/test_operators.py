@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from narrata import api, settings
 from narrata.functions import text as T
 from narrata.functions import vectors as V
-from narrata.operators import extraction, jobs, linking, metrics, resolution
+from narrata.operators import extraction, jobs, linking, metrics, parsing, resolution
 from narrata.sources import files, sinks
 from narrata.streaming import consumer
 
@@ -87,7 +87,7 @@ def test_mentions_number_the_taggers_own_output(spark):
 
 def test_triplets_take_all_subjects_with_all_objects(spark):
     tokens = [(1, 0, 0, "Ann", 0, "PROPN", "nsubj", 1), (1, 0, 1, "met", 4, "VERB", "ROOT", 1), (1, 0, 2, "Bob", 8, "PROPN", "dobj", 1), (1, 0, 3, "in", 12, "ADP", "prep", 1), (1, 0, 4, "Rome", 15, "PROPN", "pobj", 3)]
-    rows = extraction.triplets(spark.createDataFrame(tokens, "doc_id long, sent int, i int, word string, start_char int, pos string, dep string, head int")).collect()
+    rows = parsing.triplets(spark.createDataFrame(tokens, "doc_id long, sent int, i int, word string, start_char int, pos string, dep string, head int")).collect()
     assert sorted((r.subject.text, r.object.text) for r in rows) == [("Ann", "Bob"), ("Ann", "Rome")]
     assert all(r.confidence >= 0.7 for r in rows)
 
@@ -184,9 +184,13 @@ def test_repeated_ids_stay_apart(spark):
     assert "Exchange" not in extraction.mentions(docs)._jdf.queryExecution().executedPlan().toString()
 
 
-def test_running_sums(spark):
-    rows = spark.createDataFrame([(list(range(n)),) for n in (0, 1, 255, 256, 257, 1000)], "a array<long>").select("a", T.running(F.col("a")).alias("s")).collect()
-    assert all(r.s == [sum(r.a[:i]) for i in range(len(r.a))] for r in rows)
+def test_token_starts(spark):
+    """Running sums over token lengths, at sizes round powers of two."""
+    texts = [" ".join("w" * (i % 5) for i in range(n)) for n in (0, 1, 255, 256, 257, 1000)] + ["", " ", "a  b", "\U0001f600 x"]
+    rows = extraction.token_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for i, text in enumerate(texts):
+        own = sorted((r.i, r.word, r.start_char) for r in rows if r.doc_id == i)
+        assert [w for _, w, _ in own] == text.split(" ") and all(text[at : at + len(w)] == w for _, w, at in own)
 
 
 def test_route_of_one_part(spark):
