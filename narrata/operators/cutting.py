@@ -31,6 +31,13 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def children(spark: SparkSession, folder: str) -> set[str]:
+    """Names in a folder; none if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {status.getPath().getName() for status in system.listStatus(path)} if system.exists(path) else set()
+
+
 def _remove_at_exit(spark: SparkSession, folder: str) -> None:
     with contextlib.suppress(Exception):  # the session may be gone by then
         remove(spark, folder)

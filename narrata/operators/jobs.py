@@ -96,6 +96,16 @@ class Batch:
         """Note documents (document_id) as processed or failed."""
         self._append(documents.select(F.lit(self.job_id).alias("job_id"), F.lit(self.batch_id).alias("batch_id"), F.lit("document").alias("kind"), F.col("document_id"), F.lit(status).alias("status"), F.current_timestamp().alias("at")))
 
+    def commit(self, run: str, documents: DataFrame) -> None:
+        """Make a written part count, and note its documents (document_id, status): one file, so both or neither."""
+        marker = self.spark.createDataFrame([(run, "written")], "document_id string, status string").withColumn("kind", F.lit("part"))
+        rows = documents.select("document_id", "status", F.lit("document").alias("kind")).unionByName(marker)
+        self._append(rows.withColumns({"job_id": F.lit(self.job_id), "batch_id": F.lit(self.batch_id), "at": F.current_timestamp()}).coalesce(1))
+
+    def parts(self) -> list[str]:
+        """Names of the parts that count."""
+        return sorted(r["document_id"] for r in self.log().where("kind = 'part'").select("document_id").distinct().collect())
+
     def state(self) -> str | None:
         last = self.log().where("kind = 'state'").agg(F.max_by("status", "at").alias("s")).first()
         return last["s"]

@@ -61,8 +61,9 @@ def _run(group: pd.DataFrame) -> pd.DataFrame:
 def resolved(mentions: DataFrame) -> DataFrame:
     """``mentions`` (doc_id, type, ord, text, confidence) with group_no and normalized_form: the longest, then surest, then first."""
     ship_package(mentions.sparkSession)
-    rows = mentions.select(F.col("doc_id").cast("long").alias("doc_id"), "type", F.col("ord").cast("int").alias("ord"), "text", F.col("confidence").cast("double").alias("confidence"))
-    numbered = rows.groupBy("doc_id", "type").applyInPandas(_run, "doc_id long, type string, ord int, text string, confidence double, group_no int")
+    kind = mentions.schema["doc_id"].dataType.simpleString()
+    rows = mentions.select("doc_id", "type", F.col("ord").cast("int").alias("ord"), "text", F.col("confidence").cast("double").alias("confidence"))
+    numbered = rows.groupBy("doc_id", "type").applyInPandas(_run, f"doc_id {kind}, type string, ord int, text string, confidence double, group_no int")
     return canonical(numbered, "doc_id", "type", "group_no")
 
 

@@ -16,6 +16,7 @@ from narrata.operators import extraction, linking
 @dataclass(frozen=True)
 class Documents:
     text_fields: tuple[str, ...] = text.TEXT_FIELDS
+    #: Fields of the context.
     context_fields: tuple[str, ...] = ("cleaned_title", "cleaned_excerpt", "cleaned_author", "cleaned_publication_date", "cleaned_categories", "cleaned_tags")
     max_text_length: int = text.MAX_TEXT
     max_batch: int = 10_000
@@ -28,6 +29,7 @@ class Extraction:
     chunk_tokens: int = 2048
     chunk_overlap: int = 256
     relations: tuple[str, ...] = extraction.RELATIONS
+    least_triplet_confidence: float = 0.6
 
 
 @dataclass(frozen=True)

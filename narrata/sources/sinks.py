@@ -122,9 +122,10 @@ def registry(docs: DataFrame, events: DataFrame, mentions: DataFrame, storylines
     }
 
 
-def write_registry(tables: dict[str, DataFrame], folder: str) -> None:
+def write_registry(tables: dict[str, DataFrame], folder: str, job: str) -> None:
+    """A job's rows of each table, written anew."""
     for name, table in tables.items():
-        table.write.mode("append").parquet(f"{folder}/{name}")
+        table.write.mode("overwrite").parquet(f"{folder}/{name}/job={job}")
 
 
 def webhook(url: str, timeout: float = 10.0, post: Callable | None = None) -> Callable[[DataFrame], None]:

@@ -60,6 +60,64 @@ def test_batch_twice_changes_nothing(spark, tmp_path):
     assert api.job_status(spark, str(tmp_path), "job-1", 4)["state"] == "PAUSED"
 
 
+RESULTS = ("documents", "mentions", "events", "triplets", "relations", "links", "storylines", "outbox")
+
+
+def told(spark, folder, job):
+    """What a job has written, without times and part names."""
+    volatile = {"run", "time", "body", "job"}
+    rows = {}
+    for name in RESULTS:
+        df = spark.read.parquet(f"{folder}/{name}/job={job}")
+        rows[name] = sorted(str(r) for r in df.select(*sorted(set(df.columns) - volatile)).collect())
+    return rows
+
+
+def test_batch_survives_a_crash_after_each_write(spark, tmp_path, monkeypatch):
+    """Null ids, repeated ids and texts; killed at the nth write of any table, then run again: the same as one whole run."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    rows = [("d1", STORY), ("d2", "On Monday Tim Cook met Angela Merkel in New York on 2024-01-02."), ("d2", STORY), (None, "nameless"), (None, "nameless"), ("d3", " ")]
+    docs = spark.createDataFrame(rows, "document_id string, text string")
+    cut_down = settings.from_dict({"extraction": {"relations": []}})
+    first = api.run_batch(spark, docs, str(tmp_path / "whole"), "j", cut_down)
+    assert (first["processed"], first["failed"], first["remaining"]) == (2, 4, 0)
+    want = told(spark, tmp_path / "whole", "j")
+    assert len(want["documents"]) == len(rows) and want["links"] and want["storylines"] and want["triplets"]
+    write = DataFrameWriter.parquet
+    for nth in (4, 7, 15):
+        folder, calls = str(tmp_path / f"killed{nth}"), []
+
+        def dying(self, path, *a, calls=calls, nth=nth, folder=folder, **k):
+            if path.startswith(folder):
+                calls.append(path)
+                if len(calls) == nth:
+                    raise KeyboardInterrupt
+            return write(self, path, *a, **k)
+
+        monkeypatch.setattr(DataFrameWriter, "parquet", dying)
+        with pytest.raises(KeyboardInterrupt):
+            api.run_batch(spark, docs, folder, "j", cut_down, chunk_documents=3)
+        monkeypatch.setattr(DataFrameWriter, "parquet", write)
+        api.run_batch(spark, docs, folder, "j", cut_down)
+        assert told(spark, folder, "j") == want, calls[-1]
+
+
+def test_parts_link_like_one_run(spark, tmp_path):
+    """Events of documents in different parts, and of a run before, are linked; another job in the folder is left alone."""
+    docs = documents(spark).where("document_id <> ''")
+    api.run_batch(spark, docs, str(tmp_path / "one"), "j")
+    api.run_batch(spark, docs, str(tmp_path / "parts"), "j", chunk_documents=1)
+    api.run_batch(spark, docs.where("document_id = 'd1'"), str(tmp_path / "later"), "j")
+    other = api.run_batch(spark, docs.where("document_id = 'd4'"), str(tmp_path / "later"), "k")
+    api.run_batch(spark, docs, str(tmp_path / "later"), "j")
+    one = told(spark, tmp_path / "one", "j")
+    assert one["links"] and one == told(spark, tmp_path / "parts", "j") == told(spark, tmp_path / "later", "j")
+    assert other["processed"] == 1 and len(told(spark, tmp_path / "later", "k")["documents"]) == 1
+    names = {r.name for r in spark.read.parquet(f"{tmp_path}/parts/registry/registry_entities").collect()}
+    assert "Angela Merkel" in names
+
+
 def test_breaker():
     b = models.Breaker(limit=2, open_seconds=10)
     b = b.after(False, 0)
