@@ -40,7 +40,7 @@ WORD11 = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 POLYNOMIAL = 0xEDB88320
 #: Words handled at a time, and words remembered with their crc32.
 BATCH_WORDS, MEMORY = 1 << 20, 1 << 19
-_LOWERED = str.maketrans(UPPER, LOWER)
+SPACE = zlib.crc32(b" ")
 
 
 def _shift_tables(powers: int = 31) -> np.ndarray:
@@ -63,29 +63,54 @@ def _look(t: np.ndarray, crc: np.ndarray) -> np.ndarray:
 
 
 SHIFTS = _shift_tables()
+#: The same for every number of zero bytes up to this one, laid out flat.
+NEAR = 64
+
+
+def _near_tables() -> np.ndarray:
+    tables = np.zeros((NEAR, 4, 256), dtype=np.uint32)
+    tables[0] = np.arange(256, dtype=np.uint32)[None, :] << np.array([0, 8, 16, 24], dtype=np.uint32)[:, None]
+    for n in range(1, NEAR):
+        tables[n] = _look(SHIFTS[0], tables[n - 1])
+    return tables.reshape(-1)
+
+
+NEAR_SHIFTS = _near_tables()
 
 
 def followed(crc: np.ndarray, after: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
     """crc32 of two byte strings in a row, from those of both and the length of the second."""
-    crc, b, rest = crc.copy(), 0, n_bytes
-    while rest.any():
-        own = np.flatnonzero(rest & 1)
-        crc[own] = _look(SHIFTS[b], crc[own])
-        b, rest = b + 1, rest >> 1
-    return crc ^ after
+    base = np.minimum(n_bytes, NEAR - 1).astype(np.int32) << 10
+    out = after.copy()
+    for j in range(4):
+        out ^= NEAR_SHIFTS[base + (256 * j + (crc >> np.uint32(8 * j) & np.uint32(255)).astype(np.int32))]
+    far = np.flatnonzero(n_bytes >= NEAR)
+    if len(far):
+        shifted, b, rest = crc[far], 0, n_bytes[far]
+        while rest.any():
+            own = np.flatnonzero(rest & 1)
+            shifted[own] = _look(SHIFTS[b], shifted[own])
+            b, rest = b + 1, rest >> 1
+        out[far] = shifted ^ after[far]
+    return out
 
 
 class Features:
     """Buckets of texts; words are remembered with the crc32 of their bytes, that of a space and their bytes, and their length."""
 
     def __init__(self, width: int = WIDTH, buckets: int = BUCKETS):
-        self.width, self.buckets, self.known, self.figures = width, buckets, {}, []
+        self.width, self.buckets = width, buckets
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.alone, self.later, self.length = np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def batches(self, texts: Iterator[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For texts in a row: words of each, features of each, and the buckets of all their features, text by text."""
+        """For texts in a row: the words of each; then of all their features the text's number in the row and the bucket."""
         sizes, words = [], []
         for text in texts:
-            own = WORD11.findall(text.lower() if text.isascii() else text.translate(_LOWERED)) if text else []
+            own = WORD11.findall(text.encode("utf-8", "replace").lower().decode()) if text else []  # bytes: A-Z alone
             sizes.append(len(own))
             words += own
             if len(words) >= BATCH_WORDS:
@@ -94,26 +119,28 @@ class Features:
         if sizes:
             yield self._buckets(np.array(sizes), words)
 
-    def _buckets(self, sizes: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _remember(self, words: list[str]) -> None:
         if len(self.known) > MEMORY:
-            self.known, self.figures = {}, []
-        for w in set(words) - self.known.keys():
-            data = w.encode("utf-8", "replace")
-            self.known[w] = len(self.figures)
-            self.figures.append((zlib.crc32(data), zlib.crc32(b" " + data), len(data) + 1))
-        table_of = np.array(self.figures, dtype=np.int64).reshape(-1, 3)
-        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        alone, later, length = table_of[at, 0].astype(np.uint32), table_of[at, 1].astype(np.uint32), table_of[at, 2]
-        text = np.repeat(np.arange(len(sizes)), sizes)
-        crcs, owners, run = [alone], [text], alone
+            self._forget()
+        new = list(set(words).difference(self.known))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        data = [w.encode("utf-8", "replace") for w in new]
+        self.alone = np.concatenate([self.alone, np.array([zlib.crc32(d) for d in data], np.uint32)])
+        self.later = np.concatenate([self.later, np.array([zlib.crc32(d, SPACE) for d in data], np.uint32)])
+        self.length = np.concatenate([self.length, np.array([len(d) + 1 for d in data], np.int64)])
+
+    def _buckets(self, sizes: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self._remember(words)
+        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int32, count=len(words))
+        run, later, length = self.alone[at], self.later[at], self.length[at]
+        text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        crcs, owners = [run], [text]
         for k in range(1, self.width):
             run = followed(run[:-1], later[k:], length[k:])
             inside = text[k:] == text[: len(text) - k]
             crcs.append(run[inside])
             owners.append(text[k:][inside])
-        owner = np.concatenate(owners)
-        order = np.argsort(owner, kind="stable")
-        return sizes, np.bincount(owner, minlength=len(sizes)), (np.concatenate(crcs) % self.buckets)[order].astype(np.int64)
+        return sizes, np.concatenate(owners), np.concatenate(crcs) % np.uint32(self.buckets)
 
 
 def _count(width: int, buckets: int):
@@ -123,9 +150,8 @@ def _count(width: int, buckets: int):
         own, total = Features(width, buckets), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
             copies, first = batch["copies"].to_numpy(), 0
-            for sizes, features, found in own.batches(iter(batch["text"])):
-                times = np.repeat(copies[first : first + len(sizes)], features)
-                total += np.bincount(found, weights=times, minlength=buckets).astype(np.int64)
+            for sizes, owner, found in own.batches(iter(batch["text"])):
+                total += np.bincount(found, weights=copies[first : first + len(sizes)][owner], minlength=buckets).astype(np.int64)
                 first += len(sizes)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": seen, "n": total[seen]})
@@ -140,10 +166,11 @@ def _weigh(shared, width: int, buckets: int):
         own, gains = Features(width, buckets), shared.value
         for batch in batches:
             first = 0
-            for sizes, features, found in own.batches(iter(batch["text"])):
-                sums = np.concatenate([[0], np.cumsum(gains[found])])
-                ends = np.cumsum(features)
-                yield pd.DataFrame({"name": batch["name"].iloc[first : first + len(sizes)].to_numpy(), "n_words": sizes, "n_features": features, "weight": sums[ends] - sums[ends - features]})
+            for sizes, owner, found in own.batches(iter(batch["text"])):
+                # sums of whole numbers far below 2^53 are exact in doubles
+                weight = np.bincount(owner, weights=gains[found], minlength=len(sizes)).astype(np.int64)
+                features = np.bincount(owner, minlength=len(sizes))
+                yield pd.DataFrame({"name": batch["name"].iloc[first : first + len(sizes)].to_numpy(), "n_words": sizes, "n_features": features, "weight": weight})
                 first += len(sizes)
 
     return weigh
