@@ -1,18 +1,21 @@
 """Main text of web pages by union-free wrappers.
 
 Every host gets one wrapper, a union-free regular expression over its pages' block elements: the block streams of its pages
-are aligned one after the other by longest common subsequences of equal labels (tag and classes without digits), equal
-neighbours become a repeated group, blocks that one side lacks become optional, and texts that differ become slots while
-texts that stay the same, single ones and those at either end of a repeated group, are constants of the template.
+are aligned one after the other by longest common subsequences of blocks that are alike, like neighbours become a repeated group, blocks that one side lacks become optional, and texts that differ become slots while
+texts that stay the same, single ones and those at either end of a repeated group, are constants of the template. Blocks are
+alike if their labels are equal (tag and classes, digits masked) and, where no class without digits tells more, so are the
+labels inside them, two levels deep; so menus, bodies and footers stay apart on hosts without classes, too.
 
 A page's own wrapper is a shape (labels and groups) and statistics that add up, so pages of one shape are one row however
 many there are, and shapes are aligned in the order of their hashes, in a tree of bounded steps: the wrapper of a host does
 not depend on how its pages lie in partitions, and no task holds more than a bounded number of shapes.
 
-The wrapper decides. The main element is the one with most varying prose, or the one around many such: text in slots, not in links, not in records
-(repeated groups of fixed short fields, such as comments and teasers). Tags and classes that mean an article, or menus,
+The wrapper decides. The main element is the one with most varying prose, or the one around many such: text in slots, not in links, and
+little of it in records (repeated groups that begin with a short field, such as comments and teasers, but interviews and steps as
+well). Outside the main element records go with all else; inside it they stay, unless every item holds the same link (to answer, say). Tags and classes that mean an article, or menus,
 notices and so on, only weigh in, by 1 + 16 / pages: on a host with few pages they matter most. Within the main element
-constants, records, lists of links, template slots outside the flow of paragraphs and what tags and classes exclude go. A
+constants (up to 40 characters for each page that has them; on fewer than five pages only while they are a small share of the element, for such
+pages may be copies), lists of links, template slots outside the flow of paragraphs and what tags and classes exclude go. A
 heading of first level before the main element belongs to it. A page that lacks the host's main element is read by the
 wrapper of its own, in the same way.
 
@@ -29,9 +32,8 @@ import html as entities
 import json
 import re
 import zlib
-from bisect import bisect_left
 from collections.abc import Generator, Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -67,9 +69,13 @@ HOLDS = frozenset("#root div section article main td center form fieldset li det
 RECORDS = frozenset("div li section article ul dl details".split())
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 SPACES = frozenset(("br", "hr"))
-#: Pages from which on equal texts are constants; lengths of a prose text, a short field and a record; blocks of a wrapper;
-#: cells of an alignment by best common subsequence (longer lists are aligned in order); shapes aligned in one task.
-LEAST_PAGES, PROSE, FIELD, RECORD, NODES, CELLS, FAN = 5, 40, 40, 200, 4000, 250_000, 64
+#: Lengths of a prose text, a short field and a record; blocks of a wrapper; shapes aligned in one task; statistics of a block.
+PROSE, FIELD, RECORD, NODES, FAN, STATISTICS = 40, 40, 200, 4000, 64, 9
+#: How like the insides of two blocks without classes have to be to fold as neighbours, and to be one block of two pages.
+FOLD, PAIR = 0.5, 0.3
+#: Share of the main element that may be constant for its constants to be the template's, by the number of pages (more: any share).
+#: A constant may be FIELD characters long for each page that has it; longer ones are more likely shared text.
+CONSTANT_SHARE = {1: 0.0, 2: 0.2, 3: 0.35, 4: 0.5}
 SMALL_TABLE = 32 << 20
 HELD_SHAPES = 4000
 
@@ -82,7 +88,7 @@ class Element:
         self.tag, self.children, self.inner = tag, [], False
         self.words = {w.lower() for _, v in found for w in v.split()} if found else frozenset()
         self.parts = {part for w in self.words for part in re.split(r"[-_:]+", w)} if found else frozenset()
-        classes = {w.lower() for k, v in found if k == "class" for w in v.split() if not re.search(r"\d", w)}
+        classes = {re.sub(r"\d+", "0", w.lower()) for k, v in found if k == "class" for w in v.split()}
         known = {w for k, v in found if k != "class" for w in v.lower().split() if w in NOT_TEXT_WORDS or w in MAIN_WORDS}
         self.label = ".".join([tag, *sorted(classes | known)]) if found else tag
 
@@ -129,19 +135,31 @@ def parse(page: str) -> Element:
     return root
 
 
+def _hash(text: str) -> int | None:
+    return zlib.crc32(text.encode("utf-8", "replace")) if text else None
+
+
 class Block:
     """A block of a page or of a wrapper.
 
     ``n`` times seen, on ``pages`` pages; a leaf has the sums of its texts' lengths, of the parts in links and of a leading
-    field (-1: not in all), and the hashes of its text, of the first and of the last of a group, where they are always equal.
+    field (-1: not in all), and the hashes of its text, of the first and of the last of a group and of the words in its links
+    beside other text, where they are always equal.
     """
 
-    __slots__ = ("chars", "const", "first", "kids", "label", "last", "lead", "links", "n", "of", "pages", "repeated", "text")
+    __slots__ = ("_inside", "chars", "const", "first", "kids", "label", "last", "lead", "linked", "links", "n", "of", "pages", "repeated", "text")
 
-    def __init__(self, label: str, of: Element | None = None, text: str = "", links: int = 0, lead: int = -1):
-        self.label, self.of, self.text, self.kids, self.n, self.pages, self.repeated = label, of, text, [], 1, 1, False
+    def __init__(self, label: str, of: Element | None = None, text: str = "", links: int = 0, lead: int = -1, linked: str = ""):
+        self.label, self.of, self.text, self.kids, self.n, self.pages, self.repeated, self._inside = label, of, text, [], 1, 1, False, None
         self.chars, self.links, self.lead = len(text), links, lead
-        self.const = self.first = self.last = zlib.crc32(text.encode("utf-8", "replace")) if text else None
+        self.const = self.first = self.last = _hash(text)
+        self.linked = _hash(linked) if 0 < links < len(text) else None
+
+    def inside(self) -> frozenset[str]:
+        """Labels of the blocks inside, two levels deep; empty for a leaf."""
+        if self._inside is None:
+            self._inside = frozenset({k.label for k in self.kids} | {f"{k.label}>{g.label}" for k in self.kids for g in k.kids})
+        return self._inside
 
 
 def _unwanted(node: Element) -> bool:
@@ -151,7 +169,7 @@ def _unwanted(node: Element) -> bool:
 
 def _leaf(label: str, of: Element | None, run: list) -> Block:
     """A block without blocks inside; excluded inline elements are no part of its text."""
-    out, links, lead, steady = [], 0, -1, True
+    out, links, lead, steady, anchors = [], 0, -1, True, []
     markup = MARKUP if of is None or of.tag != "div" else ("br",)
     stack = [(child, False, 0) for child in reversed(run)]
     while stack:
@@ -162,6 +180,7 @@ def _leaf(label: str, of: Element | None, run: list) -> Block:
             full = len(" ".join(text.split())) if linked or (depth and steady) or not text.isspace() else 0
             if linked:
                 links += full
+                anchors.append(text)
             if full and steady:
                 steady = depth > 0
                 if steady:
@@ -172,7 +191,7 @@ def _leaf(label: str, of: Element | None, run: list) -> Block:
             first = depth == 0 and steady and lead < 0 and child.tag not in markup
             steady = steady and (first or depth > 0)
             stack += [(c, linked or child.tag == "a", 1 if first or depth else 0) for c in reversed(child.children)]
-    return Block(label, of, " ".join("".join(out).split()), links, lead)
+    return Block(label, of, " ".join("".join(out).split()), links, lead, " ".join("".join(anchors).split()))
 
 
 def _label(node: Element) -> str:
@@ -238,7 +257,7 @@ def _summed(a: Block, b: Block, within: bool) -> Block:
     out.pages = max(a.pages, b.pages) if within else a.pages + b.pages
     out.lead = -1 if a.lead < 0 or b.lead < 0 else a.lead + b.lead
     same = lambda x, y: x if x == y else None
-    out.const = same(a.const, b.const)
+    out.const, out.linked = same(a.const, b.const), same(a.linked, b.linked)
     out.first, out.last = (a.first, b.last) if within else (same(a.first, b.first), same(a.last, b.last))
     return out
 
@@ -252,51 +271,61 @@ def _aligned(a: Block, b: Block, within: bool) -> Generator:
     return out
 
 
+@lru_cache(maxsize=1 << 16)
+def _telling(label: str) -> bool:
+    """Has it a class without digits (which are masked as 0)?"""
+    return any("0" not in word for word in label.split(".")[1:])
+
+
+def _alike(a: Block, b: Block, least: float) -> bool:
+    """One block of the template? Labels are equal; where no class without digits tells more, the insides are alike as well."""
+    if a.label != b.label:
+        return False
+    if not (a.kids or b.kids) or _telling(a.label):
+        return True
+    x, y = a.inside(), b.inside()
+    return len(x & y) > least * len(x | y) if x and y else False
+
+
 def _pairs(a: list[Block], b: list[Block]) -> Iterator[tuple[Block | None, Block | None]]:
-    """Two sequences side by side: a longest common subsequence of labels is matched; in very long ones the next equal ones."""
+    """Two sequences side by side, along a longest common subsequence of blocks that are alike.
+
+    Its lengths are kept as bits of whole numbers, a row for each of ``a``, so long lists are aligned exactly as well.
+    """
     head = 0
-    while head < min(len(a), len(b)) and a[head].label == b[head].label:
+    while head < min(len(a), len(b)) and _alike(a[head], b[head], PAIR):
         yield a[head], b[head]
         head += 1
     tail = 0
-    while tail < min(len(a), len(b)) - head and a[-1 - tail].label == b[-1 - tail].label:
+    while tail < min(len(a), len(b)) - head and _alike(a[-1 - tail], b[-1 - tail], PAIR):
         tail += 1
     x, y = a[head : len(a) - tail], b[head : len(b) - tail]
-    n, m = len(x), len(y)
-    if n * m > CELLS:
-        where: dict[str, list[int]] = {}
-        for j, node in enumerate(y):
-            where.setdefault(node.label, []).append(j)
-        j = 0
-        for node in x:
-            places = where.get(node.label, [])
-            at = bisect_left(places, j)
-            if at < len(places):
-                yield from ((None, other) for other in y[j : places[at]])
-                yield node, y[places[at]]
-                j = places[at] + 1
-            else:
-                yield node, None
-        yield from ((None, other) for other in y[j:])
-    elif n and m:
-        best = [[0] * (m + 1) for _ in range(n + 1)]
-        for i in range(n - 1, -1, -1):
-            for j in range(m - 1, -1, -1):
-                best[i][j] = best[i + 1][j + 1] + 1 if x[i].label == y[j].label else max(best[i + 1][j], best[i][j + 1])
-        i = j = 0
-        while i < n or j < m:
-            if i < n and j < m and x[i].label == y[j].label and best[i][j] == best[i + 1][j + 1] + 1:
-                yield x[i], y[j]
-                i, j = i + 1, j + 1
-            elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
-                yield x[i], None
-                i += 1
-            else:
-                yield None, y[j]
-                j += 1
-    else:
-        yield from ((node, None) for node in x)
-        yield from ((None, node) for node in y)
+    full = (1 << len(y)) - 1
+    kinds: dict[tuple, list] = {}
+    for j, node in enumerate(y):
+        held = kinds.setdefault((node.label, None if _telling(node.label) else node.inside()), [node, 0])
+        held[1] |= 1 << j
+    fits: dict[tuple, int] = {}
+    rows = [full]  # bit j of row i is 0 where the longest for the first i of x grows with the jth of y
+    for node in x:
+        kind = node.label, None if _telling(node.label) else node.inside()
+        if kind not in fits:
+            fits[kind] = sum(bits for other, bits in kinds.values() if _alike(node, other, PAIR))
+        held = rows[-1] & fits[kind]
+        rows.append(((rows[-1] + held) | (rows[-1] - held)) & full)
+    longest = lambda i, j: j - (rows[i] & ((1 << j) - 1)).bit_count()
+    i, j, matched = len(x), len(y), []
+    while i or j:
+        if i and j and longest(i - 1, j) < longest(i, j) and longest(i, j - 1) < longest(i, j):
+            i, j = i - 1, j - 1
+            matched.append((x[i], y[j]))
+        elif j and (not i or longest(i, j - 1) == longest(i, j)):
+            j -= 1
+            matched.append((None, y[j]))
+        else:
+            i -= 1
+            matched.append((x[i], None))
+    yield from reversed(matched)
     yield from zip(a[len(a) - tail :], b[len(b) - tail :], strict=True)
 
 
@@ -313,12 +342,12 @@ def _sequence(a: list[Block], b: list[Block]) -> Generator:
 
 
 def _folded(nodes: list[Block]) -> Generator:
-    """Equal neighbours become one repeated block; so do equal pairs of neighbours (term and description, say)."""
+    """Neighbours that are alike become one repeated block; so do like pairs of neighbours (term and description, say)."""
     out: list[Block] = []
     for node in nodes:
-        if out and out[-1].label == node.label:
+        if out and _alike(out[-1], node, FOLD):
             out[-1] = (yield _aligned(out[-1], node, True)) if node.kids or out[-1].kids else _summed(out[-1], node, True)
-        elif len(out) > 2 and out[-2].label == node.label and out[-1].label == out[-3].label:
+        elif len(out) > 2 and _alike(out[-2], node, FOLD) and _alike(out[-3], out[-1], FOLD):
             last = out.pop()
             out[-2] = yield _aligned(out[-2], last, True)
             out[-1] = yield _aligned(out[-1], node, True)
@@ -338,7 +367,7 @@ def _wrapped(top: Block) -> Generator:
 
 def _summed_alone(node: Block) -> Block:
     out = Block(node.label)
-    out.chars, out.links, out.lead, out.const, out.first, out.last = node.chars, node.links, node.lead, node.const, node.first, node.last
+    out.chars, out.links, out.lead, out.const, out.first, out.last, out.linked = node.chars, node.links, node.lead, node.const, node.first, node.last, node.linked
     return out
 
 
@@ -384,7 +413,7 @@ def shape(top: Block) -> tuple[str, list[int]]:
     labels, sums = [], []
     for node, _ in preorder(top):
         labels.append([node.label, int(node.repeated), len(node.kids)])
-        hashes = [-1 if h is None else h for h in (node.const, node.first, node.last)]
+        hashes = [-1 if h is None else h for h in (node.const, node.first, node.last, node.linked)]
         sums += [node.n, node.pages, node.chars, node.links, node.lead, *hashes]
     return json.dumps(labels, separators=(",", ":"), ensure_ascii=False), sums
 
@@ -392,10 +421,10 @@ def shape(top: Block) -> tuple[str, list[int]]:
 def added(a: list[int], b: list[int]) -> list[int]:
     """The statistics of two wrappers of one shape."""
     out = [x + y for x, y in zip(a, b, strict=True)]
-    for at in range(0, len(out), 8):
+    for at in range(0, len(out), STATISTICS):
         if a[at + 4] < 0 or b[at + 4] < 0:
             out[at + 4] = -1
-        for k in (at + 5, at + 6, at + 7):
+        for k in range(at + 5, at + STATISTICS):
             out[k] = a[k] if a[k] == b[k] else -1
     return out
 
@@ -405,8 +434,8 @@ def unshaped(labels: str, sums: list[int]) -> Block:
     for k, (label, repeated, kids) in enumerate(json.loads(labels)):
         node = Block(label)
         node.repeated = bool(repeated)
-        node.n, node.pages, node.chars, node.links, node.lead, *hashes = (int(x) for x in sums[8 * k : 8 * k + 8])
-        node.const, node.first, node.last = (None if h == -1 else h for h in hashes)
+        node.n, node.pages, node.chars, node.links, node.lead, *hashes = (int(x) for x in sums[STATISTICS * k : STATISTICS * (k + 1)])
+        node.const, node.first, node.last, node.linked = (None if h == -1 else h for h in hashes)
         if open_:
             open_[-1][0].kids.append(node)
             open_[-1][1] -= 1
@@ -432,7 +461,10 @@ def decide(top: Block) -> list | None:
     over = [o for _, o in listed]
     named = [_words(x.label) for x in node]
     leaf = [not x.kids for x in node]
-    grown = pages >= LEAST_PAGES and any(f and x.const is None and x.chars for x, f in zip(node, leaf, strict=True))
+    kids_at: list[list[int]] = [[] for _ in range(count)]
+    for i in range(1, count):
+        kids_at[over[i]].append(i)
+    grown = pages >= 2 and any(f and x.const is None and x.chars for x, f in zip(node, leaf, strict=True))
     prior = 1 + 16 / pages
     constant = [grown and f and x.const is not None and 2 * x.n >= pages for x, f in zip(node, leaf, strict=True)]
     out = [t in NOT_TEXT_TAGS or not NOT_TEXT_WORDS.isdisjoint(w) for t, w in named]
@@ -459,11 +491,12 @@ def decide(top: Block) -> list | None:
                 prose[over[i]] += weight * (0.5 if tag in HOLDS and not x.repeated and tag != "li" else 1)
             elif tag in THROUGH or x.repeated:
                 prose[over[i]] += weight
-    factor, main = [1.0] * count, [False] * count
+    factor, main, aside = [1.0] * count, [False] * count, [False] * count
     best, most = 0, -1.0
     for i in range(count):
         tag, words = named[i]
         factor[i] = (factor[over[i]] if i else 1.0) * (0.1 / prior if out[i] else 1) * (0.1 if record[i] else 1)
+        aside[i] = out[i] or record[i] or (i > 0 and aside[over[i]])
         own = (tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)) and not out[i]
         main[i] = own or (i > 0 and main[over[i]])
         score = prose[i] * factor[i] * (prior if main[i] else 1)
@@ -473,6 +506,15 @@ def decide(top: Block) -> list | None:
         return None
     while best > 0 and not main[best] and prose[best] < 0.4 * below[over[best]]:  # one of many blocks that hold the text
         best = over[best]
+    plain = [prose[i] if leaf[i] and not aside[i] else 0.0 for i in range(count)]
+    for i in range(count - 1, 0, -1):
+        plain[over[i]] += plain[i]
+    at, found = best, not main[best]
+    while found:  # down to the block that holds all prose but that of records and excluded parts
+        at = next((j for j in kids_at[at] if plain[j] >= 0.99 * plain[best] > 0 and not aside[j]), -1)
+        found = at >= 0 and not leaf[at]
+        if found and named[at][0] in HOLDS:
+            best = at
     at = best
     while at > 0:  # up to the nearest single article around it
         tag, words = named[at]
@@ -487,6 +529,10 @@ def decide(top: Block) -> list | None:
     act: list[tuple] = [("",)] * count
     useful = [False] * count
     act[best], useful[best] = ("main",), True
+    fixed = sum(node[i].chars for i in range(best, count) if inside(i, best) and constant[i])
+    certain = fixed <= CONSTANT_SHARE.get(pages, 1.0) * whole[best]
+    # talk inside the main element: items that all hold the same link, to answer say
+    stamped = [record[i] and pages >= 2 and node[i].pages >= 2 and (node[i].linked is not None if leaf[i] else any(constant[j] and node[j].links for j in kids_at[i])) for i in range(count)]
     flow = sum(node[i].chars for i in range(best, count) if inside(i, best) and leaf[i] and named[i][0] in ("p", "h", "li", "td", "th", "dd", "dt", "figcaption", *HEADINGS))
     kept = [0] * count
     for i in range(count - 1, best - 1, -1):
@@ -494,17 +540,17 @@ def decide(top: Block) -> list | None:
             continue
         x, (tag, words) = node[i], named[i]
         if i != best:
-            ends = grown and leaf[i] and x.repeated and (x.first is not None or x.last is not None) and x.const is None
-            if record[i]:
+            ends = grown and certain and leaf[i] and x.repeated and (x.first is not None or x.last is not None) and x.const is None
+            if stamped[i]:
                 act[i] = ("drop",)
-            elif constant[i] and tag != "h1":
+            elif constant[i] and certain and x.chars <= FIELD * pages * x.n and tag != "h1":
                 act[i] = ("const", x.const)
             elif (tag in ("ul", "ol", "div", "section", "table", "dl") or (tag == "td" and whole[i] >= FIELD * x.n)) and whole[i] and links[i] >= 0.6 * whole[i]:
                 act[i] = ("drop",)
-            elif grown and leaf[i] and tag in ("div", "section") and not x.repeated and 2 * x.pages >= pages and flow >= 0.8 * whole[best]:
+            elif grown and pages >= 5 and leaf[i] and tag in ("div", "section") and not x.repeated and 2 * x.pages >= pages and flow >= 0.8 * whole[best]:
                 act[i] = ("drop",)
             elif ends:
-                act[i] = ("ends", x.first, x.last)
+                act[i] = ("ends", x.first, x.last, FIELD * pages)
             elif not leaf[i] and kept[i] < 0.3 * whole[i] and tag not in ("td", "tr"):
                 act[i] = ("drop",)
             useful[i] = useful[i] or act[i] != ("",)
@@ -520,29 +566,70 @@ def decide(top: Block) -> list | None:
                 break
     for i in range(count - 1, 0, -1):
         useful[over[i]] = useful[over[i]] or useful[i]
+    for i in range(1, count):  # of like siblings all are told, so that a page's can be told apart
+        if useful[i] and not _telling(node[i].label):
+            for j in kids_at[over[i]]:
+                useful[j] = useful[j] or node[j].label == node[i].label
     told: dict[int, list] = {}
     for i in range(count):
         if not useful[i] and i:
             continue
         kin = [k for k in node[over[i]].kids if k.label == node[i].label] if i else [top]
-        told[i] = [node[i].label, next(k for k, x in enumerate(kin) if x is node[i]), len(kin), act[i][0], list(act[i][1:]), []]
+        inner = sorted(node[i].inside()) if len(kin) > 1 and not _telling(node[i].label) else []
+        told[i] = [node[i].label, next(k for k, x in enumerate(kin) if x is node[i]), len(kin), act[i][0], list(act[i][1:]), [], inner]
         if i:
             told[over[i]][5].append(told[i])
     return told[0]
 
 
 def _matched(kids: list[Block], known: list[list]) -> list[list | None]:
-    """Which known block each of a page's blocks is: by label and, where siblings share it, by the run of equal labels."""
+    """Which known block each of a page's blocks is: by label and, where siblings share it, by runs of like blocks in their order."""
     by: dict[str, list[list]] = {}
     for d in known:
         by.setdefault(d[0], []).append(d)
-    runs: dict[str, int] = {}
-    out, before = [], None
-    for kid in kids:
-        if kid.label != before:
-            runs[kid.label] = runs.get(kid.label, -1) + 1
-            before = kid.label
-        out.append(next((d for d in by.get(kid.label, ()) if d[1] == min(runs[kid.label], d[2] - 1)), None))
+    runs: dict[str, list[list[int]]] = {}
+    for at, kid in enumerate(kids):
+        if kid.label in by:
+            own = runs.setdefault(kid.label, [])
+            if own and own[-1][-1] == at - 1 and _alike(kids[own[-1][0]], kid, FOLD):
+                own[-1].append(at)
+            else:
+                own.append([at])
+    out: list[list | None] = [None] * len(kids)
+    for label, own in runs.items():
+        for run, d in zip(own, _placed([kids[run[0]] for run in own], by[label]), strict=True):
+            for at in run:
+                out[at] = d
+    return out
+
+
+def _placed(first: list[Block], known: list[list]) -> list[list | None]:
+    """Runs of one label at the wrapper's blocks of that label, in order, by the likeness of their insides."""
+    count = known[0][2]
+    if count == 1 or _telling(known[0][0]) or len(known) < count or len(first) * count > 10_000:
+        return [next((d for d in known if d[1] == min(k, count - 1)), None) for k in range(len(first))]
+
+    def like(x: frozenset, d: list) -> float:
+        y = frozenset(d[6])
+        return 1.0 if not x and not y else len(x & y) / min(len(x), len(y)) + len(x & y) / len(x | y) if x and y else 0.0
+
+    # best[i][k]: the likeness of the runs from i on with the blocks from k on, where several runs may be one block
+    best = [[0.0] * (count + 1) for _ in range(len(first) + 1)]
+    score = [[like(x.inside(), d) for d in known] for x in first]
+    for i in range(len(first) - 1, -1, -1):
+        for k in range(count - 1, -1, -1):
+            best[i][k] = max(best[i][k + 1], best[i + 1][k], score[i][k] + max(best[i + 1][k + 1], 0.5 * best[i + 1][k]))
+    out, i, k = [], 0, 0
+    while i < len(first):
+        if k < count and score[i][k] > 0 and best[i][k] == score[i][k] + max(best[i + 1][k + 1], 0.5 * best[i + 1][k]):
+            out.append(known[k])
+            k += best[i + 1][k + 1] >= 0.5 * best[i + 1][k]
+            i += 1
+        elif k < count and best[i][k] == best[i][k + 1]:
+            k += 1
+        else:
+            out.append(None)
+            i += 1
     return out
 
 
@@ -586,7 +673,7 @@ def _read(region: Block, d: list, out: list[str]) -> None:
         known = _matched(node.kids, d[5]) if d and d[5] else [None] * len(node.kids)
         parts = list(zip(node.kids, known, strict=True))
         same = lambda i, j: 0 <= j < len(parts) and parts[j][0].label == parts[i][0].label
-        parts = [p for i, p in enumerate(parts) if not (p[1] and p[1][3] == "ends" and ((not same(i, i - 1) and p[0].const == p[1][4][0]) or (not same(i, i + 1) and p[0].const == p[1][4][1])))]
+        parts = [p for i, p in enumerate(parts) if not (p[1] and p[1][3] == "ends" and len(p[0].text) <= p[1][4][2] and ((not same(i, i - 1) and p[0].const == p[1][4][0]) or (not same(i, i + 1) and p[0].const == p[1][4][1])))]
         stack += [(kid, k, heading_only, False) for kid, k in reversed(parts)]
 
 
@@ -652,15 +739,15 @@ def _encoded(decision: list) -> str:
     flat, stack = [], [decision]
     while stack:
         d = stack.pop()
-        flat.append([*d[:5], len(d[5])])
+        flat.append([*d[:5], d[6], len(d[5])])
         stack += reversed(d[5])
     return json.dumps(flat, separators=(",", ":"))
 
 
 def _decoded(text: str) -> list:
     top, open_ = None, []
-    for *d, kids in json.loads(text):
-        d.append([])
+    for *d, inner, kids in json.loads(text):
+        d += [[], inner]
         if open_:
             open_[-1][0][5].append(d)
             open_[-1][1] -= 1

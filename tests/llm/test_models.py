@@ -314,13 +314,78 @@ def test_html_depth_attributes_and_length():
     assert html.main_text(page(f"<article><p>{long}</article>"), None) == long.strip()
 
 
-def test_long_lists_align_in_order(monkeypatch):
-    pair = lambda a, b: [(x and x.label, y and y.label) for x, y in html._pairs([html.Block(c) for c in a], [html.Block(c) for c in b])]
-    exact = pair("abcde", "axcye")
-    assert [p for p in exact if None not in p] == [("a", "a"), ("c", "c"), ("e", "e")]
-    monkeypatch.setattr(html, "CELLS", 0)
-    quick = pair("abcde", "axcye")
-    assert [x for x, _ in quick if x] == list("abcde") and [y for _, y in quick if y] == list("axcye") and [p for p in quick if None not in p] == [p for p in exact if None not in p]
+def common_by_hand(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+@pytest.mark.parametrize("n, letters", [(5, "ab"), (60, "abcdefgh"), (700, "abcdefghijklmnopq")])
+def test_alignment_is_a_longest_one_at_any_length(n, letters):
+    rng = np.random.default_rng(n)
+    for _ in range(6):
+        a, b = (list(rng.choice(list(letters), rng.integers(0, n + 1))) for _ in range(2))
+        pairs = [(x and x.label, y and y.label) for x, y in html._pairs([html.Block(c) for c in a], [html.Block(c) for c in b])]
+        assert [x for x, _ in pairs if x] == a and [y for _, y in pairs if y] == b
+        matched = [p for p in pairs if None not in p]
+        assert all(x == y for x, y in matched) and len(matched) == common_by_hand(a, b)
+
+
+#: Ordinary article layouts of repeated blocks that begin with a short field.
+LAYOUTS = {
+    "interview": lambda k, say: (f"<div class=qa><b>Anna:</b> {say(40)}</div>", None),
+    "steps": lambda k, say: (f"<div class=step><div class=num>Step {k}</div><p>{say(60)}</p></div>", None),
+    "sections": lambda k, say: (f"<section><h2>{say(3)}</h2><p>{say(20)}</p></section>", None),
+    "numbered": lambda k, say: (f"<li><span>{k}</span> {say(30)}</li>", "ol"),
+    "headed items": lambda k, say: (f"<li><h3>{say(2)}</h3><p>{say(20)}</p></li>", "ol"),
+    "emphasis": lambda k, say: (f"<div><em>{say(2)}</em> {say(40)}</div>", None),
+}
+
+
+def laid_out(layout, around, pages, classes, seed=0):
+    """Pages with menu, article, comments in a block of their own and a constant footer, and what is to be read of each."""
+    rng = np.random.default_rng([seed, pages])
+    say = lambda n: " ".join(rng.choice(WORDS, n))
+    c = (lambda i: "") if classes == "none" else lambda i: f' class="css-{i}z{9 - i}"' if classes == "digits" else f' class="{"mnopq"[i]}"'
+    out = []
+    for i in range(pages):
+        title, k = f"Title {i} {say(3)}", int(rng.integers(3, 8))
+        items = [LAYOUTS[layout](x + 1, say) for x in range(k)] if layout in LAYOUTS else [(f"<p>{say(int(rng.integers(8, 40)))}</p>", None) for _ in range(k)]
+        body = "".join(a for a, _ in items)
+        body = f"<{items[0][1]}>{body}</{items[0][1]}>" if items[0][1] else body
+        talk = "".join(f"<div{c(4)}><b>user{rng.integers(1, 99)}</b> said hi {say(int(rng.integers(1, 9)))}</div>" for _ in range(rng.integers(0, 6)))
+        menu = "".join(f"<li><a href=/{w}>{w}</a></li>" for w in ("Home", "News", "About"))
+        html_ = page(f"<div{c(0)}><ul>{menu}</ul></div><{around}{c(1)}><h1>{title}</h1>{body}</{around}><div{c(2)}>{talk}</div><div{c(3)}><p>All rights reserved by us</p></div>")
+        out.append((html_, " ".join([title, re.sub(r"<[^>]*>", " ", body)])))
+    return out
+
+
+@pytest.mark.parametrize("around, pages, classes", [("article", 8, "letters"), ("article", 24, "none"), ("div", 8, "letters"), ("div", 24, "digits"), ("div", 24, "none"), ("div", 8, "digits")])
+def test_repeated_blocks_of_the_article_stay(spark, around, pages, classes):
+    """Interviews, steps, sections and lists are read, menus, comments and footers are not, with and without telling classes."""
+    sites = {name: laid_out(name, around, pages, classes, seed) for seed, name in enumerate([*LAYOUTS, "prose"])}
+    rows = [(1000 * s + i, f"http://h{s}.example/{i}", p) for s, site in enumerate(sites.values()) for i, (p, _) in enumerate(site)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for s, (name, site) in enumerate(sites.items()):
+        texts = [got[1000 * s + i] for i in range(pages)]
+        assert np.mean([f1(t, want) for t, (_, want) in zip(texts, site, strict=True)]) >= 0.97, name
+        assert not any("All rights" in t or "said hi" in t or "Home" in t for t in texts), name
+
+
+@pytest.mark.parametrize("pages", [2, 3, 4, 5, 8])
+def test_template_sentences_go_on_small_hosts_too(spark, pages):
+    """A constant inside the body's element goes from two pages on; pages that mostly agree are copies and keep their text."""
+    rng = np.random.default_rng(pages)
+    say = lambda n: " ".join(rng.choice(WORDS, n))
+    bodies = ["".join(f"<p>{say(30)}</p>" for _ in range(4)) for _ in range(pages)]
+    rows = [(i, "http://a.example/", page(f"<div class=b><h1>T{i} {say(3)}</h1><p>By our staff</p>{b}</div>")) for i, b in enumerate(bodies)]
+    rows += [(100 + i, "http://b.example/", page(f"<div class=b><h1>T</h1>{bodies[0]}<p>{say(6)}</p></div>")) for i in range(2)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert not any("By our staff" in got[i] for i in range(pages))
+    first = " ".join(re.sub(r"<[^>]*>", " ", bodies[0]).split())
+    assert all(first in got[i] for i in (0, 100, 101))
 
 
 def test_wrapper_of_many_variants_keeps_its_template(monkeypatch):
