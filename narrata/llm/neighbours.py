@@ -11,7 +11,9 @@ The pivots, single vectors among them, are the nodes of a neighbour graph over 2
   compared in matrix blocks of ``BLOCK`` in double precision, which yield each vector's number of links and a spanning forest,
   never a row for each link. So a saturated list loses nothing: its nodes are in one family, whatever the list holds;
 - audit: for a bounded set of vectors, one of a ball, the links that leave the ball are counted against all vectors by brute
-  force and the recall is averaged over the vectors that have such links; below the wanted recall, further shuffles and rounds
+  force and the recall is averaged over the vectors that have such links; where links are too rare for a draw to hold some,
+  vectors that other shuffles than the graph's show to be linked are asked, and only where those, which miss a single pair
+  with a chance of ``MISS``, show none either is the recall 1 for want of any link that could be missed; below the wanted recall, further shuffles and rounds
   follow, and at last all pairs of pivots are compared in blocks.
 
 Null, empty, zero or non-finite vectors and null labels link with nothing, nor do vectors of different lengths. A null id
@@ -45,7 +47,7 @@ RECALL = 0.98
 TRIES = 3
 #: Sets of ``AUDIT`` vectors that are drawn at most until ``AUDIT`` with links are found; chance to miss an isolated pair at the start; pivots of a block.
 DRAWS, MISS, BLOCK = 31, 0.005, 1024
-SLACK = 1e-6
+SLACK, OTHER_SEED = 1e-6, 90_000
 
 
 def _planes(size: int, count: int, seed: int) -> np.ndarray:
@@ -126,11 +128,8 @@ def _ranked(candidates: DataFrame, length: int, most: int, near: int) -> DataFra
     return rank.where((F.col("rank") <= length) | ((F.col("d") <= near) & (F.col("rank") <= most)))
 
 
-def neighbour_graph(nodes: DataFrame, words: int, shuffles: int, length: int, rounds: int, near: int, far: int, seed: int) -> DataFrame:
-    """u, w: pairs of nodes whose sketches differ in at most ``far`` bits, met in sorted shuffles or by NN-descent.
-
-    nodes: id, label, dim, sketch. The rows made in a round are bounded by the nodes and the square of the list length.
-    """
+def met_when_sorted(nodes: DataFrame, words: int, shuffles: int, seed: int) -> DataFrame:
+    """u, us, w, ws, d: each node with its next two in several sorted shuffles of the sketches' bits."""
     entries = []
     for t in range(shuffles):
         order = _shuffled(seed + t, words)
@@ -140,13 +139,19 @@ def neighbour_graph(nodes: DataFrame, words: int, shuffles: int, length: int, ro
     listed = nodes.withColumn("e", F.explode(F.array(*entries)))
     nexts = listed.select("id", "sketch", F.array(*[F.lead(F.struct("id", "sketch"), k).over(sorted_by) for k in (1, 2)]).alias("next"))
     start = nexts.select(F.col("id").alias("u"), F.col("sketch").alias("us"), F.explode("next").alias("n")).where("n IS NOT NULL")
-    start = start.select("u", "us", F.col("n.id").alias("w"), F.col("n.sketch").alias("ws"), _hamming("us", "n.sketch").alias("d"))
+    return start.select("u", "us", F.col("n.id").alias("w"), F.col("n.sketch").alias("ws"), _hamming("us", "n.sketch").alias("d"))
+
 
+def neighbour_graph(nodes: DataFrame, words: int, shuffles: int, length: int, rounds: int, near: int, far: int, seed: int) -> DataFrame:
+    """u, w: pairs of nodes whose sketches differ in at most ``far`` bits, met in sorted shuffles or by NN-descent.
+
+    nodes: id, label, dim, sketch. The rows made in a round are bounded by the nodes and the square of the list length.
+    """
     def both(pairs: DataFrame, fresh: bool) -> DataFrame:
         side = lambda u, w: F.struct(F.col(u).alias("u"), F.col(f"{u}s").alias("us"), F.col(w).alias("w"), F.col(f"{w}s").alias("ws"))
         return pairs.select("d", F.explode(F.array(side("u", "w"), side("w", "u"))).alias("x")).select("x.*", "d", F.lit(fresh).alias("fresh"))
 
-    start = cut(start)
+    start = cut(met_when_sorted(nodes, words, shuffles, seed))
     lists = cut(_ranked(both(start, True), length, length, near))
     for turn in range(rounds):
         a, b = lists.where(F.col("rank") <= length).alias("a"), lists.where(F.col("rank") <= 2 * length).alias("b")
@@ -180,20 +185,36 @@ def _counted(queries: list[tuple], cosine: float):
     return run
 
 
-def _truth(grouped: DataFrame, nodes: DataFrame, cosine: float, audit: int) -> list[tuple[int, int]]:
-    """(id, links that leave its ball) by brute force, for up to ``audit`` vectors or more that have any."""
+def _truth(grouped: DataFrame, nodes: DataFrame, cosine: float, audit: int, words: int, shuffles: int) -> list[tuple[int, int]]:
+    """(id, links that leave its ball) by brute force, for ``audit`` vectors that have any, one of a ball.
+
+    First of vectors drawn by a hash. Where too few of those have such links, of pivots that sketches sorted anew, by other
+    shuffles than the graph's, show to be linked: each single linked pair is met there but with a chance of ``MISS``.
+    """
     spark = grouped.sparkSession
     one = F.min(F.struct(F.xxhash64("least").alias("h"), "least", "label", "id")).alias("one")
     ids = [r["id"] for r in grouped.groupBy("pivot").agg(one).orderBy("one").limit(DRAWS * audit).select("one.id").collect()]
     ball, counted = nodes.select(F.col("id").alias("pivot"), "size"), grouped.select("label", "v", "copies")
-    held, at, width = [], 0, 2 * audit
-    while at < len(ids) and len(held) < audit:
-        drawn = spark.createDataFrame([(i,) for i in ids[at : at + width]], "q long")
+
+    def linked(of: list[int]) -> list[tuple[int, int]]:
+        drawn = spark.createDataFrame([(i,) for i in of], "q long")
         asked = grouped.join(F.broadcast(drawn), F.col("id") == F.col("q")).join(ball, "pivot").select("id", "label", "v", "size").collect()
         marks = [(r["id"], r["label"], r["v"]) for r in asked]
         n = {r["id"]: r["n"] for r in counted.mapInPandas(_counted(marks, cosine), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
-        held += [(r["id"], n[r["id"]] - r["size"]) for r in asked if n[r["id"]] > r["size"]]
+        return [(r["id"], n[r["id"]] - r["size"]) for r in asked if n[r["id"]] > r["size"]]
+
+    held, at, width = [], 0, 2 * audit
+    while at < len(ids) and len(held) < audit:
+        held += linked(ids[at : at + width])
         at, width = at + width, DRAWS * audit
+    if ids and len(held) < max(1, audit // 4):
+        met = cut(met_when_sorted(nodes.select("id", "label", "dim", "sketch"), words, shuffles, OTHER_SEED).select("u", "w").distinct())
+        half = lambda s: nodes.select(F.col("id").alias(s), F.col("v").alias(f"v{s}"), F.col("norm").alias(f"n{s}"))
+        close = met.join(half("u"), "u").join(half("w"), "w").where(_cosine("vu", "vw", "nu", "nw") >= cosine)
+        found = close.select(F.explode(F.array("u", "w")).alias("id")).distinct()
+        others = [r["id"] for r in found.orderBy(F.xxhash64(F.lit(5), "id")).limit(audit).collect()]
+        known = {i for i, _ in held}
+        held += linked([i for i in others if i not in known]) if others else []
     return held
 
 
@@ -259,8 +280,8 @@ def _family_links(members: DataFrame, cosine: float) -> DataFrame:
 def _all_pairs(nodes: DataFrame, theta: float) -> DataFrame:
     """u, w: all pivots of a label whose balls can hold a linked pair, in matrix blocks."""
     key = ["label", "dim"]
-    blocks = F.ceil(F.count("*").over(Window.partitionBy(*key)) / BLOCK).cast("int")
-    dealt = nodes.select("id", *key, "v", "norm", "radius", blocks.alias("n")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    blocks = nodes.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    dealt = nodes.select("id", *key, "v", "norm", "radius").join(blocks, key).withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
     sides = dealt.withColumn("other", other).select("id", *key, "v", "norm", "radius", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
@@ -304,12 +325,12 @@ def near_vectors(
     widest = nodes.agg(F.max("radius")).first()[0] or 0.0
     reach = min(1.0, (theta + 2 * widest) / np.pi)
     far = max(near, int(np.ceil(bits * reach + 7 * np.sqrt(bits * reach * (1 - reach))))) if widest else near
-    truth = _truth(grouped, nodes, cosine, audit)
-    asked = rows.sparkSession.createDataFrame(truth, "q long, n long")
     # a pair shares the bits that part it from the others of its label in one shuffle with this chance
     largest_label = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 1
     met = (1 - share) ** np.log2(max(2, largest_label))
     shuffles = max(shuffles, int(np.ceil(np.log(MISS) / np.log1p(-met))))
+    truth = _truth(grouped, nodes, cosine, audit, words, shuffles)
+    asked = rows.sparkSession.createDataFrame(truth, "q long, n long")
     found, seen = None, 0.0
     for attempt in range(tries + 1):
         if attempt < tries:
@@ -339,7 +360,7 @@ def near_vectors(
     usable_rows = scaled.where("ok").join(back, (F.col("label") == F.col("l")) & (F.col("v") == F.col("x")))
     out = usable_rows.select("vec_id", (F.col("linked") - 1).cast("long").alias("n_links"), "component_id")
     rest = scaled.where("NOT ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return out.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))).withColumn("recall", F.lit(seen))
+    return out.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))).withColumn("recall", F.lit(seen).cast("double"))
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -278,6 +278,31 @@ def test_vectors_audit_sees_lost_links(spark, monkeypatch):
     assert want[400:416].sum() >= 8 and got.n_links.tolist() == want.tolist() and got.recall.iloc[0] == 1.0
 
 
+def test_vectors_audit_where_links_are_rarer_than_its_draw(spark, monkeypatch):
+    """Two linked pairs among 602 vectors, an audit of one vector, and a graph that lost all: the links are found all the same."""
+    rng = np.random.default_rng(13)
+    unit = lambda: (lambda x: x / np.linalg.norm(x))(rng.standard_normal(32))
+    rows = [(i, unit().tolist(), 0, "a", "b") for i in range(598)]
+    for _ in range(2):
+        base = unit()
+        rows += [(len(rows) + k, (base + 0.02 * rng.standard_normal(32)).tolist(), 0, "a", "b") for k in range(2)]
+    whole = neighbours.neighbour_graph
+    monkeypatch.setattr(neighbours, "neighbour_graph", lambda *a: whole(*a).where("false"))
+    monkeypatch.setattr(neighbours, "DRAWS", 3)
+    got = neighbours.near_vectors(vectors(spark, rows), audit=1, tries=1).toPandas().sort_values("vec_id")
+    assert got.n_links.tolist() == [0] * 598 + [1] * 4 and got.recall.iloc[0] == 1.0
+    alone = neighbours.near_vectors(vectors(spark, rows[:200]), audit=1).toPandas()
+    assert (alone.n_links == 0).all() and (alone.recall == 1.0).all()
+
+
+def test_vectors_at_the_threshold(spark):
+    """Cosines of exactly 0.98 in doubles link, those just below do not."""
+    at = [0.98, float(np.sqrt(1 - 0.98**2))]
+    pairs = [([1.0, 0.0], at), ([1.0, 0.0], [np.nextafter(np.float32(at[0]), np.float32(0)), at[1]])]
+    rows = [(2 * k + i, [float(np.float32(c)) for c in v], k, "", "") for k, pair in enumerate(pairs) for i, v in enumerate(pair)]
+    against_sql(spark, [(*r[:1], r[1], *r[2:]) for r in rows] + [(10, [3.0, 4.0], 9, "", ""), (11, [3.0, 4.0], 9, "", ""), (12, [6.0, 8.0], 9, "", "")])
+
+
 def test_vectors_in_blocks(spark, monkeypatch):
     """Big tight balls, a loose group and small families over several blocks: all counts as by brute force."""
     monkeypatch.setattr(neighbours, "BLOCK", 16)
