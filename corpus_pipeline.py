@@ -15,12 +15,15 @@ from narrata.llm import language, line_dedup, minhash, mixing, packing
 from narrata.llm.common import checkpoint_folder, fresh
 from narrata.operators.cutting import remove
 
-#: A raw byte's bits, and bytes that a short text has free.
-RAW_BITS, SLACK_BYTES = 8, 16
+#: A raw byte's bits, bytes that a short text has free, and the probability from which on a prediction stands against a given language.
+RAW_BITS, SLACK_BYTES, SURE = 8, 16, 0.99
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: tuple[str, ...] | None = None) -> DataFrame:
-    """Documents of the learned languages stay; a missing ``lang`` becomes the predicted one.
+    """Documents of the learned languages stay; ``lang`` becomes the predicted language.
+
+    A given language stays only where the prediction is less sure than ``SURE``. Packing fills a sequence from one language,
+    so the prediction decides which documents meet there.
 
     Rejected are null, empty and letterless texts, texts that their best language codes no shorter than raw bytes (with
     ``SLACK_BYTES`` free, so that short texts stay), and, where ``languages`` are named, texts predicted as another one.
@@ -32,11 +35,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str, languag
         return docs.where(text.rlike(r"\p{L}"))
     told = fresh("language", docs.columns)
     found = language.identify(docs, model, out=told)
-    best, size = F.col(told)["lang_pred"], F.octet_length(text)
+    best, size, sure = F.col(told)["lang_pred"], F.octet_length(text), F.col(told)["score"] >= SURE
     kept = found.where((best != language.UNDETERMINED) & (F.col(told)["rate"] * size <= RAW_BITS * (size + SLACK_BYTES)))
     if languages is not None:
         kept = kept.where(best.isin(*languages))
-    return kept.select(*[F.coalesce(c, best.cast(docs.schema[c].dataType)).alias(c) if c == "lang" else c for c in docs.columns])
+    return kept.select(*[F.when(sure | F.col(c).isNull(), best.cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "lang" else c for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,8 +75,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all documents in sequences of the permitted lengths. Texts without words take no place; ids may repeat or be null."""
-    return packing.pack(docs)
+    """Places of all documents in sequences of the permitted lengths, each of one language, with ``lang`` and ``source``.
+
+    Texts without words take no place; ids may repeat or be null.
+    """
+    return packing.pack(docs, within="lang", carry=("lang", "source"))
 
 
 STAGES = [
