@@ -7,14 +7,15 @@ still get to hold is opened: a length costs itself plus a fixed amount a sequenc
 words still to be packed, so long bins are opened while there is plenty and fitting ones at the end. At last each bin
 is cut down to the shortest permitted length that holds its contents.
 
-Only ids and lengths move, never texts. Null and empty texts and those without words give one row without a bin. Ties go by
+Where ``within`` names a column, a sequence holds documents of one value of it only (null is a value); ``carry`` names columns
+that come along as strings. Only ids, lengths and these move, never texts. Null and empty texts and those without words give one row without a bin. Ties go by
 a hash, then by id, so reruns agree. Rows that repeat an id are packed each; ids that are null likewise.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from narrata.functions.shipping import ship_package
@@ -54,33 +55,42 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...], overhead: int) -> tuple
     return places, offsets, [next(c for c in lengths if c >= u) for u in used]
 
 
-def _packer(lengths: tuple[int, ...], overhead: int):
+def _packer(lengths: tuple[int, ...], overhead: int, carry: tuple[str, ...]):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "drawn", "doc_id", "size", "piece"], ascending=[False, True, True, True, True], na_position="last", ignore_index=True)
         places, offsets, final = best_fit(group["length"].tolist(), lengths, overhead)
         group["bin_id"] = [(int(key[0]) << 32) + p for p in places]
         group["bin_start"] = offsets
         group["capacity"] = [final[p] for p in places]
-        return group[["doc_id", "size", "piece", "start", "length", "bin_id", "bin_start", "capacity"]]
+        return group[["doc_id", "size", "piece", "start", "length", "bin_id", "bin_start", "capacity", *carry]]
 
     return run
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """One row per piece: doc_id, size (words of the document), piece, start, length, bin_id, bin_start, capacity."""
+def pack(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, shard_pieces: int = SHARD_PIECES,
+    within: str | None = None, carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per piece: doc_id, size (words of the document), piece, start, length, bin_id, bin_start, capacity, then ``carry``."""
     spark = docs.sparkSession
     ship_package(spark)
     longest = max(lengths)
     words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), words.alias("size"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash")))
+    kind = F.col(within).cast("string") if within else F.lit(None).cast("string")
+    carried = [F.col(c).cast("string").alias(f"carry_{k}") for k, c in enumerate(carry)]
+    sized = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), words.alias("size"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"), kind.alias("kind"), *carried))
     pieces = sized.where("size > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / longest))).alias("piece"))
     start = F.col("piece") * longest
-    pieces = pieces.select("doc_id", "size", F.col("piece").cast("int"), start.alias("start"), F.least(F.lit(longest), F.col("size") - start).alias("length"), F.xxhash64(F.lit(5), "doc_id", "text_hash", "piece").alias("drawn"))
-    shards = max(1, pieces.count() // shard_pieces)
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.lit(6), "doc_id", "drawn"), F.lit(shards)).cast("long"))
-    packed = dealt.groupBy("shard").applyInPandas(_packer(tuple(lengths), overhead), KIND)
-    none = sized.where("size = 0").selectExpr("doc_id", "size", "0 AS piece", "0L AS start", "0L AS length", "CAST(NULL AS long) AS bin_id", "CAST(NULL AS long) AS bin_start", "CAST(NULL AS long) AS capacity")
-    return packed.unionByName(none)
+    extra = tuple(f"carry_{k}" for k in range(len(carry)))
+    pieces = pieces.select("doc_id", "size", F.col("piece").cast("int"), start.alias("start"), F.least(F.lit(longest), F.col("size") - start).alias("length"), F.xxhash64(F.lit(5), "doc_id", "text_hash", "piece").alias("drawn"), "kind", *extra)
+    kinds = pieces.groupBy(F.col("kind").alias("of")).agg(F.greatest(F.lit(1), F.floor(F.count("*") / shard_pieces)).alias("shards"))
+    # a row for each value of ``within``: shards are numbered through all values
+    before = F.coalesce(F.sum("shards").over(Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kinds = cut(kinds.withColumn("before", before))
+    dealt = pieces.join(kinds, F.col("kind").eqNullSafe(F.col("of"))).withColumn("shard", (F.col("before") + F.pmod(F.xxhash64(F.lit(6), "doc_id", "drawn"), F.col("shards"))).cast("long"))
+    packed = dealt.drop("kind", "of", "shards", "before").groupBy("shard").applyInPandas(_packer(tuple(lengths), overhead, extra), ", ".join([KIND, *(f"{c} string" for c in extra)]))
+    none = sized.where("size = 0").selectExpr("doc_id", "size", "0 AS piece", "0L AS start", "0L AS length", "CAST(NULL AS long) AS bin_id", "CAST(NULL AS long) AS bin_start", "CAST(NULL AS long) AS capacity", *extra)
+    return packed.unionByName(none).withColumnsRenamed(dict(zip(extra, carry, strict=True)))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

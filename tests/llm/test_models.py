@@ -175,6 +175,21 @@ def test_packing(spark, edges, empty):
     assert sorted(map(str, packing.pack(docs).collect())) == sorted(map(str, packing.pack(docs.repartition(7)).collect()))
 
 
+def test_packing_within_a_column(spark):
+    """A sequence holds one value of the column, null included; what is carried comes along; shards never share a bin."""
+    rows = [(i, "w " * (i * 7919 % 700), ("a", "b", None)[i % 3], f"s{i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    packed = packing.pack(docs, within="lang", carry=("lang", "source"), shard_pieces=40).collect()
+    of, fill = {}, {}
+    for r in packed:
+        assert (r.lang, r.source) == (rows[r.doc_id][2], rows[r.doc_id][3])
+        if r.bin_id is not None:
+            assert of.setdefault(r.bin_id, r.lang) == r.lang
+            fill[r.bin_id] = fill.get(r.bin_id, 0) + r.length
+            assert fill[r.bin_id] <= r.capacity
+    assert sum(fill.values()) == sum(i * 7919 % 700 for i in range(500)) and set(of.values()) == {"a", "b", None}
+
+
 def test_best_fit_by_hand():
     """Each piece goes where it leaves least room; a slow search says the same."""
     rng = np.random.default_rng(0)

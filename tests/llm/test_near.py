@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 from comparing import same_rows
+from pyspark.sql import functions as F
 
 from narrata.llm import minhash, mixing, neighbours
 from narrata.llm.sketch import Words, bands, exact_sets, numbered, shingles, signature, sketch
@@ -193,7 +194,14 @@ def test_pipeline_stages(spark, small):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(i for i, _, c in hand if i == c)
     given, kept = seen["mixing"]
     assert {r.doc_id for r in kept.collect()} <= {r.doc_id for r in given.collect()}
+    given, kept = seen["language"]
+    before, after = ({r.doc_id: r.lang for r in df.collect()} for df in (given, kept))
+    assert set(after) <= set(before) and all(after.values())
     given, packed = seen["packing"]
+    own = {}
+    for r in packed.where("bin_id IS NOT NULL").collect():
+        assert own.setdefault(r.bin_id, r.lang) == r.lang
+    assert {(r.doc_id, r.lang, r.source) for r in packed.collect()} == {(r.doc_id, r.lang, r.source) for r in given.collect()}
     assert sum(r.length for r in packed.collect()) == sum(len((r.text or "").split()) for r in given.collect())
 
 
@@ -206,7 +214,12 @@ def test_pipeline_edges(spark, edges, empty):
             docs = stage(spark, docs, "").cache()
             if name != "packing":
                 assert docs.columns == table.columns
-        assert docs.count() >= 0
+        if table is empty:
+            assert docs.count() == 0
+            continue
+        ids = {r.doc_id for r in docs.where("bin_id IS NOT NULL").collect()}
+        # letterless and null texts go, later lines and near copies too; what is left is packed or, by the mix, passed over
+        assert ids and ids <= {None, 4, 5, 6, 8, 10, 11, 12} and 13 not in ids and 9 not in ids and 7 not in ids
 
 
 def test_pipeline_mixing_keeps_long_documents(spark):
@@ -253,7 +266,11 @@ def test_pipeline_language_parts(spark, middle):
     kept = {r.doc_id: r for r in corpus_pipeline.identify_language(spark, given, "").collect()}
     clean = {r.doc_id: r.lang for r in docs.collect()}
     assert set(clean) <= set(kept) and set(kept) - set(clean) == {top + 2, top + 4}
-    assert all(kept[i].lang == lang for i, lang in clean.items()) and kept[top + 2].lang == "de"
+    assert sum(kept[i].lang == lang for i, lang in clean.items()) >= 0.98 * len(clean) and kept[top + 2].lang == "de"
+    wrong = docs.withColumn("lang", F.when(F.col("doc_id") % 20 == 1, F.when(F.col("lang") == "de", "fr").otherwise("de")).otherwise(F.col("lang")))
+    mended = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, wrong, "").collect()}
+    odd = [i for i in clean if i % 20 == 1]
+    assert odd and sum(mended[i] == clean[i] for i in odd) >= 0.9 * len(odd)
     german = {r.doc_id for r in corpus_pipeline.identify_language(spark, given, "", languages=("de",)).collect()}
     french = {r.doc_id for r in corpus_pipeline.identify_language(spark, given, "", languages=("fr",)).collect()}
     assert not german & french and german | french == set(kept)
