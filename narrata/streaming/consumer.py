@@ -40,9 +40,9 @@ def merged(*streams: DataFrame) -> DataFrame:
 
 
 def parsed(bodies: DataFrame) -> DataFrame:
-    """``bodies`` with the message's fields, defaults for absent ones, and ``error`` where type or id is missing."""
+    """``bodies`` (with whatever columns) with the message's fields, defaults for absent ones, and ``error`` where type or id is missing."""
     m = bodies.withColumn("m", F.from_json("body", MESSAGE))
-    fields = m.select("body", "m.*").withColumn("specversion", F.coalesce("specversion", F.lit("1.0"))).withColumn("datacontenttype", F.coalesce("datacontenttype", F.lit("application/json")))
+    fields = m.select(*bodies.columns, "m.*").withColumn("specversion", F.coalesce("specversion", F.lit("1.0"))).withColumn("datacontenttype", F.coalesce("datacontenttype", F.lit("application/json")))
     problem = F.when(F.coalesce("type", F.lit("")) == "", "no type").when(F.coalesce("id", F.lit("")) == "", "no id")
     return fields.withColumn("error", problem)
 
