@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from narrata.functions import text as T
 from narrata.functions.shipping import ship_package
 from narrata.operators import extraction, jobs, linking, models, parsing, resolution
-from narrata.operators.cutting import children, cut, remove
+from narrata.operators.cutting import children, cut, remove, scope
 from narrata.settings import Settings
 from narrata.sources import sinks
 
@@ -190,12 +190,14 @@ def run_batch(spark: SparkSession, docs: DataFrame, folder: str, job_id: str, se
             log.info("batch %s ended early: %s", batch.batch_id, batch.state())
             break
         run, ready = uuid.uuid4().hex, split.where(F.col("_part") == part).drop("_part")
-        for name, frame in {"prepared": ready, **_worked(ready, settings, plug_ins)}.items():
-            frame.write.mode("overwrite").parquet(f"{_folder(folder, name, job_id)}/run={run}")
+        with scope(spark):
+            for name, frame in {"prepared": ready, **_worked(ready, settings, plug_ins)}.items():
+                frame.write.mode("overwrite").parquet(f"{_folder(folder, name, job_id)}/run={run}")
         status = F.when(F.col("valid"), "processed").otherwise("failed")
         batch.commit(run, ready.select(F.col("row_id").alias("document_id"), status.alias("status")))
     if batch.parts():
-        finish(spark, folder, job_id, settings, **plug_ins)
+        with scope(spark):
+            finish(spark, folder, job_id, settings, **plug_ins)
     if not early:
         batch.complete()
     return batch.progress(total)

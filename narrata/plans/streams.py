@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from narrata.operators.cutting import cut
 from narrata.plans.base import Registry, table
+from narrata.sources import files
 from narrata.streaming import consumer
 
 query = Registry()
@@ -72,3 +73,16 @@ def q_stream_dlq(spark, d):
     done = spark.read.parquet(f"{folder}/processed").select(F.lit("processed").alias("kind"))
     dead = spark.read.parquet(f"{folder}/dead").select(F.concat(F.lit("dead: "), "error").alias("kind"))
     return done.unionByName(dead).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH lines AS (SELECT event_id, event_type AS job, user_id % 7 AS f, event_id % 97 = 5 AS bad FROM events),
+first AS (SELECT f, min(event_id) FILTER (bad) AS first FROM lines GROUP BY f)
+SELECT event_id, job FROM lines JOIN first USING (f) WHERE first IS NULL OR event_id < first""")
+def q_lenient_files(spark, d):
+    """Rows of each file before its first bad line: the feed as seven files in order of their events, every 97th line broken."""
+    folder = _folder(spark)
+    good = F.to_json(F.struct("event_id", F.col("event_type").alias("job")))
+    lines = table(spark, d, "events").select((F.col("user_id") % 7).alias("f"), "event_id", F.when(F.col("event_id") % 97 == 5, F.concat(F.lit("broken "), "event_id")).otherwise(good).alias("value"))
+    lines.repartitionByRange(7, "f").sortWithinPartitions("f", "event_id").select("f", "value").write.partitionBy("f").text(folder)
+    return files.until_first_bad(spark, folder, "event_id long, job string")

@@ -26,6 +26,21 @@ def json_lines_lenient(spark: SparkSession, path: str, schema: str = DOCUMENT) -
     return read.where("_corrupt IS NULL").drop("_corrupt"), read.where("_corrupt IS NOT NULL").select("_corrupt")
 
 
+def until_first_bad(spark: SparkSession, paths: str | list[str], schema: str = DOCUMENT) -> DataFrame:
+    """Lenient by file: the rows of each file before its first line that is no JSON object; blank lines are skipped.
+
+    A line's place is the block of its file and its order in the task that reads the block, so large files are read by many
+    tasks; what meets is one place for each file that has a bad line.
+    """
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
+    row = F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    read = cut(lines.where(F.trim("value") != "").withColumn("row", row))
+    bad = F.col("row").isNull() | F.col("row._corrupt").isNotNull() | ~F.ltrim("value").startswith("{")
+    first = read.where(bad).groupBy(F.col("file").alias("of")).agg(F.min("at").alias("first"))
+    kept = read.join(first, F.col("file") == F.col("of"), "left").where(F.col("first").isNull() | (F.col("at") < F.col("first")))
+    return kept.select("row.*").drop("_corrupt")
+
+
 def newest_files(spark: SparkSession, folder: str, pattern: str, most: int = NEWEST) -> list[str]:
     """Paths of the newest files, newest first; a bounded listing, by modification time, then by path."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
@@ -38,11 +53,11 @@ def of_job(df: DataFrame, job_id: str) -> DataFrame:
 
 
 def files_of_job(spark: SparkSession, folder: str, job_id: str, patterns: tuple[str, ...] = ("processed_*.jsonl", "*.jsonl"), schema: str = DOCUMENT) -> DataFrame:
-    """Documents of a job from the newest files of each pattern, each path once."""
+    """Documents of a job from the newest files of each pattern, each path once and up to its first bad line."""
     paths = list(dict.fromkeys(p for pattern in patterns for p in newest_files(spark, folder, pattern)))
     if not paths:
         return nothing(spark, schema)
-    return of_job(spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths), job_id)
+    return of_job(until_first_bad(spark, paths, schema), job_id)
 
 
 def latest(table: DataFrame, order: str, ties: tuple[str, ...] = (), most: int = ROWS) -> DataFrame:

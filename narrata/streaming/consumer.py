@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrata.operators.cutting import cut
+from narrata.operators.cutting import cut, scope
 
 MESSAGE = "specversion string, type string, source string, id string, time timestamp, subject string, datacontenttype string, traceparent string, data string"
 DONE = "id string, at timestamp, day date"
@@ -104,6 +104,10 @@ def consume(
         return spark.read.schema(DONE).parquet(processed).where((F.col("day") >= F.to_date(since)) & (F.col("at") > since)).select("id")
 
     def batch(rows: DataFrame, _: int) -> None:
+        with scope(spark):
+            handled(rows)
+
+    def handled(rows: DataFrame) -> None:
         read = parsed(rows)
         wanted = read.where("error IS NULL").where(F.col("type").isin(*types)) if types else read.where("error IS NULL")
         fresh = cut(wanted.dropDuplicates(["id"]).join(known(), "id", "left_anti"))

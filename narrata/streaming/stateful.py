@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from narrata.functions.shipping import ship_package
-from narrata.operators.cutting import children, cut
+from narrata.operators.cutting import children, cut, scope
 from narrata.streaming import consumer
 
 #: Hours a job's state is kept, and seconds that a completed job waits for documents that are still on their way.
@@ -79,6 +79,10 @@ def job_batches(
     told = keyed.groupBy("job_id").applyInPandasWithState(_job(patience, keep), LANDED, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
     def batch(rows: DataFrame, number: int) -> None:
+        with scope(spark):
+            handled(rows, number)
+
+    def handled(rows: DataFrame, number: int) -> None:
         held = cut(rows)
         if held.isEmpty():
             return
@@ -143,6 +147,10 @@ def consume_with_back_off(
     told = read.unionByName(again.select("id", "body", "attempt", "due")).groupBy("id").applyInPandasWithState(_wait, "id string, body string, attempt int", "body string, attempt int", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
     def batch(rows: DataFrame, number: int) -> None:
+        with scope(spark):
+            handled(rows, number)
+
+    def handled(rows: DataFrame, number: int) -> None:
         held = cut(consumer.parsed(rows.withColumnRenamed("id", "key")))
         if held.isEmpty():  # most micro-batches only look for messages that are due
             return

@@ -2,7 +2,9 @@
 
 import datetime as dt
 import difflib
+import json
 import math
+import os
 from datetime import datetime
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from narrata import api, settings
 from narrata.functions import text as T
 from narrata.functions import vectors as V
-from narrata.operators import extraction, jobs, linking, metrics, parsing, resolution
+from narrata.operators import cutting, extraction, jobs, linking, metrics, parsing, resolution
 from narrata.sources import files, sinks
 from narrata.streaming import consumer
 
@@ -145,6 +147,42 @@ def test_upper_median(spark):
     assert (found.n_gaps, found.upper_median, found.least, found.most) == (4, 4.0, 1.0, 8.0)
 
 
+def test_files_end_at_their_first_bad_line(spark, tmp_path, monkeypatch):
+    """Each file by itself, in blocks of several tasks; blank lines, arrays and bare values; a file that is bad from the start."""
+    want = set()
+    for f in range(6):
+        lines = [json.dumps({"document_id": f"{f}-{i}", "cleaned_text": "x" * 50}) for i in range(2000)]
+        stop = [2000, 1999, 700, 0, 1, 1500][f]
+        if stop < 2000:
+            lines[stop] = ["", "{broken", "[1]", "nothing", "7", '{"document_id": "x"'][f]
+        lines[10:10] = ["", "  "]
+        (tmp_path / f"{f}.jsonl").write_text("\n".join(lines))
+        want |= {f"{f}-{i}" for i in range(stop)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        got = [r.document_id for r in files.until_first_bad(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_scoped_tables_go(spark, tmp_path):
+    with cutting.scope(spark):
+        held = cutting.cut(spark.range(5))
+        paths = held.inputFiles()
+        with cutting.scope(spark):
+            inner = cutting.cut(spark.range(3)).inputFiles()
+        assert held.count() == 5 and not any(os.path.exists(p.removeprefix("file://")) for p in inner)
+    assert paths and not any(os.path.exists(p.removeprefix("file://")) for p in paths)
+    old = tmp_path / "narrata-old"
+    old.mkdir()
+    os.utime(old, (0, 0))
+    (tmp_path / "narrata-new").mkdir()
+    cutting._remove_stale(spark, str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == ["narrata-new"]
+
+
 def test_json_lines(spark, tmp_path):
     path = tmp_path / "processed_1.jsonl"
     path.write_text('{"document_id": "1", "job_id": "j"}\n\n{"document_id": "2", "job_id": "k"}\n{"document_id": "3"}\n')
