@@ -8,8 +8,11 @@ read is read again, which is how pending messages are claimed.
 from __future__ import annotations
 
 import importlib
+import json
+from itertools import islice
+from pathlib import Path
 
-from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, SimpleDataSourceStreamReader, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, DataSourceStreamWriter, InputPartition, SimpleDataSourceStreamReader, WriterCommitMessage
 
 BODY = "body string"
 
@@ -41,6 +44,78 @@ class BrokerReader(SimpleDataSourceStreamReader):
         return iter(rows)
 
 
+class Slice(InputPartition):
+    def __init__(self, name: str, start: int, end: int):
+        self.name, self.start, self.end = name, start, end
+
+
+class GroupReader(DataSourceStreamReader):
+    """A consumer group: each partition of the broker is read where a task runs, from the group's place to the end known.
+
+    The client is a class made from the options with ``partitions() -> names``, ``group() -> {name: place}``, ``ends() -> {name:
+    place}``, ``read(name, start, end) -> bodies`` and ``ack({name: place})``. The group's place moves when Spark has committed a
+    micro-batch; what a consumer that died had read and not acknowledged lies before Spark's committed offset or after the
+    group's place, and either way the next one reads it again: that is its claim.
+    """
+
+    def __init__(self, options: dict):
+        self.options, self.client = options, None
+
+    def _broker(self):
+        if self.client is None:
+            self.client = _client(self.options)(self.options)
+        return self.client
+
+    def __getstate__(self):
+        return {"options": self.options, "client": None}  # connections stay where they are opened
+
+    def initialOffset(self) -> dict:
+        return self._broker().group()
+
+    def latestOffset(self) -> dict:
+        return self._broker().ends()
+
+    def partitions(self, start: dict, end: dict) -> list[Slice]:
+        first = self._broker().group()  # of partitions that are new since
+        spans = [Slice(name, start.get(name, first.get(name, 0)), stop) for name, stop in sorted(end.items())]
+        return [s for s in spans if s.start < s.end]
+
+    def read(self, partition: Slice):
+        for body in self._broker().read(partition.name, partition.start, partition.end):
+            yield (body,)
+
+    def commit(self, end: dict) -> None:
+        self._broker().ack(end)
+
+
+class FolderBroker:
+    """Partitions as files of lines in a shared folder, a place as a number of lines; the group's places in a file beside them."""
+
+    def __init__(self, options: dict):
+        self.folder, self.places = Path(options["folder"]), Path(options["folder"]) / f".{options.get('group', 'narrata')}.json"
+
+    def partitions(self) -> list[str]:
+        return sorted(p.name for p in self.folder.glob("*.lines"))
+
+    def ends(self) -> dict[str, int]:
+        return {name: sum(1 for _ in (self.folder / name).open(encoding="utf-8")) for name in self.partitions()}
+
+    def group(self) -> dict[str, int]:
+        known = json.loads(self.places.read_text()) if self.places.exists() else {}
+        return {name: known.get(name, 0) for name in self.partitions()}
+
+    def read(self, name: str, start: int, end: int):
+        with (self.folder / name).open(encoding="utf-8") as lines:
+            for line in islice(lines, start, end):
+                yield line.rstrip("\n")
+
+    def ack(self, end: dict[str, int]) -> None:
+        places = self.group() | end
+        fresh = self.places.with_suffix(".new")
+        fresh.write_text(json.dumps(places))
+        fresh.replace(self.places)
+
+
 class BrokerWriter(DataSourceStreamWriter):
     def __init__(self, options: dict):
         self.options = options
@@ -53,7 +128,10 @@ class BrokerWriter(DataSourceStreamWriter):
 
 
 class Broker(DataSource):
-    """``readStream.format("broker").option("client", "module:function")``; the same for ``writeStream`` with a sending function."""
+    """``readStream.format("broker").option("client", "module:function")``; the same for ``writeStream`` with a sending function.
+
+    With an option ``group`` the client is a class (see ``GroupReader``) and partitions are read in parallel.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -62,6 +140,11 @@ class Broker(DataSource):
     def schema(self) -> str:
         return BODY
 
+    def streamReader(self, schema) -> GroupReader:
+        if "group" not in self.options:
+            raise NotImplementedError  # Spark then asks for the simple reader
+        return GroupReader(dict(self.options))
+
     def simpleStreamReader(self, schema) -> BrokerReader:
         return BrokerReader(dict(self.options))
 

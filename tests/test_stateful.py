@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from narrata.sources import brokers
 from narrata.streaming import consumer, stateful
 
 
@@ -97,3 +98,41 @@ def test_failed_messages_wait_while_others_pass(spark, tmp_path):
     assert at[1] - at[0] >= 1.0
     dead = spark.read.parquet(f"{tmp_path}/work/dead")
     assert sorted(r.error for r in dead.collect()) == ["no id", "no type", "not yet"] and dead.where(F.col("original_event").contains("bad")).count() == 1
+
+
+def test_a_group_reads_partitions_in_tasks_and_claims_after_a_crash(spark, tmp_path):
+    """Two partitions, a crash in the sink before the commit, then a restart; a partition that comes later; places are acknowledged."""
+    from narrata.functions.shipping import ship_package
+
+    ship_package(spark)
+    spark.dataSource.register(brokers.Broker)
+    broker = tmp_path / "broker"
+    broker.mkdir()
+    add = lambda name, *rows: (broker / name).open("a").write("".join(f"{r}\n" for r in rows))
+    add("p0.lines", *(f"a{i}" for i in range(5)))
+    add("p1.lines", *(f"b{i}" for i in range(3)))
+    seen, tasks, fail = [], [], [True]
+
+    def sink(rows, number):
+        tasks.append(rows.rdd.getNumPartitions())
+        got = [r.body for r in rows.collect()]
+        if fail[0]:
+            raise RuntimeError("killed")
+        seen.extend(got)
+
+    def go():
+        source = spark.readStream.format("broker").option("client", "narrata.sources.brokers:FolderBroker").option("folder", str(broker)).option("group", "g").load()
+        source.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "place")).trigger(availableNow=True).start().awaitTermination()
+
+    with pytest.raises(Exception, match="killed"):
+        go()
+    fail[0] = False
+    go()
+    assert sorted(seen) == [f"a{i}" for i in range(5)] + [f"b{i}" for i in range(3)] and tasks[-1] == 2
+    add("p1.lines", "b3")
+    add("p2.lines", "c0", "c1")
+    go()
+    assert sorted(seen)[5:] == ["b0", "b1", "b2", "b3", "c0", "c1"] and len(seen) == len(set(seen)) == 11
+    assert brokers.FolderBroker({"folder": str(broker), "group": "g"}).group()["p0.lines"] == 5
+    again = brokers.GroupReader({"client": "narrata.sources.brokers:FolderBroker", "folder": str(broker), "group": "other"})
+    assert [(s.name, s.start, s.end) for s in again.partitions(again.initialOffset(), again.latestOffset())] == [("p0.lines", 0, 5), ("p1.lines", 0, 4), ("p2.lines", 0, 2)]
