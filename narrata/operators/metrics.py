@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from narrata.operators import ranges
+from narrata.operators.cutting import cut
+
 
 def share(part: Column, whole: Column, empty: float = 0.0) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(empty))
@@ -20,15 +23,15 @@ def progress(log: DataFrame, total: Column) -> DataFrame:
 
 def intervals(events: DataFrame, key: str, ts: str = "ts", order: str = "event_id") -> DataFrame:
     """Gaps between consecutive times of a key in seconds: count, least, most, mean, upper median, simultaneous and long ones."""
-    seconds = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.lag(F.col(ts).cast("timestamp")).over(Window.partitionBy(key).orderBy(ts, order)))) / F.lit(1_000_000.0)
-    gaps = events.select(key, seconds.alias("gap")).where("gap IS NOT NULL")
-    ranked = gaps.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("gap"))).withColumn("n", F.count("*").over(Window.partitionBy(key)))
+    placed = ranges.before(events.select(key, F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"), F.col(order).alias("_order")), key, "_at", "_at", "_order")
+    gaps = cut(placed.select(key, ((F.col("_at") - F.col("_before")) / F.lit(1_000_000.0)).alias("gap")).where("gap IS NOT NULL"))
     counted = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
-    return ranked.groupBy(key).agg(
-        F.count("*").alias("n_gaps"), F.min("gap").alias("least"), F.max("gap").alias("most"), F.avg("gap").alias("mean"),
-        F.max(F.when(F.col("r") == F.floor(F.col("n") / 2) + 1, F.col("gap"))).alias("upper_median"), counted(F.col("gap") < 1).alias("simultaneous"),
+    told = gaps.groupBy(key).agg(
+        F.count("*").alias("n_gaps"), F.min("gap").alias("least"), F.max("gap").alias("most"), F.avg("gap").alias("mean"), counted(F.col("gap") < 1).alias("simultaneous"),
         counted(F.col("gap") < 10).alias("short"), counted((F.col("gap") >= 10) & (F.col("gap") < 40)).alias("medium"), counted(F.col("gap") >= 40).alias("long"),
     )
+    median = ranges.nth(gaps, key, "gap", F.floor(F.col("n") / 2) + 1).select(F.col(key).alias("_k"), F.col("gap").alias("upper_median"))
+    return told.join(median, F.col(key).eqNullSafe(F.col("_k"))).drop("_k").select(key, "n_gaps", "least", "most", "mean", "upper_median", "simultaneous", "short", "medium", "long")
 
 
 def mention_quality(mentions: DataFrame) -> DataFrame:

@@ -141,6 +141,21 @@ def test_batch_can_be_resumed(spark, tmp_path):
     assert batch.state() == "PAUSED"
 
 
+def test_order_within_a_hot_key(spark):
+    """One key holds most rows and spans several ranges; ties, null keys and null values; against plain Python."""
+    from narrata.operators import ranges
+
+    rng = np.random.default_rng(8)
+    rows = [(("hot", "b", None)[0 if i % 10 else i // 10 % 3], int(rng.integers(0, 90)), i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, v int, i int").repartition(5)
+    of = {k: sorted((v, i) for x, v, i in rows if x == k) for k in ("hot", "b", None)}
+    got = {(r.k, r.i): r._before for r in ranges.before(df, "k", "v", "v", "i").collect()}
+    assert got == {(k, i): (own[n - 1][0] if n else None) for k, own in of.items() for n, (_, i) in enumerate(own)}
+    for rank, want in ((F.floor(F.col("n") / 2) + 1, lambda own: own[len(own) // 2][0]), (F.lit(1), lambda own: own[0][0]), (F.col("n"), lambda own: own[-1][0])):
+        assert {r.k: r.v for r in ranges.nth(df, "k", "v", rank).collect()} == {k: want(own) for k, own in of.items()}
+    assert ranges.dealt(df, "k", "v").select("_range").distinct().count() > 2 and ranges.nth(df.limit(0), "k", "v", F.lit(1)).count() == 0
+
+
 def test_upper_median(spark):
     rows = [("a", i, datetime(2024, 1, 1, 0, 0, s)) for i, s in enumerate((0, 1, 3, 7, 15))]
     found = metrics.intervals(spark.createDataFrame(rows, "k string, event_id int, ts timestamp"), "k").first()
