@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from narrata.functions import tables
 from narrata.functions import text as T
 from narrata.operators import extraction, parsing, resolution
 from narrata.plans.base import Registry, table
@@ -221,6 +222,22 @@ def q_triplets(spark, d):
     return found.select("doc_id", "sent", F.col("subject.text").alias("subject"), F.col("action.text").alias("action"), F.col("object.text").alias("object"), F.round("confidence", 6).alias("confidence"))
 
 
+@query(ORACLES["q_chunks"])
+def q_udtf_chunks(spark, d):
+    """The same windows by the table function."""
+    tables.register(spark)
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return spark.sql("SELECT doc_id, c.chunk, c.first_token, c.n_tokens, c.char_start, md5(c.chunk_text) AS chunk_md5 FROM {docs}, LATERAL narrata_chunks(text, 256, 32) AS c", docs=docs)
+
+
+@query(ORACLES["q_chunk_merge"])
+def q_udtf_merge(spark, d):
+    """The same merge by the table function, a partition for each document."""
+    tables.register(spark)
+    rows = table(spark, d, "events").selectExpr("user_id AS doc_id", "event_id AS ord", "event_type", "concat('T', event_id % 3) AS trigger", "event_id * 7 % 350 AS start_char", "value AS confidence")
+    return spark.sql("SELECT doc_id, ord, event_type, trigger, start_char FROM narrata_merged(TABLE({rows}) PARTITION BY doc_id ORDER BY ord)", rows=rows)
+
+
 @query()
 def q_parse(spark, d):
     """Tokens of all documents with part of speech, relation and head."""

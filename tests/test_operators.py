@@ -73,6 +73,21 @@ def test_chunks_cover_all_tokens(spark):
     assert len([r for r in rows if r.doc_id in (2, 3)]) == 2
 
 
+def test_table_functions(spark):
+    """Null and empty outputs, events that are no objects; windows at their edges."""
+    from narrata.functions import tables
+
+    tables.register(spark)
+    outputs = [(1, '```json\n{"events": [{"event_type": "a", "trigger": {"text": "k"}}, 3, {"trigger": "x"}]}\n```'), (2, None), (3, ""), (4, "no"), (5, "[]")]
+    df = spark.createDataFrame(outputs, "id int, output string")
+    rows = spark.sql("SELECT id, e.idx, e.event_type, e.trigger FROM {df}, LATERAL narrata_events(output) AS e", df=df).collect()
+    assert sorted(map(tuple, rows), key=str) == [(1, 0, "a", "k"), (1, 2, None, None)]
+    texts = spark.createDataFrame([(1, "a b c d e"), (2, ""), (3, None), (4, "a  b")], "doc_id long, text string")
+    sql = spark.sql("SELECT doc_id, c.* FROM {texts}, LATERAL narrata_chunks(text, 3, 1) AS c", texts=texts).collect()
+    own = extraction.chunk_rows(texts.where("text IS NOT NULL"), size=3, overlap=1).selectExpr("doc_id", "cast(chunk AS long)", "first_token", "n_tokens", "char_start", "chunk_text").collect()
+    assert sorted(map(tuple, sql)) == sorted(map(tuple, own)) and len(sql) == 4
+
+
 def test_first_json():
     assert extraction.first_json('x ```json\n{"events": [1]}\n``` y {"z": 2}') == '{"events": [1]}'
     assert extraction.first_json("[1, 2] tail") == '{"events": [1, 2]}'
