@@ -27,7 +27,9 @@ def similar(member: str, candidate: str) -> bool:
     x, y = ({w for w in re.sub(r"[.,]", " ", s.lower()).replace("'", "").split()} for s in (member, candidate))
     if x and y and len(x & y) / len(x | y) >= LEAST_JACCARD:
         return True
-    return difflib.SequenceMatcher(None, b, a).ratio() >= LEAST_RATIO
+    letters = difflib.SequenceMatcher(None, b, a)
+    bounds = letters.real_quick_ratio, letters.quick_ratio  # never below the ratio: lengths, then letters without their order
+    return all(bound() >= LEAST_RATIO for bound in bounds) and letters.ratio() >= LEAST_RATIO
 
 
 def grouped(texts: list[str]) -> list[int]:

@@ -109,6 +109,21 @@ def test_triplets_take_all_subjects_with_all_objects(spark):
     assert all(r.confidence >= 0.7 for r in rows)
 
 
+def test_similar_names_by_letters():
+    """The bounds before the letters' ratio never change what is similar."""
+    rng = np.random.default_rng(9)
+    names = ["".join(rng.choice(list("abcde "), rng.integers(1, 14))) for _ in range(120)]
+    names += [n[:-1] + "x" for n in names[:60]]
+    plain = lambda a, b: difflib.SequenceMatcher(None, " ".join(b.lower().split()), " ".join(a.lower().split())).ratio() >= resolution.LEAST_RATIO
+    for a in names:
+        for b in names:
+            assert resolution.similar(a, b) or not plain(a, b)
+            x, y = (" ".join(s.split()) for s in (a, b))
+            if resolution.similar(a, b) and x and y and not (x in y or y in x):
+                words = set(a.split()), set(b.split())
+                assert plain(a, b) or len(words[0] & words[1]) / len(words[0] | words[1]) >= resolution.LEAST_JACCARD
+
+
 def test_grouping_is_no_transitive_closure():
     assert resolution.grouped(["Joe Biden", "Smith", "Joe Biden Smith", "Smith"]) == [0, 1, 0, 0]
     assert resolution.grouped(["President Biden", "Biden", "Trump", "Apple", "Apple Inc"]) == [0, 0, 1, 2, 2]
