@@ -22,7 +22,7 @@ def features(text):
     return words, [" ".join(words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1)]
 
 
-def resampled_by_hand(rows, target, percent=5, buckets=10_000, least=20):
+def scored_by_hand(rows, target, buckets=10_000):
     bucket = lambda f: zlib.crc32(f.encode()) % buckets
     s, t = (Counter(bucket(f) for x in texts for f in features(x)[1]) for texts in ([x for _, x in rows], target))
     whole, aimed = sum(s.values()), sum(t.values())
@@ -33,6 +33,11 @@ def resampled_by_hand(rows, target, percent=5, buckets=10_000, least=20):
         h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
         weight = sum(gain(bucket(f)) for f in own)
         out.append([i, len(own), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), len(words)])
+    return out
+
+
+def resampled_by_hand(scored, percent=5, least=20):
+    out = [list(r) for r in scored]
     fit = sorted((r for r in out if r[4] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[2], r[1]))
     ranks = {id(r): k + 1 for k, r in enumerate(fit[: percent * len(fit) // 100])}
     return Counter((*r[:4], ranks.get(id(r))) for r in out)
@@ -59,9 +64,10 @@ def test_resampling_by_hand(spark, edges, monkeypatch):
     target = ["w1 w2 w3 w4 W5", "w1 w2 w7", None, ""]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("name", "part", "score", "rank", "copies")})
     aims = spark.createDataFrame([(t,) for t in target], "text string")
-    for percent in (5, 60, 100, 0):
-        assert told(resampling.resample(docs, aims, percent=percent)) == resampled_by_hand(rows, target, percent=percent)
-    assert told(resampling.resample(docs, aims.limit(0))) == resampled_by_hand(rows, [])
+    scored = scored_by_hand(rows, target)
+    for percent in (5, 100, 0):
+        assert told(resampling.resample(docs, aims, percent=percent)) == resampled_by_hand(scored, percent=percent)
+    assert told(resampling.resample(docs, aims.limit(0))) == resampled_by_hand(scored_by_hand(rows, []))
     assert resampling.resample(docs.limit(0), aims).count() == 0
 
 
