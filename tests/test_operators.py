@@ -337,6 +337,28 @@ def test_links_against_all_pairs(spark, w):
     assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("few", [0, linking.FEW])
+def test_no_pair_moves(spark, monkeypatch, few):
+    """Repeated embeddings, sets that share some signatures, times that are missing: links by hand; what is shuffled are events, never pairs."""
+    monkeypatch.setattr(linking, "FEW", few)
+    rng, start = np.random.default_rng(5), dt.datetime(2024, 1, 1)
+    turn = [[float(i == k) + 0.3 * (k == 0) for i in range(6)] for k in range(6)]
+    rows = [(i, "a", None if i % 13 == 0 else start + dt.timedelta(hours=int(rng.integers(0, 24 * 9))), turn[i % 6], [f"s{x}" for x in rng.integers(0, 5, 1 + i % 3)]) for i in range(160)]
+    df = spark.createDataFrame(rows, "event_id long, domain string, ts timestamp, embedding array<double>, signatures array<string>").withColumn("ord", F.col("event_id"))
+    w, before = linking.Weights(threshold=0.72), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = linking.links(df, w)
+        plan = [(len(x) - len(x.lstrip(" :+-")), x) for x in found._jdf.queryExecution().executedPlan().toString().split("\n")]
+        assert sorted((r.source_event_id, r.target_event_id) for r in found.collect()) == sorted(by_pairs(rows, w))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for k, (depth, line) in enumerate(plan):
+        below = next((j for j in range(k + 1, len(plan)) if plan[j][0] <= depth), len(plan))
+        assert "Exchange hashpartitioning" not in line or not any("SortMergeJoin" in x for _, x in plan[k + 1 : below])
+    assert any("SortMergeJoin" in x for _, x in plan)
+
+
 def test_average_linkage_as_all_pairs():
     rng = np.random.default_rng(4)
     for n in (2, 5, 20, 40):
