@@ -3,6 +3,7 @@
 import time
 from itertools import product
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -67,6 +68,39 @@ def test_trees_are_whole_and_projective(words):
     assert not any(a < c < b < d for a, b in arcs for c, d in arcs)
 
 
+WORDS = ["The", "a", "Berlin", "Ann", "dogs", "met", "Met", "was", "were", "signed", "seeing", "Running", "by", "By", "of", "in", "and", "quickly", "not", "never", ",", "7", "3.5", "new", "New", "famous", "because", "is", "_x", "zß", "can", "ed", "himself"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(WORDS), max_size=18), max_size=70), st.sampled_from([1, 8, 48]))
+def test_sentences_together_as_one_by_one(sentences, few):
+    before, parsing.FEW_LEFT = parsing.FEW_LEFT, few
+    try:
+        texts = [" " + "  ".join(words) for words in sentences]
+        rows = parsing._by_rules(pa.array(texts, pa.string()), pa.array(range(len(texts)), pa.int32())).to_pylist()
+    finally:
+        parsing.FEW_LEFT = before
+    for k, (text, tokens) in enumerate(zip(texts, rows, strict=True)):
+        found = list(parsing._WORD.finditer(text))
+        assert [(t["i"], t["word"], t["start_char"]) for t in tokens] == [(i, m[0], k + m.start()) for i, m in enumerate(found)]
+        assert [(t["pos"], t["head"], t["dep"]) for t in tokens] == parsing.rule_parser([m[0] for m in found])
+
+
+def test_a_batch_is_parsed_together():
+    """Under half the time of one sentence after the other."""
+    texts = pa.array(["The man of state has signed a treaty and Ann met the famous dogs in Berlin."] * 3000)
+    starts = pa.array([0] * 3000, pa.int32())
+
+    def took(f):
+        start = time.process_time()
+        f()
+        return time.process_time() - start
+
+    parsing._by_rules(texts, starts)
+    one_by_one = lambda: [parsing.rule_parser(parsing._WORD.findall(t)) for t in texts.to_pylist()]
+    assert min(took(lambda: parsing._by_rules(texts, starts)) for _ in range(3)) < 0.5 * min(took(one_by_one) for _ in range(3))
+
+
 def test_parser_is_linear():
     def took(n):
         words = ["The", "man", "of", "state", "has", "signed", "a", "treaty", "and"] * n
@@ -96,6 +130,13 @@ def test_triplets_of_documents(spark, small):
     assert {r.relation for r in kept} <= set(extraction.RELATIONS) and parsing.relations(sentences, ()).count() == parsing.token_table(sentences).where("pos <> 'PUNCT'").count()
 
 
+@pytest.mark.parametrize("read", [parsing.token_table, parsing.relations, parsing.triplets_in])
+def test_sentences_are_parsed_once(spark, read):
+    docs = spark.createDataFrame([(1, "Ann met Bob.")], "doc_id long, text string")
+    plan = read(parsing.parsed(docs))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [_by_rules") == 1
+
+
 def test_a_failing_parser_costs_its_sentence_only(spark):
     def picky(words):
         if "bad" in words:
