@@ -374,6 +374,30 @@ def test_average_linkage_as_all_pairs():
         assert sorted(map(sorted, groups)) == sorted([int(x) for x in np.flatnonzero(label == g)] for g in set(label))
 
 
+def test_storylines_of_many_components(spark):
+    """Complete components, chains and mixed ones, over batches of a few rows: as average linkage of each component alone, without a call of Python for each."""
+    rng, w, start = np.random.default_rng(6), linking.Weights(), dt.datetime(2024, 1, 1)
+    rows = [(i, "a", start + dt.timedelta(hours=int(rng.integers(0, 100))), [float(x) for x in rng.standard_normal(3) + 2 * (i % 5 < 3)], [f"s{i % 30}"]) for i in range(240)]
+    df = spark.createDataFrame(rows, "event_id long, domain string, ts timestamp, embedding array<double>, signatures array<string>").withColumn("ord", -F.col("event_id"))
+    found = linking.links(df, w)
+    parts = df.join(linking.named_components(found), "event_id").toPandas().groupby("component")
+    links, told = {(r.source_event_id, r.target_event_id) for r in found.collect()}, {}
+    complete = [sum(a in set(g["event_id"]) for a, _ in links) == len(g) * (len(g) - 1) // 2 for _, g in parts]
+    assert any(complete) and not all(complete)
+    for _, group in parts:
+        told |= dict(linking._cluster(w)(group).itertuples(index=False))
+    sizes = {c: list(told.values()).count(c) for c in told.values()}
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "5")
+    try:
+        members = linking.storyline_members(df, found, w)
+        assert sorted((r.event_id, r.cluster) for r in members.collect()) == sorted((e, c) for e, c in told.items() if sizes[c] >= 2)
+        assert "FlatMapGroupsInPandas" not in members._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_processed_ids_count_for_a_day(spark, tmp_path):
     body = '{"type": "document.cleaned", "id": "%s"}'
     (tmp_path / "in").mkdir()
